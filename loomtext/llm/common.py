@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import re
 import shutil
 import tempfile
 import uuid
@@ -25,7 +26,10 @@ def shared_dir(spark: SparkSession) -> str:
         at = tempfile.mkdtemp(prefix="loomtext-")
         atexit.register(shutil.rmtree, at, ignore_errors=True)
         spark.conf.set("spark.checkpoint.dir", at)
-    return at.rstrip("/")
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(at)
+    full = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(path).toString()
+    return re.sub("^file:/+", "file:///", full).rstrip("/")
 
 
 def delete_path(spark: SparkSession, path: str) -> None:
