@@ -8,6 +8,7 @@ from importlib import import_module
 QUERIES = {
     "op1_sharding": "sharding",
     "op10_mixing": "mixing",
+    "op6_prefix_free_parsing": "repeats",
     "op9_superminhash": "superminhash",
     "op2_quality": "quality",
     "op4_packing": "packing",
