@@ -1,9 +1,16 @@
 """Registered queries and their SQL twins."""
 
+from __future__ import annotations
+
+from . import entities, evaluation, series, textual, topical
+from .base import ORACLES, QUERIES
+
+__all__ = ["entities", "evaluation", "oracle_sql", "queries", "series", "textual", "topical"]
+
 
 def queries() -> dict:
-    return {}
+    return dict(QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(ORACLES)
