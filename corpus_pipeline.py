@@ -19,13 +19,14 @@ from loomtext.llm.quality import THRESHOLD, score_documents, train
 from loomtext.llm.repeats import remove_repeats
 from loomtext.llm.superminhash import near_duplicates
 
-SIZE = "mix_size"
+#: Names that the stages use beside those of the table.
+SIZE, SCORE = "mix_size", "quality_score_of_stage"
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents of calibrated quality 0.7 or more."""
     model = train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return score_documents(docs, model).filter(F.col("score") >= THRESHOLD).select(*docs.columns)
+    return score_documents(docs, model, name=SCORE).filter(F.col(SCORE) >= THRESHOLD).select(*docs.columns)
 
 
 def near_duplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
