@@ -4,7 +4,7 @@ A payload travels as the ancillary data of silent MPEG-1 Layer III frames (mono,
 whole frame length): an ID3v2 tag with the payload's length, a VBR header frame with frame count, byte count and a
 seek table, full frames of the highest bitrate, a last one of the lowest bitrate that holds the rest, and an ID3v1
 tag. Each data frame has its CRC-16. The reader needs none of that to be in place: it looks for the next header that
-another one (or the end) follows, skips what is between, and counts what it skipped.
+another one (or the end) follows or whose CRC is right, skips what is between, and counts what it skipped.
 
 Defined cases: a null or empty text has a payload of 64 zero bytes; equal payloads give equal streams; texts of any
 length are handled a document at a time; an empty table gives an empty result.
@@ -89,6 +89,11 @@ def _frame_length(buf: bytes, at: int) -> tuple[int, int, int] | None:
     return 144 * kbps * 1000 // rate + (b >> 1 & 1), kbps, rate
 
 
+def _checked(buf: bytes, at: int) -> bool:
+    """Whether the frame has a CRC and it is right."""
+    return not buf[at + 1] & 1 and struct.unpack(">H", buf[at + 4 : at + 6])[0] == crc16(buf[at + 2 : at + 4] + buf[at + 6 : at + DATA_AT])
+
+
 def decode(buf: bytes) -> dict:
     """Tags, VBR header, frames and payload of a stream; damaged parts are skipped up to the next sure header."""
     at, end, tags, vbr = 0, len(buf), {}, None
@@ -106,7 +111,7 @@ def decode(buf: bytes) -> dict:
     offsets, kbps_sum, crc_ok, crc_seen, skipped, parts, samples = [], 0, 0, 0, 0, [], 0
     while at + 4 <= end:
         head = _frame_length(buf, at)
-        if not head or at + head[0] > end or (at + head[0] + 4 <= end and not _frame_length(buf, at + head[0])):
+        if not head or at + head[0] > end or not (at + head[0] + 4 > end or _frame_length(buf, at + head[0]) or _checked(buf, at)):
             found = buf.find(b"\xff", at + 1, end)
             skipped += (found if found >= 0 else end) - at
             at = found if found >= 0 else end
@@ -123,7 +128,7 @@ def decode(buf: bytes) -> dict:
             if not buf[at + 1] & 1:
                 data += 2
                 crc_seen += 1
-                crc_ok += struct.unpack(">H", buf[at + 4 : at + 6])[0] == crc16(buf[at + 2 : at + 4] + buf[at + 6 : data])
+                crc_ok += _checked(buf, at)
             parts.append(buf[data : at + length])
         at += length
     # Frames are padded only where the payload ends, so it is a prefix of what they carry.

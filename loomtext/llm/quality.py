@@ -173,17 +173,17 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
     return Classifier([r["body"] for r in rows], [r["quality"] for r in rows])
 
 
-def score_documents(df: DataFrame, model: Classifier, text: str = "text") -> DataFrame:
-    """``df`` with ``score``."""
+def score_documents(df: DataFrame, model: Classifier, text: str = "text", name: str = "score") -> DataFrame:
+    """``df`` with a column ``name``, which it must not have yet."""
     at = df.columns.index(text)
-    schema = df.withColumn("score", F.lit(0.0)).schema
+    schema = df.withColumn(name, F.lit(0.0)).schema
 
     def run(batches):
         for batch in batches:
             for k in range(0, batch.num_rows, 256):
                 b = batch.slice(k, 256)
                 scores = model.score([t or "" for t in b.column(at).to_pylist()])
-                yield pa.RecordBatch.from_arrays([*b.columns, pa.array(scores, pa.float64())], [*b.schema.names, "score"])
+                yield pa.RecordBatch.from_arrays([*b.columns, pa.array(scores, pa.float64())], [*b.schema.names, name])
 
     return df.mapInArrow(run, schema)
 
@@ -191,4 +191,4 @@ def score_documents(df: DataFrame, model: Classifier, text: str = "text") -> Dat
 def op2_quality(spark, sf_dir):
     docs = documents(spark, sf_dir).select("doc_id", "text")
     model = train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return score_documents(docs, model).select("doc_id", held_out("doc_id").alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
+    return score_documents(docs, model).select("doc_id", F.coalesce(held_out("doc_id"), F.lit(False)).alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))

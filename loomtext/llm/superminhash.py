@@ -9,8 +9,8 @@ components, growing blocks of members are compared with all members of other com
 all its members have been compared: no bucket is capped, and what a component has already joined isn't compared.
 
 Defined cases: a null text, or one without words, has an empty set and is linked with nothing; a text of fewer than
-five words has its whole sequence as its one shingle; rows that share an id count as one node; null ids are kept, each
-its own component; an empty table gives an empty result.
+five words has its whole sequence as its one shingle; rows that share an id count as one node; rows without an id keep
+a null component; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -207,7 +207,7 @@ def near_duplicates(df: DataFrame, percent: int = 85, key: str = "doc_id", text:
         block *= 2
 
     out = s.select("doc_id", "n_shingles", "set_key").join(classes, "set_key", "left").join(roots, "node", "left")
-    return out.select("doc_id", "n_shingles", F.coalesce("root", "node", "doc_id").alias("component_id"))
+    return out.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("root", "node", "doc_id")).alias("component_id"))
 
 
 def op9_superminhash(spark, sf_dir):
