@@ -78,7 +78,8 @@ def packed(text: Column) -> Column:
         def donor(i: Column, at: int, n: int) -> Column:
             return F.get(F.filter(F.slice(orders, i * BINS + 1 + at, F.lit(n)), lambda p: ~empty(F.get(v, p))), F.lit(0))
 
-        fill = lambda i: F.get(v, F.coalesce(donor(i, 0, PROBES_FIRST), donor(i, PROBES_FIRST, BINS - PROBES_FIRST)))
+        # Hashed with the bin, as the stored bits of one value in many bins would agree or not all together.
+        fill = lambda i: F.xxhash64(i, F.get(v, F.coalesce(donor(i, 0, PROBES_FIRST), donor(i, PROBES_FIRST, BINS - PROBES_FIRST))))
         return F.transform(v, lambda x, i: F.when(empty(x), fill(i)).otherwise(x))
 
     def pack(v: Column) -> Column:
