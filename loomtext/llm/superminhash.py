@@ -5,8 +5,8 @@ deals its ranks to the signature's places by a random permutation of its own, so
 and the places are correlated; a document needs only so many ranks of its elements as still lower a place. Documents
 of equal sets are one class. Classes that agree in a band meet in its bucket: with the bucket's leader, and in small
 buckets with each other. Pairs are confirmed on their full sets. In larger buckets that then still hold several
-components, growing blocks of members are compared with all members of other components, until no bucket is mixed or
-all its members have been compared: no bucket is capped, and what a component has already joined isn't compared.
+components, the members of different components are compared block by block: no bucket is capped, and what a component
+has already joined isn't compared.
 
 Defined cases: a null text, or one without words, has an empty set and is linked with nothing; a text of fewer than
 five words has its whole sequence as its one shingle; rows that share an id count as one node; rows without an id keep
@@ -29,6 +29,8 @@ SHINGLE, BANDS, ROWS = 5, 20, 6
 PLACES = BANDS * ROWS
 #: Classes in a bucket up to which all are compared with each other (half as many pairs as classes, for each).
 SMALL_BUCKET = 16
+#: Members of a bucket in a block that is compared at once.
+BLOCK_MEMBERS = 512
 CHUNK_ELEMENTS = 200_000
 KNOWN_WORDS = 400_000
 _MUL, _GOLD = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD1B54A32D192ED03)
@@ -161,6 +163,40 @@ def confirm(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     return both.mapInArrow(run, "a long, b long")
 
 
+def links_in_blocks(members: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+    """Links between members (bucket, node, m, root) of a bucket that are not of one root yet.
+
+    A bucket's members are dealt into blocks, and every two blocks of it meet in one group. There, one pass over the
+    group's shingles gives a member's common elements with all others. Members of the group's commonest root are not
+    compared with each other.
+    """
+
+    def run(table: pa.Table) -> pa.Table:
+        node, root = table.column("node").to_numpy(), table.column("root").to_numpy()
+        sets = shingle_sets(table.column("body").to_pylist(), WordHashes())
+        sizes = np.array([len(x) for x in sets])
+        starts = np.concatenate([[0], np.cumsum(sizes)[:-1]])
+        element = np.unique(np.concatenate(sets), return_inverse=True)[1].ravel()
+        names, times = np.unique(root, return_counts=True)
+        main = names[times.argmax()]
+        a, b = [], []
+        for i in np.flatnonzero(root != main):
+            mine = np.zeros(int(element.max()) + 1, np.int64)
+            mine[element[starts[i] : starts[i] + sizes[i]]] = 1
+            common = np.add.reduceat(mine[element], starts)
+            alike = np.flatnonzero((100 * common >= percent * (sizes[i] + sizes - common)) & (root != root[i]))
+            for k in alike[np.unique(root[alike], return_index=True)[1]]:
+                a.append(min(node[i], node[k]))
+                b.append(max(node[i], node[k]))
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    blocks = F.ceil(F.col("m") / BLOCK_MEMBERS).cast("int")
+    rows = members.withColumn("own", F.floor(uniform(3, F.col("node"), F.col("bucket")) * blocks).cast("int"))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    rows = rows.join(texts, "node").select("bucket", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "node", "root", "body")
+    return rows.groupBy("bucket", "i", "j").applyInArrow(run, "a long, b long")
+
+
 def alike_in_size(percent: int):
     """The share of common elements can't be over that of the sizes."""
     return (100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")) & (F.col("a") != F.col("b"))
@@ -187,24 +223,13 @@ def near_duplicates(df: DataFrame, percent: int = 85, key: str = "doc_id", text:
 
     links = materialize(confirm(pairs, texts, percent), "nd-links")
     roots = materialize(components(links), "nd-roots")
-    large = members.filter(F.col("m") > SMALL_BUCKET)
-    block = 1
-    while True:
-        placed = large.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-        spread = placed.groupBy("bucket").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).filter("r0 <> r1").select("bucket")
-        mixed_rows = materialize(placed.join(spread, "bucket"), "nd-mixed")
-        if mixed_rows.filter(F.col("m") >= block).isEmpty():
-            break
-        turn = F.floor(uniform(3, F.col("node"), F.col("bucket")) * F.col("m"))
-        lead = mixed_rows.filter((turn >= block - 1) & (turn < 2 * block - 1)).select("bucket", F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("root").alias("root_a"))
-        rest = mixed_rows.select("bucket", F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("root").alias("root_b"))
-        more = lead.join(rest, "bucket").filter("root_a <> root_b").filter(alike_in_size(percent))
-        more = more.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct().join(pairs, ["a", "b"], "left_anti")
-        found = materialize(confirm(more, texts, percent), "nd-links")
-        if not found.isEmpty():
-            links = links.unionByName(found)
-            roots = materialize(components(links), "nd-roots")
-        block *= 2
+    placed = members.filter(F.col("m") > SMALL_BUCKET).join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    placed = materialize(placed.select("bucket", "node", "m", "root"), "nd-placed")
+    apart = placed.groupBy("bucket").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).filter("r0 <> r1").select("bucket")
+    mixed_rows = placed.join(apart, "bucket")
+    if not mixed_rows.isEmpty():
+        found = materialize(links_in_blocks(mixed_rows, texts, percent), "nd-links")
+        roots = materialize(components(links.unionByName(found)), "nd-roots")
 
     out = s.select("doc_id", "n_shingles", "set_key").join(classes, "set_key", "left").join(roots, "node", "left")
     return out.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("root", "node", "doc_id")).alias("component_id"))
