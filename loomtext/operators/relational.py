@@ -131,3 +131,12 @@ def differences(a: DataFrame, b: DataFrame) -> DataFrame:
 def wide(df: DataFrame, keys: list[str], name: Column, value: str, names: list[str]) -> DataFrame:
     """Long metrics as columns; the names are given, so no job is needed to find them."""
     return df.withColumn("_name", name).groupBy(*keys).pivot("_name", names).agg(F.first(value))
+
+
+def map_columns(df: DataFrame, column: str, keys: Iterable[str]) -> DataFrame:
+    """A map's values as columns, for a known list of keys (no job is run to find them)."""
+    return df.withColumns({k: F.try_element_at(F.col(column), F.lit(k)) for k in keys}).drop(column)
+
+
+def same_columns(a: DataFrame, b: DataFrame) -> bool:
+    return set(a.columns) == set(b.columns)

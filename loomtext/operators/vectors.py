@@ -70,3 +70,11 @@ def train_word2vec(docs: DataFrame, words: str, size: int = 300, window: int = 5
     from pyspark.ml.feature import Word2Vec
 
     return Word2Vec(vectorSize=size, windowSize=window, minCount=min_count, maxIter=epochs, seed=seed, inputCol=words, outputCol="vector").fit(docs)
+
+
+def embedded_phrases(phrases: DataFrame, table: DataFrame) -> DataFrame:
+    """(phrase, vector): the phrase's own vector (words joined by _), else the mean of its words'; null for neither."""
+    own = table.select(F.col("word").alias("own_word"), F.col("vector").alias("own"))
+    means = mean_of_words(phrases.select("phrase", F.split(F.lower("phrase"), " ").alias("w")), "w", table, "phrase").withColumnRenamed("vector", "mean")
+    out = phrases.join(own, F.replace(F.lower("phrase"), F.lit(" "), F.lit("_")) == F.col("own_word"), "left").join(means, "phrase", "left")
+    return out.select("phrase", F.coalesce("own", "mean").alias("vector"))
