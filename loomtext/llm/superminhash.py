@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import documents, materialize, uniform
+from .common import documents, forget, materialize, uniform
 from .graph import components
 
 SHINGLE, BANDS, ROWS = 5, 20, 6
@@ -31,8 +31,8 @@ PLACES = BANDS * ROWS
 SMALL_BUCKET = 16
 #: Members of a bucket in a block that is compared at once.
 BLOCK_MEMBERS = 512
-CHUNK_ELEMENTS = 200_000
-KNOWN_WORDS = 400_000
+CHUNK_ELEMENTS = 100_000
+KNOWN_WORDS = 150_000
 _MUL, _GOLD = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD1B54A32D192ED03)
 
 
@@ -218,7 +218,8 @@ def near_duplicates(df: DataFrame, percent: int = 85, key: str = "doc_id", text:
     pairs = materialize(star.unionByName(each).filter(alike_in_size(percent)).select("a", "b").distinct(), "nd-pairs")
     # Texts of those nodes only that a pair may need; a node's body is that of any row of its id with this set.
     wanted = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).unionByName(members.filter(F.col("m") > SMALL_BUCKET).select("node")).distinct()
-    texts = df.select(F.col(key).cast("long").alias("node"), F.col(text).alias("body")).join(wanted, "node").dropDuplicates(["node"])
+    # The list of wanted nodes grows with the documents, so it is never broadcast, however small it may be here.
+    texts = df.select(F.col(key).cast("long").alias("node"), F.col(text).alias("body")).join(wanted.hint("merge"), "node").dropDuplicates(["node"])
     texts = materialize(texts, "nd-texts")
 
     links = materialize(confirm(pairs, texts, percent), "nd-links")
@@ -230,6 +231,9 @@ def near_duplicates(df: DataFrame, percent: int = 85, key: str = "doc_id", text:
     if not mixed_rows.isEmpty():
         found = materialize(links_in_blocks(mixed_rows, texts, percent), "nd-links")
         roots = materialize(components(links.unionByName(found)), "nd-roots")
+        forget(found)
+    for used in (nodes, members, pairs, texts, links, placed):
+        forget(used)
 
     out = s.select("doc_id", "n_shingles", "set_key").join(classes, "set_key", "left").join(roots, "node", "left")
     return out.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("root", "node", "doc_id")).alias("component_id"))

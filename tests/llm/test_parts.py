@@ -114,3 +114,24 @@ def test_token_file_reads_one_document():
     assert f.keys[0] is None and f.ids(7).tolist() == list(range(7, 57))
     with pytest.raises(ValueError):
         tokenfiles.TokenFile(tokenfiles.join_file(d, 2, {}, [1], [50], frames[:1]), d + b"x")
+
+
+def test_links_in_blocks(spark, monkeypatch):
+    """Members of a mixed bucket, over several blocks: no link between different roots is lost."""
+    from pyspark.sql import functions as F
+
+    monkeypatch.setattr(superminhash, "BLOCK_MEMBERS", 4)
+    rng = random.Random(3)
+    base = [f"w{i}" for i in range(60)]
+    texts = {}
+    for i in range(20):
+        w = list(base)
+        for _ in range(i % 4):
+            w[rng.randrange(60)] = f"x{i}{rng.random()}"
+        texts[i] = " ".join(w if i % 5 else [f"y{k}" for k in range(60)])
+    sets = {i: set(superminhash.shingle_sets([t], superminhash.WordHashes())[0].tolist()) for i, t in texts.items()}
+    linked = {(a, b) for a in texts for b in texts if a < b and 100 * len(sets[a] & sets[b]) >= 85 * len(sets[a] | sets[b])}
+    members = spark.createDataFrame([(1, i, 20, i) for i in texts], "bucket long, node long, m long, root long")
+    bodies = spark.createDataFrame(list(texts.items()), "node long, body string")
+    got = {tuple(r) for r in superminhash.links_in_blocks(members, bodies, 85).select(F.col("a"), F.col("b")).collect()}
+    assert got == linked
