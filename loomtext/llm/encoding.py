@@ -9,13 +9,36 @@ from __future__ import annotations
 
 import os
 import re
+from array import array
+from functools import lru_cache
 
-import numpy as np
+CACHE_CHUNKS = 150_000
+#: A chunk of letters that have no other composed or lower-case form than their own, with marks after them that can't
+#: be part of a contraction: letters and marks are pre-tokens of their own.
+SIMPLE = re.compile(r"([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([.,;:!?*#$%&|]*)").fullmatch
+#: Byte-level vocabularies write a byte as itself where it is printable, else as the next character from 256 on.
+_PRINTABLE = {*range(33, 127), *range(161, 173), *range(174, 256)}
+BYTE_CHARACTERS = {b: b if b in _PRINTABLE else 256 + sum(x not in _PRINTABLE for x in range(b)) for b in range(256)}
 
-CACHE_CHUNKS = 300_000
-#: A chunk of ASCII letters, with marks after them that can't be part of a contraction: letters and marks are
-#: pre-tokens of their own, and ASCII letters stand for themselves in a byte-level vocabulary.
-SIMPLE = re.compile(r"( ?)([A-Za-z]+)([.,;:!?*#$%&|]*)").fullmatch
+
+class Chunks(dict):
+    """Ids of chunks, found when they are first asked for."""
+
+    def __init__(self, find):
+        self.find = find
+
+    def __missing__(self, chunk: str) -> bytes:
+        ids = self[chunk] = self.find(chunk)
+        return ids
+
+
+CONTROL = re.compile("[\x00-\x08\x0b-\x1f\x7f-\x9f]")
+
+
+@lru_cache(4)
+def encoder(path: str) -> Encoder:
+    """The worker's encoder: loaded once, and its chunks kept from one partition to the next."""
+    return Encoder(path)
 
 
 class Encoder:
@@ -26,66 +49,74 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[str, bytes] = {}
+        # Chunks at the start of a line or text, chunks after a space, and runs of letters.
+        self.first, self.spaced = Chunks(lambda c: self._chunk("", c)), Chunks(lambda c: self._chunk(" ", c))
         self.letters: dict[str, bytes] = {}
         ids = lambda s: self.tokenizer.encode(s, add_special_tokens=False).ids
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.odd = re.compile("[\x00-\x08\x0b-\x1f\x7f-\x9f]|" + "|".join(map(re.escape, self.special)))
         self.fold = ids("AbC") == ids("abc")
+        self.newline = self.whole("\n")
         if ids("ab Cd,\nEf") == ids("ab") + ids("Cd,") + ids("Ef"):
-            self.cut = self._words
-        elif ids("ab Cd,\nEf") == ids("ab") + ids(" Cd,") + ids("\n") + ids("Ef"):
-            self.cut = self._spaced
+            self.by_chunks = self._words
+        elif ids("ab Cd,\nEf\n\ngh") == ids("ab") + ids(" Cd,") + ids("\n") + ids("Ef") + ids("\n") + ids("\n") + ids("gh"):
+            self.by_chunks = self._lines
         else:
-            self.cut = None
+            self.by_chunks = lambda text: None
 
     def whole(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
-    def _words(self, text: str) -> list[str] | None:
-        return None if self.odd.search(text) else text.split()
+    def encode(self, texts: list[str]) -> list[bytes]:
+        if len(self.first) + len(self.spaced) > CACHE_CHUNKS:
+            self.first.clear()
+            self.spaced.clear()
+            self.letters.clear()
+        out = []
+        for t in texts:
+            ids = self.by_chunks(t)
+            out.append(self.whole(t) if ids is None else ids)
+        return out
+
+    def _has_special(self, text: str) -> bool:
+        return any(s in text for s in self.special)
+
+    def _words(self, text: str) -> bytes | None:
+        """For a tokenizer that drops white space: chunk by chunk, unless a control character may be taken for some."""
+        if self._has_special(text) or not text.replace("\n", " ").isprintable() and CONTROL.search(text):
+            return None
+        return b"".join(map(self.first.__getitem__, text.split()))
 
-    def _spaced(self, text: str) -> list[str] | None:
-        """Chunks with their leading space; a run of white space isn't cut, as its last space joins the next word."""
-        if self.odd.search(text) or "  " in text or "\n " in text or " \n" in text or "\t" in text or not text.isprintable() and not text.replace("\n", "").isprintable():
+    def _lines(self, text: str) -> bytes | None:
+        """For a tokenizer that joins a space to the word after it: single spaces and at most two line ends together,
+        as a longer run of white space is divided otherwise."""
+        if self._has_special(text) or not text.replace("\n", " ").isprintable():
             return None
-        out: list[str] = []
+        if "  " in text or " \n" in text or "\n " in text or "\n\n\n" in text or text.endswith("\n\n"):
+            return None
+        out: list[bytes] = []
+        first, spaced = self.first, self.spaced.__getitem__
         for k, line in enumerate(text.split("\n")):
             if k:
-                if not line or out[-1:] == ["\n"]:
-                    return None
-                out.append("\n")
+                out.append(self.newline)
             if line:
                 head, *rest = line.split(" ")
-                if head:
-                    out.append(head)
-                out += [" " + r for r in rest]
-        return out
+                out.append(first[head])
+                out.extend(map(spaced, rest))
+        return b"".join(out)
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        cut = [self.cut(t) if self.cut else None for t in texts]
-        known = self.known
-        if len(known) > CACHE_CHUNKS:
-            known.clear()
-            self.letters.clear()
-        hard = []
-        for c in {c for chunks in cut if chunks for c in chunks if c not in known}:
-            if simple := SIMPLE(c):
-                space, word, marks = simple.groups()
-                known[c] = self._letters(space, word.lower() if self.fold else word) + (self._marks(marks) if marks else b"")
-            else:
-                hard.append(c)
-        for at in range(0, len(hard), 4096):
-            part = hard[at : at + 4096]
-            for c, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
-                known[c] = np.array(e.ids, "<u4").tobytes()
-        get = known.__getitem__
-        return [self.whole(t) if c is None else b"".join(map(get, c)) for t, c in zip(texts, cut, strict=True)]
+    def _chunk(self, space: str, chunk: str) -> bytes:
+        simple = SIMPLE(chunk)
+        if not simple:
+            return self.whole(space + chunk) if space or chunk else b""
+        word, marks = simple.groups()
+        ids = self._letters(space, word.lower() if self.fold else word)
+        return ids + self._marks(marks) if marks else ids
 
     def _letters(self, space: str, word: str) -> bytes:
-        found = self.letters.get(word if not space else space + word)
+        found = self.letters.get(space + word)
         if found is None:
-            found = self.letters[space + word] = np.array([t.id for t in self.tokenizer.model.tokenize(("\u0120" if space else "") + word)], "<u4").tobytes()
+            text = word if word.isascii() else word.encode().decode("latin-1").translate(BYTE_CHARACTERS)
+            found = self.letters[space + word] = array("I", [t.id for t in self.tokenizer.model.tokenize("\u0120" + text if space else text)]).tobytes()
         return found
 
     def _marks(self, marks: str) -> bytes:

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import documents, materialize
-from .encoding import Encoder
+from .encoding import encoder
 
 CAPACITY = 2048
 #: Sizes of the linear programme, and the shares of a sequence from which a length may count as large: the plan with
@@ -216,7 +216,7 @@ def token_pieces(df: DataFrame, tokenizer: str, end_id: int, capacity: int = CAP
     def run(batches):
         from pyspark import TaskContext
 
-        part, enc = TaskContext.get().partitionId(), Encoder(tokenizer)
+        part, enc = TaskContext.get().partitionId(), encoder(tokenizer)
         seen = np.zeros(capacity + 1, np.int64)
         end = np.array([end_id], "<u4").tobytes()
         for batch in batches:

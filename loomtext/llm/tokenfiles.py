@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import documents, materialize, shared_dir
-from .encoding import Encoder
+from .encoding import encoder
 
 MAGIC = b"LOOMTOK1"
 #: Bounds of the dictionary: documents and bytes a document that it is trained on, and its size.
@@ -110,10 +110,13 @@ def write_tokens(df: DataFrame, tokenizer: str, end_id: int, folder: str, key: s
     """Write ``df``'s texts in key order under ``folder``; the manifest has a row for each file."""
     spark = df.sparkSession
     docs = df.select(F.col(key).cast("long").alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    sample = docs.filter(F.octet_length("text") <= SAMPLE_BYTES).orderBy(F.xxhash64("key", "text")).limit(SAMPLE_DOCS).select("text")
-    encoder = Encoder(tokenizer)
-    width = 2 if encoder.tokenizer.get_vocab_size() <= 65_536 else 4
-    ids = encoder.encode([r[0] for r in sample.collect()])
+    # The sample is chosen by hash alone, as every partition sends its own candidates to the driver.
+    order = F.xxhash64("key", "text")
+    chosen = docs.filter(F.octet_length("text") <= SAMPLE_BYTES).select(order.alias("chosen")).orderBy("chosen").limit(SAMPLE_DOCS)
+    sample = docs.join(F.broadcast(chosen.distinct()), order == F.col("chosen")).select("text").limit(SAMPLE_DOCS)
+    enc = encoder(tokenizer)
+    width = 2 if enc.tokenizer.get_vocab_size() <= 65_536 else 4
+    ids = enc.encode([r[0] for r in sample.collect()])
     dictionary = train_dictionary([np.frombuffer(i, "<u4").astype(f"<u{width}").tobytes() for i in ids if i])
     put_dictionary(folder, dictionary)
     name = tokenizer.rsplit("/", 1)[-1]
@@ -123,7 +126,7 @@ def write_tokens(df: DataFrame, tokenizer: str, end_id: int, folder: str, key: s
         from pyspark import TaskContext
 
         part, number, size = TaskContext.get().partitionId(), 0, 0
-        enc = Encoder(tokenizer)
+        enc = encoder(tokenizer)
         press = zstandard.ZstdCompressor(level=LEVEL, dict_data=zstandard.ZstdCompressionDict(dictionary) if dictionary else None)
         keys, counts, frames = [], [], []
         end = np.array([end_id], "<u4").tobytes()
