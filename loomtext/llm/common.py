@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import atexit
+import gc
 import re
 import shutil
 import tempfile
+import time
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -48,6 +50,18 @@ def materialize(df: DataFrame, tag: str, codec: str = "zstd") -> DataFrame:
     return out
 
 
+def release_shuffles(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of plans that nothing refers to any more.
+
+    It does so when the driver collects its garbage, which may otherwise be half an hour away. What Python has let go
+    of is known to the JVM with the next call only, hence twice.
+    """
+    for _ in range(2):
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.5)
+
+
 def forget(df: DataFrame) -> None:
     """Drop what :func:`materialize` wrote, once nothing reads it any more."""
     delete_path(df.sparkSession, df.loomtext_path)

@@ -1,6 +1,6 @@
 """Removal of repeated 50-byte strings by prefix-free parsing.
 
-A rolling hash of 16-byte grams sets off triggers: of any 50 bytes, the place of least gram hash. Between triggers lie
+A rolling hash of 24-byte grams sets off triggers: of any 50 bytes, the place of least gram hash. Between triggers lie
 the phrases, here the runs of 50-byte windows that share a trigger, with the bytes they cover. Equal windows have
 equal triggers, so every repeat is found among the phrases of equal trigger grams:
 
@@ -26,11 +26,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import documents, materialize
+from .common import documents, materialize, release_shuffles
 
-WINDOW, GRAM = 50, 16
+WINDOW, GRAM = 50, 24
+SPANS = "repeat_spans"
 #: Bytes that a worker parses together.
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 768 << 10
 _P, _M1, _M2 = 0x9E3779B97F4A7C15, np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _BYTES = np.random.default_rng(20_50).integers(1, 2**63, 256, dtype=np.int64).astype(np.uint64) * np.uint64(2) + np.uint64(1)
 _INVERSE = pow(_P, -1, 1 << 64)
@@ -119,7 +120,7 @@ class Parsed:
         return most[: len(gram)] == gram
 
 
-PHRASES = "trigger long, phrase long, doc long, text_hash int, at int, windows int"
+PHRASES = "trigger long, phrase long, doc long, place long, windows int"
 MARKS = "doc long, text_hash int, at int, windows int, whole boolean"
 LOWEST = -(2**63)
 
@@ -144,11 +145,17 @@ def _chunks(batches, size=CHUNK_BYTES):
         yield np.array(ids, np.int64), texts, rest
 
 
-def _text_hash(texts: list[bytes]) -> np.ndarray:
-    return np.array([zlib.crc32(t) for t in texts], np.uint32).view(np.int32)
+def _text_hash(texts: list[bytes], apart: bool) -> np.ndarray:
+    """Hashes that tell rows of one id apart; 0 where every id is there once."""
+    return np.array([zlib.crc32(t) if apart else 0 for t in texts], np.uint32).view(np.int32)
 
 
-def parse(df: DataFrame) -> DataFrame:
+def _text_hash_column(text: Column, apart: bool) -> Column:
+    crc = F.crc32(F.encode(text, "UTF-8"))
+    return F.when(crc >= 2**31, crc - 2**32).otherwise(crc).cast("int") if apart else F.lit(0)
+
+
+def parse(df: DataFrame, apart: bool) -> DataFrame:
     """Phrases of (key, text): one row a phrase, first document and batch; the batch's own repeats with windows < 0."""
 
     def run(batches):
@@ -158,7 +165,7 @@ def parse(df: DataFrame) -> DataFrame:
             number, at, windows, trigger, own = p.phrases()
             if not len(number):
                 continue
-            hashes = _text_hash(texts)
+            hashes = _text_hash(texts, apart)
             doc = ids[number]
             order = np.lexsort((at, doc, own))
             o, d = own[order], doc[order]
@@ -170,15 +177,16 @@ def parse(df: DataFrame) -> DataFrame:
             # Repeats are settled here; neighbouring ones are joined.
             where = np.flatnonzero(again)
             start, stop = at[where], at[where] + windows[where]
-            head = np.r_[True, (number[where][1:] != number[where][:-1]) | (start[1:] > stop[:-1])] if len(where) else np.zeros(0, bool)
-            first = np.flatnonzero(head)
-            ends = np.r_[first[1:], len(where)] - 1
+            first = ends = np.zeros(0, np.int64)
+            if len(where):
+                first = np.flatnonzero(np.r_[True, (number[where][1:] != number[where][:-1]) | (start[1:] > stop[:-1])])
+                ends = np.r_[first[1:], len(where)] - 1
             keep = np.flatnonzero(~again)
-            n = where[first] if len(where) else where
+            n = where[first]
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(np.r_[trigger[keep].astype(np.int64), own[n].astype(np.int64)]), pa.array(np.r_[own[keep].astype(np.int64), np.zeros(len(n), np.int64)]),
-                    pa.array(np.r_[doc[keep], doc[n]]), pa.array(np.r_[hashes[number[keep]], hashes[number[n]]]), pa.array(np.r_[at[keep], start[first]].astype(np.int32)),
+                    pa.array(np.r_[doc[keep], doc[n]]), pa.array(np.r_[hashes[number[keep]], hashes[number[n]]].astype(np.int64) << 32 | np.r_[at[keep], start[first]]),
                     pa.array(np.r_[windows[keep], -(stop[ends] - start[first])].astype(np.int32)),
                 ],
                 names,
@@ -212,7 +220,8 @@ def settle(phrases: DataFrame) -> DataFrame:
 
     def run(batches):
         names = [c.split()[0] for c in MARKS.split(", ")]
-        for trigger, phrase, doc, text_hash, at, windows in _held(batches):
+        for trigger, phrase, doc, place, windows in _held(batches):
+            text_hash, at = (place >> 32).astype(np.int32), (place & 0xFFFFFFFF).astype(np.int32)
             begin, group = _groups(trigger)
             settled = windows < 0
             big = np.where(settled, np.iinfo(np.int64).max, doc)
@@ -236,11 +245,10 @@ def settle(phrases: DataFrame) -> DataFrame:
 WINDOWS = "window_hash long, doc long, text_hash int, at int"
 
 
-def compared_windows(df: DataFrame, marks: DataFrame) -> DataFrame:
-    """Hashes of the windows of those phrases that are to be compared; a batch sends its first document's only, and all
-    places of it."""
+def compared_windows(df: DataFrame, marks: DataFrame, apart: bool) -> DataFrame:
+    """Hashes of the windows of those phrases that are to be compared."""
     todo = marks.filter("not whole").groupBy("doc", "text_hash").agg(F.collect_list(F.struct("at", "windows")).alias("todo"))
-    rows = _keyed(df).join(todo, ["doc", "text_hash"]).select("doc", "text", "todo")
+    rows = df.withColumn("text_hash", _text_hash_column(F.col("text"), apart)).join(todo, ["doc", "text_hash"]).select("doc", "text", "todo")
 
     def run(batches):
         names = [c.split()[0] for c in WINDOWS.split(", ")]
@@ -253,7 +261,7 @@ def compared_windows(df: DataFrame, marks: DataFrame) -> DataFrame:
             start = start + np.arange(len(start)) - np.repeat(np.cumsum(n) - n, n)
             whole = p.starts[number] + start
             h = p.hashes(whole, whole + WINDOW).astype(np.int64)
-            hashes = _text_hash(texts)[number]
+            hashes = _text_hash(texts, apart)[number]
             for k in range(0, len(h), 200_000):
                 c = slice(k, k + 200_000)
                 yield pa.RecordBatch.from_arrays([pa.array(h[c]), pa.array(ids[number[c]]), pa.array(hashes[c]), pa.array(start[c].astype(np.int32))], names)
@@ -275,16 +283,12 @@ def repeated_windows(windows: DataFrame) -> DataFrame:
     return windows.repartition(spread, "window_hash").sortWithinPartitions("window_hash", "doc").mapInArrow(run, MARKS)
 
 
-def _keyed(df: DataFrame) -> DataFrame:
-    """Text with ``doc`` and ``text_hash``, by which marks find it."""
-    crc = F.crc32(F.encode("text", "UTF-8"))
-    return df.withColumn("text_hash", F.when(crc >= 2**31, crc - 2**32).otherwise(crc).cast("int"))
-
-
-def repeat_marks(df: DataFrame) -> DataFrame:
+def repeat_marks(df: DataFrame, apart: bool) -> DataFrame:
     """(doc, text_hash, spans): windows of ``df`` (doc, text) that a smaller document has, as (at, windows)."""
-    marks = materialize(settle(parse(df)), "repeat-marks")
-    more = materialize(repeated_windows(compared_windows(df, marks)), "repeat-windows")
+    marks = materialize(settle(parse(df, apart)), "repeat-marks")
+    release_shuffles(df.sparkSession)
+    more = materialize(repeated_windows(compared_windows(df, marks, apart)), "repeat-windows")
+    release_shuffles(df.sparkSession)
     return marks.filter("whole").unionByName(more).groupBy("doc", "text_hash").agg(F.collect_list(F.struct("at", "windows")).alias("spans"))
 
 
@@ -318,12 +322,12 @@ def without(raw: bytes, spans: list[tuple[int, int]]) -> bytes:
 
 
 def with_marks(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``df`` with ``spans``, null where nothing is repeated."""
+    """``df`` with a last column SPANS, null where nothing is repeated."""
     lean = df.select(F.coalesce(F.col(key).cast("long"), F.lit(LOWEST)).alias("doc"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    marks = repeat_marks(lean).withColumnsRenamed({"doc": "m_doc", "text_hash": "m_hash"})
-    crc = F.crc32(F.encode(F.coalesce(F.col(text), F.lit("")), "UTF-8"))
-    same = (F.coalesce(F.col(key).cast("long"), F.lit(LOWEST)) == F.col("m_doc")) & (F.when(crc >= 2**31, crc - 2**32).otherwise(crc).cast("int") == F.col("m_hash"))
-    return df.join(marks, same, "left").select(*df.columns, "spans")
+    apart = lean.count() != lean.select("doc").distinct().count()
+    marks = repeat_marks(lean, apart).withColumnsRenamed({"doc": "repeat_doc", "text_hash": "repeat_hash", "spans": SPANS})
+    same = (F.coalesce(F.col(key).cast("long"), F.lit(LOWEST)) == F.col("repeat_doc")) & (_text_hash_column(F.coalesce(F.col(text), F.lit("")), apart) == F.col("repeat_hash"))
+    return df.join(marks, same, "left").select(*[df[c] for c in df.columns], SPANS)
 
 
 def remove_repeats(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
