@@ -1,10 +1,11 @@
 """License scan by a positional rare-token index.
 
 Licence templates are split into words; every template word has its postings (template, position). How many of the
-corpus' documents hold each such word is counted over all of them, which gives the words' IDF. Of each file its
-highest-IDF licence words are looked up, and every posting votes for the position at which its template would start
-in the file. The best start of each template is verified: the template's mandatory key phrases must stand in the
-file, and enough of the template's words in their places.
+corpus' documents hold each such word is counted over all of them, which gives the words' IDF. Each template keeps its
+highest-IDF places in the index, as many as leave too few others to cover it: any start at which enough of the template
+stands has one of them in place. They are looked up in each file for the templates whose mandatory key phrases stand
+in it; every posting names the position at which its template would start. All these starts are verified: enough of
+the template's words must be in their places. The best coverage counts, and it is that of all starts there are.
 
 Files without any substring that a key phrase needs cannot pass that verification and are only counted. The base
 phrases' places are found in the word array itself.
@@ -26,8 +27,8 @@ from .common import documents, materialize
 #: Characters between words, upper case not yet lowered; splitting by a class of ASCII only is the fast way.
 NOT_WORD = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
-#: Highest-IDF licence words of a file that are looked up, and the share of a template that must stand in place.
-RARE_WORDS, MIN_COVERAGE = 12, 0.6
+#: Share of a template that must stand in place.
+MIN_COVERAGE = 0.6
 BASE = {"mit": "mit license", "apache": "apache license", "gpl": "general public license"}
 
 
@@ -81,9 +82,18 @@ def word_idf(words: DataFrame, templates: list[Template], n: int) -> DataFrame:
     return every.join(counts, "word", "left").select("word", F.log((n + 1.0) / (F.coalesce("df", F.lit(0)) + 1.0)).alias("idf"))
 
 
-def template_index(spark, templates: list[Template]) -> DataFrame:
-    rows = [(w, i, at) for i, t in enumerate(templates) for at, w in enumerate(t.text.split())]
-    return spark.createDataFrame(rows, "word string, template int, at int").groupBy("word").agg(F.collect_list(F.struct("template", "at")).alias("postings"))
+def least_in_place(t: Template) -> int:
+    n = len(t.text.split())
+    return next(k for k in range(n + 1) if k / n >= MIN_COVERAGE)
+
+
+def template_index(idf: DataFrame, templates: list[Template]) -> DataFrame:
+    """(word, postings): each template's rarest places, of which a start that passes has one in place at least."""
+    rows = [(w, i, at, len(t.text.split()) - least_in_place(t) + 1) for i, t in enumerate(templates) for at, w in enumerate(t.text.split())]
+    places = idf.sparkSession.createDataFrame(rows, "word string, template int, at int, needed int").join(idf, "word")
+    by_rarity = Window.partitionBy("template").orderBy(F.col("idf").desc(), "at")
+    rare = places.withColumn("rank", F.row_number().over(by_rarity)).filter("rank <= needed")
+    return rare.groupBy("word").agg(F.collect_list(F.struct("template", "at")).alias("postings"))
 
 
 def base_places(words: Column) -> Column:
@@ -102,35 +112,44 @@ def base_places(words: Column) -> Column:
     return F.concat(*[of_phrase(label, phrase.split()) for label, phrase in BASE.items()])
 
 
+def standing(words: Column, templates: list[Template]) -> Column:
+    """Array of the templates all of whose key phrases stand in the file."""
+    text = F.concat(F.lit(" "), F.array_join(words, " "), F.lit(" "))
+
+    def here(i: int, t: Template) -> Column:
+        phrases = F.lit(True)
+        for p in t.key_phrases:
+            phrases = phrases & F.contains(text, F.lit(f" {p} "))
+        return F.when(phrases, F.lit(i))
+
+    return F.array_compact(F.array(*[here(i, t) for i, t in enumerate(templates)]))
+
+
 def candidates(gated: DataFrame, idf: DataFrame, templates: list[Template]) -> DataFrame:
-    """(doc_key, candidates): for each file the best start of each template that its rare words vote for."""
-    spark = gated.sparkSession
+    """(doc_key, candidates): for each file all starts, of the templates that may stand in it, that a rare place names."""
     # The index has one row for each word of the fixed templates, so its size does not depend on the data.
-    index = F.broadcast(template_index(spark, templates).join(idf, "word"))
-    tokens = gated.select("doc_key", F.posexplode("words").alias("pos", "word")).join(index, "word")
-    by_rarity = Window.partitionBy("doc_key").orderBy(F.col("idf").desc(), "word")
-    rare = tokens.withColumn("rank", F.dense_rank().over(by_rarity)).filter(F.col("rank") <= RARE_WORDS)
-    votes = rare.select("doc_key", "idf", "pos", F.explode("postings").alias("p")).groupBy("doc_key", "p.template", (F.col("pos") - F.col("p.at")).alias("start")).agg(F.sum("idf").alias("weight"))
-    best = votes.groupBy("doc_key", "template").agg(F.max(F.struct("weight", (-F.col("start")).alias("minus"))).alias("b"))
-    found = F.collect_list(F.struct("template", (-F.col("b.minus")).alias("start")))
-    return best.groupBy("doc_key").agg(found.alias("candidates"))
+    index = F.broadcast(template_index(idf, templates))
+    possible = gated.select("doc_key", "words", standing(F.col("words"), templates).alias("standing")).filter(F.size("standing") > 0)
+    tokens = possible.select("doc_key", "standing", F.posexplode("words").alias("pos", "word")).join(index, "word")
+    named = tokens.select("doc_key", "standing", "pos", F.explode("postings").alias("p")).filter(F.array_contains("standing", F.col("p.template")))
+    starts = named.select("doc_key", "p.template", (F.col("pos") - F.col("p.at")).alias("start")).distinct()
+    return starts.groupBy("doc_key").agg(F.collect_list(F.struct("template", "start")).alias("candidates"))
 
 
 def verified(words: Column, found: Column, templates: list[Template]) -> Column:
-    """Array of (label, coverage) of the candidates that pass."""
-    text = F.concat(F.lit(" "), F.array_join(words, " "), F.lit(" "))
+    """Array of (label, coverage) of the templates of which a candidate passes, with the best coverage."""
 
     def check(i: int, t: Template) -> Column:
         tw = t.text.split()
-        start = F.get(F.filter(found, lambda c: c["template"] == i), F.lit(0))["start"]
-        in_place = sum((F.coalesce(F.get(words, start + k) == w, F.lit(False)).cast("int") for k, w in enumerate(tw)), F.lit(0))
-        coverage = in_place / float(len(tw))
-        phrases = F.lit(True)
-        for p in t.key_phrases:
-            phrases = phrases & F.contains(text, F.lit(f" {p} "))
-        return F.when(start.isNotNull() & phrases & (coverage >= MIN_COVERAGE), F.struct(F.lit(t.label).alias("label"), coverage.alias("coverage")))
 
-    return F.filter(F.array(*[check(i, t) for i, t in enumerate(templates)]), lambda c: c.isNotNull())
+        def coverage(c: Column) -> Column:
+            in_place = sum((F.coalesce(F.get(words, c["start"] + k) == w, F.lit(False)).cast("int") for k, w in enumerate(tw)), F.lit(0))
+            return in_place / float(len(tw))
+
+        best = F.array_max(F.transform(F.filter(found, lambda c: c["template"] == i), coverage))
+        return F.transform(F.filter(F.array(best), lambda b: b >= MIN_COVERAGE), lambda b: F.struct(F.lit(t.label).alias("label"), b.alias("coverage")))
+
+    return F.concat(*[check(i, t) for i, t in enumerate(templates)])
 
 
 def scan_licenses(df: DataFrame, templates: list[Template] = TEMPLATES, key: str = "doc_id", text: str = "text") -> DataFrame:
