@@ -1,10 +1,11 @@
 """Quality classifier: random-indexing word vectors pooled per document, a two-layer network, a temperature.
 
-A word (text between white space, as written) is itself where it is frequent in the training sample, else its last
-three characters stand for it. Each has a sparse random index vector; its word vector adds the index vectors of the
-words around its occurrences. A document is the mean of its word vectors and a few figures of its own. The network is
-trained on the driver from a bounded sample of labelled rows; the scores of a part it has not seen set the
-temperature that its logits are divided by. Scoring reads every word of every text, a batch at a time.
+A word (text between white space, as written) is itself where it is frequent in the documents, else its last three
+characters stand for it. Each has a sparse random index vector; its word vector adds the index vectors of the words
+around its occurrences. Both the counts of words and these sums are taken over all documents, added up in the workers
+first. A document is the mean of its word vectors and a few figures of its own. The network is trained on the driver
+from a bounded sample of labelled rows; the scores of a part it has not seen set the temperature that its logits are
+divided by. Scoring reads every word of every text, a batch at a time.
 
 Inputs of a score are the text's words only. Defined cases: a null or empty text has a zero vector and is scored like
 others; without labelled rows (or with one class alone) every score is that class' share, 1.0 without any; repeated
@@ -14,13 +15,14 @@ rows get equal scores; an empty table gives an empty result.
 from __future__ import annotations
 
 from collections import Counter
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import documents
+from .common import documents, forget, materialize
 
 #: Bounds of the training sample: labelled rows, and bytes of a text that may be in it.
 SAMPLE_ROWS, SAMPLE_BYTES = 4000, 60_000
@@ -28,6 +30,8 @@ DIM, HIDDEN, NONZERO, VOCABULARY, WINDOW = 64, 32, 4, 4000, 2
 EPOCHS, RATE, DECAY = 40, 3e-3, 1e-4
 THRESHOLD = 0.7
 FIGURES = 4
+#: Different words that a worker counts before it hands them on, and words whose surroundings are added up at once.
+COUNTED_WORDS, CHUNK_WORDS = 200_000, 100_000
 
 
 def held_out(doc_id) -> Column:
@@ -37,31 +41,56 @@ def held_out(doc_id) -> Column:
 class Vectors:
     """Word vectors by random indexing, with endings for words outside the vocabulary."""
 
-    def __init__(self, texts: list[str], seed: int = 7):
-        words = [t.split() for t in texts]
-        freq = Counter(w for ws in words for w in ws)
-        frequent = [w for w, n in sorted(freq.items(), key=lambda x: (-x[1], x[0]))[:VOCABULARY] if n >= 3]
-        common = set(frequent)
-        endings = Counter(w[-3:] for ws in words for w in ws if w not in common)
+    def __init__(self, frequent: list[str], endings: list[str], seed: int = 7):
         self.words = {w: i for i, w in enumerate(frequent)}
-        known = [e for e, n in sorted(endings.items(), key=lambda x: (-x[1], x[0])) if n >= 2][: 2 * VOCABULARY]
-        self.endings = {e: len(frequent) + i for i, e in enumerate(known)}
-        self.size = len(frequent) + len(known) + 1  # the last is for unknown endings
+        self.endings = {e: len(frequent) + i for i, e in enumerate(endings)}
+        self.size = len(frequent) + len(endings) + 1  # the last is for unknown endings
         rng = np.random.default_rng(seed)
-        index = np.zeros((self.size, DIM), np.float32)
+        self.index = np.zeros((self.size, DIM), np.int64)
         for i in range(self.size):
-            index[i, rng.choice(DIM, NONZERO, replace=False)] = rng.choice([-1.0, 1.0], NONZERO)
-        around = np.zeros_like(index)
-        for ws in words:
-            ids = self.ids(ws)
-            if len(ids) > 1:
-                near = np.zeros((len(ids), DIM), np.float32)
+            self.index[i, rng.choice(DIM, NONZERO, replace=False)] = rng.choice([-1, 1], NONZERO)
+        self.table = None
+
+    def surroundings(self, texts) -> np.ndarray:
+        """For each word, the sum of the index vectors around its occurrences: whole numbers, so in any order the same."""
+        # Row ``size`` is a gap between texts, which adds nothing.
+        places = np.zeros((self.size + 1, NONZERO), np.int64)
+        signs = np.zeros((self.size + 1, NONZERO))
+        places[:-1] = np.nonzero(self.index)[1].reshape(-1, NONZERO)
+        signs[:-1] = np.take_along_axis(self.index, places[:-1], 1)
+        around, gap = np.zeros((self.size + 1) * DIM, np.int64), np.full(WINDOW, self.size)
+
+        def add(parts: list[np.ndarray]) -> None:
+            ids = np.concatenate(parts)
+            # In steps by a pair's first word, so that a long text isn't worked on at once.
+            for at in range(0, len(ids), CHUNK_WORDS):
+                keys, values = [], []
                 for d in range(1, WINDOW + 1):
-                    near[d:] += index[ids[:-d]]
-                    near[:-d] += index[ids[d:]]
-                np.add.at(around, ids, near)
+                    after = ids[at + d : at + CHUNK_WORDS + d]
+                    before = ids[at : at + len(after)]
+                    for here, there in ((before, after), (after, before)):
+                        keys.append((here[:, None] * DIM + places[there]).ravel())
+                        values.append(signs[there].ravel())
+                around[:] += np.rint(np.bincount(np.concatenate(keys), np.concatenate(values), len(around))).astype(np.int64)
+
+        parts, n = [], 0
+        for t in texts:
+            ids = self.ids(t.split())
+            parts += [ids, gap]
+            n += len(ids)
+            if n >= CHUNK_WORDS:
+                add(parts)
+                parts, n = [], 0
+        if parts:
+            add(parts)
+        return around.reshape(-1, DIM)[:-1]
+
+    def settle(self, around: np.ndarray) -> None:
+        """Make the word vectors of what stands around the words."""
+        around = around.astype(np.float32)
         norm = np.linalg.norm(around, axis=1, keepdims=True)
-        self.table = index + np.divide(around, norm, out=np.zeros_like(around), where=norm > 0)
+        self.table = self.index.astype(np.float32) + np.divide(around, norm, out=np.zeros_like(around), where=norm > 0)
+        self.index = None
 
     def ids(self, words: list[str]) -> np.ndarray:
         known, endings, last = self.words.get, self.endings.get, self.size - 1
@@ -141,12 +170,14 @@ class Network:
 
 
 class Classifier:
-    def __init__(self, texts: list[str], labels: list[int]):
+    """``vectors`` is called for the word vectors if there is enough to train on."""
+
+    def __init__(self, texts: list[str], labels: list[int], vectors: Callable[[], Vectors]):
         y = np.array(labels, float)
         self.constant = float(y.mean()) if len(y) else 1.0
         self.fitted = 0 < self.constant < 1 and len(y) >= 10
         if self.fitted:
-            self.vectors = Vectors(texts)
+            self.vectors = vectors()
             mean, figures = self.vectors.pooled(texts, self.vectors.table)
             net = Network(np.hstack([mean, figures]), y)
             # The first layer is linear in the mean, so it is applied to the word vectors once.
@@ -164,13 +195,58 @@ class Classifier:
         return 1 / (1 + np.exp(-np.clip(logit / self.temperature + self.shift, -40, 40)))
 
 
+def word_counts(bodies: DataFrame) -> DataFrame:
+    """(word, n) over all texts of the one column of ``bodies``."""
+
+    def run(batches):
+        counts: Counter[str] = Counter()
+
+        def out() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(counts.keys(), pa.string()), pa.array(counts.values(), pa.int64())], ["word", "n"])
+
+        for batch in batches:
+            for t in batch.column(0):
+                counts.update(t.as_py().split())
+                if len(counts) > COUNTED_WORDS:
+                    yield out()
+                    counts.clear()
+        yield out()
+
+    return bodies.mapInArrow(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
+
+
+def corpus_vectors(docs: DataFrame, text: str = "text") -> Vectors:
+    """Word vectors of all documents. What comes to the driver is bounded by the vocabulary."""
+    bodies = docs.select(F.coalesce(F.col(text), F.lit("")).alias("body"))
+    counts = materialize(word_counts(bodies), "quality-words")
+    frequent = [r["word"] for r in counts.filter("n >= 3").orderBy(F.col("n").desc(), "word").limit(VOCABULARY).collect()]
+    common = docs.sparkSession.createDataFrame([(w,) for w in frequent], "word string")
+    rest = counts.join(F.broadcast(common), "word", "left_anti")
+    endings = rest.groupBy(F.right("word", F.lit(3)).alias("ending")).agg(F.sum("n").alias("n")).filter("n >= 2")
+    known = [r["ending"] for r in endings.orderBy(F.col("n").desc(), "ending").limit(2 * VOCABULARY).collect()]
+    forget(counts)
+    vectors, dims = Vectors(frequent, known), [f"v{k}" for k in range(DIM)]
+
+    def run(batches):
+        around = vectors.surroundings(t.as_py() for batch in batches for t in batch.column(0))
+        some = np.flatnonzero(around.any(axis=1))
+        yield pa.RecordBatch.from_arrays([pa.array(some, pa.int64()), *[pa.array(around[some, k]) for k in range(DIM)]], ["id", *dims])
+
+    sums = bodies.mapInArrow(run, "id long, " + ", ".join(f"{v} long" for v in dims)).groupBy("id").agg(*[F.sum(v).alias(v) for v in dims])
+    around = np.zeros((vectors.size, DIM), np.int64)
+    for r in sums.collect():
+        around[r[0]] = r[1:]
+    vectors.settle(around)
+    return vectors
+
+
 def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text") -> Classifier:
-    """Fit on the rows of smallest hash among those that are labelled and not held out."""
+    """Word vectors of all documents; the network is fit on the rows of smallest hash among those that are labelled and not held out."""
     known = labels.filter(F.col("quality").isNotNull() & ~F.coalesce(held_out("doc_id"), F.lit(True))).select(F.col("doc_id").alias("label_id"), F.col("quality").cast("int").alias("quality"))
     known = known.orderBy(F.xxhash64("label_id"), "label_id").limit(SAMPLE_ROWS)  # bounded, so it may be broadcast
     body = docs.select(F.col(key).alias("label_id"), F.coalesce(F.col(text), F.lit("")).alias("body")).filter(F.octet_length("body") <= SAMPLE_BYTES)
     rows = body.join(F.broadcast(known), "label_id").orderBy("label_id", "quality", "body").limit(SAMPLE_ROWS).collect()
-    return Classifier([r["body"] for r in rows], [r["quality"] for r in rows])
+    return Classifier([r["body"] for r in rows], [r["quality"] for r in rows], lambda: corpus_vectors(docs, text))
 
 
 def score_documents(df: DataFrame, model: Classifier, text: str = "text", name: str = "score") -> DataFrame:
