@@ -20,7 +20,7 @@ from loomtext.llm.repeats import remove_repeats
 from loomtext.llm.superminhash import near_duplicates
 
 #: Names that the stages use beside those of the table.
-SIZE, SCORE = "mix_size", "quality_score_of_stage"
+SIZE, SCORE, HASH = "mix_size", "quality_score_of_stage", "text_hash_of_stage"
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -30,10 +30,12 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, that of the least id, of each group of near-duplicates; of rows that share an id, one."""
-    found = near_duplicates(docs, percent=80)
-    kept = found.filter("doc_id = component_id").select("doc_id").distinct()
-    named = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    """One document, that of the least id, of each group of near-duplicates; of rows that share id and text, one."""
+    found = near_duplicates(docs, percent=80).filter("doc_id = component_id")
+    # Texts of one id are told apart by their hash. Those without words are linked with nothing, so each is kept.
+    alone = F.when(F.col("group").isNull(), F.col("text_hash"))
+    kept = found.groupBy("doc_id", "group", alone.alias("alone")).agg(F.min("text_hash").alias(HASH)).select("doc_id", HASH)
+    named = docs.withColumn(HASH, F.xxhash64("text")).join(kept, ["doc_id", HASH], "left_semi").dropDuplicates(["doc_id", HASH])
     return named.select(*docs.columns).unionByName(docs.filter("doc_id is null"))
 
 

@@ -9,8 +9,9 @@ components, the members of different components are compared block by block: no
 has already joined isn't compared.
 
 Defined cases: a null text, or one without words, has an empty set and is linked with nothing; a text of fewer than
-five words has its whole sequence as its one shingle; rows that share an id count as one node; rows without an id keep
-a null component; an empty table gives an empty result.
+five words has its whole sequence as its one shingle; rows that share an id but not a set are each judged by their own
+text (only what is alike is linked), and several of them can be kept; rows without an id keep a null component; an
+empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -109,11 +110,11 @@ def band_hashes(signature: np.ndarray) -> np.ndarray:
     return h.astype(np.int64)
 
 
-SKETCH = "doc_id long, n_shingles long, set_key binary, bands array<long>"
+SKETCH = "doc_id long, n_shingles long, set_key binary, bands array<long>, text_hash long"
 
 
 def sketch(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """A row for each document: size and hash of its set, and its band hashes."""
+    """A row for each document: size and hash of its set, its band hashes, and the hash of its text."""
 
     def run(batches):
         known = WordHashes()
@@ -133,9 +134,9 @@ def sketch(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
                         some.append(i)
                         size += len(sets[i])
                 keys = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets]
-                yield pa.RecordBatch.from_arrays([b.column(0), pa.array(map(len, sets), pa.int64()), pa.array(keys, pa.binary()), pa.array(bands, pa.list_(pa.int64()))], [c.split()[0] for c in SKETCH.split(", ")])
+                yield pa.RecordBatch.from_arrays([b.column(0), pa.array(map(len, sets), pa.int64()), pa.array(keys, pa.binary()), pa.array(bands, pa.list_(pa.int64())), b.column(2)], [c.split()[0] for c in SKETCH.split(", ")])
 
-    return df.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(run, SKETCH)
+    return df.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"), F.xxhash64(text).alias("text_hash")).mapInArrow(run, SKETCH)
 
 
 def confirm(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
@@ -202,12 +203,30 @@ def alike_in_size(percent: int):
     return (100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")) & (F.col("a") != F.col("b"))
 
 
+def numbered(sketches: DataFrame) -> DataFrame:
+    """(set_key, least, text_hash, node): each class with the id and text of one of its rows, and a number of its own.
+
+    It is the class' least id. Of classes that share their least id only one has it; the others have 64 bits of their
+    set's hash instead.
+    """
+    least = F.min(F.struct("doc_id", "text_hash"))
+    classes = sketches.filter("n_shingles > 0 and doc_id is not null").groupBy("set_key").agg(least.alias("l")).select("set_key", F.col("l.doc_id").alias("least"), F.col("l.text_hash").alias("text_hash"))
+    classes = materialize(classes, "nd-sets")
+    shared = classes.groupBy(F.col("least").alias("shared")).agg(F.min("set_key").alias("first_key"), F.count(F.lit(1)).alias("k")).filter("k > 1")
+    own = F.when(F.col("set_key") != F.col("first_key"), F.xxhash64("set_key"))
+    return classes.join(shared, F.col("least") == F.col("shared"), "left").select("set_key", "least", "text_hash", F.coalesce(own, F.col("least")).alias("node"))
+
+
 def near_duplicates(df: DataFrame, percent: int = 85, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, n_shingles, component_id): documents linked at ``percent`` share one component, named by its least id."""
+    """(doc_id, n_shingles, component_id, text_hash, group): documents linked at ``percent`` share one component.
+
+    It is named by its least id; ``group`` tells components apart that share that name, and is null for empty sets.
+    """
     s = materialize(sketch(df, key, text), "nd-sketch")
-    classes = materialize(s.filter("n_shingles > 0 and doc_id is not null").groupBy("set_key").agg(F.min("doc_id").alias("node")), "nd-classes")
-    # One row of every class; rows of one id with several texts bring all their bands.
-    nodes = s.join(classes.withColumnRenamed("set_key", "c_key"), (F.col("set_key") == F.col("c_key")) & (F.col("doc_id") == F.col("node"))).select("node", F.col("n_shingles").alias("n"), F.explode("bands").alias("bucket")).distinct()
+    classes = materialize(numbered(s), "nd-classes")
+    # One row of every class.
+    one = (F.col("set_key") == F.col("c_key")) & (F.col("doc_id") == F.col("least")) & (F.col("text_hash") == F.col("c_hash"))
+    nodes = s.join(classes.withColumnsRenamed({"set_key": "c_key", "text_hash": "c_hash"}), one).select("node", F.col("n_shingles").alias("n"), F.explode("bands").alias("bucket")).distinct()
     nodes = materialize(nodes, "nd-bands")
     buckets = nodes.groupBy("bucket").agg(F.count(F.lit(1)).alias("m"), F.min(F.struct("node", "n")).alias("leader")).filter("m > 1")
     members = materialize(nodes.join(buckets, "bucket").select("bucket", "node", "n", "m", F.col("leader.node").alias("leader"), F.col("leader.n").alias("leader_n")), "nd-members")
@@ -216,10 +235,12 @@ def near_duplicates(df: DataFrame, percent: int = 85, key: str = "doc_id", text:
     few = members.filter(F.col("m") <= SMALL_BUCKET)
     each = few.select("bucket", F.col("node").alias("a"), F.col("n").alias("n_a")).join(few.select("bucket", F.col("node").alias("b"), F.col("n").alias("n_b")), "bucket").filter("a < b").drop("bucket")
     pairs = materialize(star.unionByName(each).filter(alike_in_size(percent)).select("a", "b").distinct(), "nd-pairs")
-    # Texts of those nodes only that a pair may need; a node's body is that of any row of its id with this set.
+    # Texts of those nodes only that a pair may need: the row of the id and text that the class is named by.
     wanted = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).unionByName(members.filter(F.col("m") > SMALL_BUCKET).select("node")).distinct()
     # The list of wanted nodes grows with the documents, so it is never broadcast, however small it may be here.
-    texts = df.select(F.col(key).cast("long").alias("node"), F.col(text).alias("body")).join(wanted.hint("merge"), "node").dropDuplicates(["node"])
+    wanted = classes.select("node", "least", "text_hash").join(wanted.hint("merge"), "node").hint("merge")
+    bodies = df.select(F.col(key).cast("long").alias("least"), F.xxhash64(text).alias("text_hash"), F.col(text).alias("body"))
+    texts = bodies.join(wanted, ["least", "text_hash"]).dropDuplicates(["least", "text_hash"]).select("node", "body")
     texts = materialize(texts, "nd-texts")
 
     links = materialize(confirm(pairs, texts, percent), "nd-links")
@@ -235,8 +256,10 @@ def near_duplicates(df: DataFrame, percent: int = 85, key: str = "doc_id", text:
     for used in (nodes, members, pairs, texts, links, placed):
         forget(used)
 
-    out = s.select("doc_id", "n_shingles", "set_key").join(classes, "set_key", "left").join(roots, "node", "left")
-    return out.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("root", "node", "doc_id")).alias("component_id"))
+    names = roots.join(classes.select("node", "least"), "node").groupBy("root").agg(F.min("least").alias("name"))
+    out = s.select("doc_id", "n_shingles", "text_hash", "set_key").join(classes.select("set_key", "node", "least"), "set_key", "left").join(roots, "node", "left").join(names, "root", "left")
+    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("name", "least", "doc_id"))
+    return out.select("doc_id", "n_shingles", component.alias("component_id"), "text_hash", F.coalesce("root", "node").alias("group"))
 
 
 def op9_superminhash(spark, sf_dir):
