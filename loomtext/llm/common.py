@@ -3,11 +3,9 @@
 from __future__ import annotations
 
 import atexit
-import gc
 import re
 import shutil
 import tempfile
-import time
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -40,28 +38,27 @@ def delete_path(spark: SparkSession, path: str) -> None:
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def delete_at_end(spark: SparkSession, path: str) -> None:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    store = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    store.mkdirs(p)
+    store.deleteOnExit(p)
+
+
 def materialize(df: DataFrame, tag: str, codec: str = "zstd") -> DataFrame:
-    """Write ``df`` to the shared folder and read it back: cuts lineage and survives lost executors."""
+    """Write ``df`` to the shared folder and read it back: cuts lineage and survives lost executors.
+
+    What :func:`forget` doesn't drop before is deleted when the driver ends, as lazy results may still read it.
+    """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{tag}-{uuid.uuid4().hex}"
-    df.write.option("compression", codec).parquet(path)
+    delete_at_end(spark, path)
+    df.write.mode("append").option("compression", codec).parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out.loomtext_path = path
     return out
 
 
-def release_shuffles(spark: SparkSession) -> None:
-    """Let Spark delete the shuffle files of plans that nothing refers to any more.
-
-    It does so when the driver collects its garbage, which may otherwise be half an hour away. What Python has let go
-    of is known to the JVM with the next call only, hence twice.
-    """
-    for _ in range(2):
-        gc.collect()
-        spark.sparkContext._jvm.System.gc()
-        time.sleep(0.5)
-
-
 def forget(df: DataFrame) -> None:
     """Drop what :func:`materialize` wrote, once nothing reads it any more."""
     delete_path(df.sparkSession, df.loomtext_path)
