@@ -4,8 +4,8 @@ A word (text between white space, as written) is itself where it is frequent in
 characters stand for it. Each has a sparse random index vector; its word vector adds the index vectors of the words
 around its occurrences. Both the counts of words and these sums are taken over all documents, added up in the workers
 first. A document is the mean of its word vectors and a few figures of its own. The network is trained on the driver
-from a bounded sample of labelled rows; the scores of a part it has not seen set the temperature that its logits are
-divided by. Scoring reads every word of every text, a batch at a time.
+from a bounded sample of labelled rows; logits by networks that have not seen their rows set the temperature that its
+logits are divided by, and a shift. Scoring reads every word of every text, a batch at a time.
 
 Inputs of a score are the text's words only. Defined cases: a null or empty text has a zero vector and is scored like
 others; without labelled rows (or with one class alone) every score is that class' share, 1.0 without any; repeated
@@ -28,6 +28,8 @@ from .common import documents, forget, materialize
 SAMPLE_ROWS, SAMPLE_BYTES = 4000, 60_000
 DIM, HIDDEN, NONZERO, VOCABULARY, WINDOW = 64, 32, 4, 4000, 2
 EPOCHS, RATE, DECAY = 40, 3e-3, 1e-4
+#: Parts that calibration holds out in turn, and rows that its prior counts for.
+FOLDS, PRIOR_ROWS = 3, 0.5
 THRESHOLD = 0.7
 FIGURES = 4
 #: Different words that a worker counts before it hands them on, and words whose surroundings are added up at once.
@@ -129,18 +131,16 @@ class Network:
         rng = np.random.default_rng(seed)
         self.mean, self.scale = x.mean(0), x.std(0) + 1e-3
         z = (x - self.mean) / self.scale
-        cut = rng.permutation(len(z))
-        fit, held = cut[len(cut) // 5 :], cut[: len(cut) // 5]
         self.w1, self.b1 = rng.normal(0, z.shape[1] ** -0.5, (z.shape[1], HIDDEN)), np.zeros(HIDDEN)
         self.w2, self.b2 = rng.normal(0, HIDDEN**-0.5, HIDDEN), 0.0
-        # Classes count alike in training; the temperature and shift below put the probabilities right.
+        # Classes count alike in training; the temperature and shift put the probabilities right.
         weight = np.where(y == 1, 0.5 / max(y.mean(), 1e-6), 0.5 / max(1 - y.mean(), 1e-6))
         m = [np.zeros_like(p) for p in (self.w1, self.b1, self.w2, np.zeros(1))]
         v = [np.zeros_like(p) for p in m]
         step = 0
         for _ in range(EPOCHS):
-            for at in range(0, len(fit), 64):
-                some = rng.choice(fit, min(64, len(fit)), replace=False)
+            for _ in range(0, len(z), 64):
+                some = rng.choice(len(z), min(64, len(z)), replace=False)
                 a, h = z[some], np.tanh(z[some] @ self.w1 + self.b1)
                 err = (1 / (1 + np.exp(-np.clip(h @ self.w2 + self.b2, -40, 40))) - y[some]) * weight[some] / len(some)
                 back = np.outer(err, self.w2) * (1 - h * h)
@@ -152,40 +152,64 @@ class Network:
                     v[k] = 0.999 * v[k] + 0.001 * g * g
                     p -= RATE * (m[k] / (1 - 0.9**step)) / (np.sqrt(v[k] / (1 - 0.999**step)) + 1e-8)
                 self.b2 = float(params[3][0])
-        self.temperature, self.shift = self._calibrated(self._logit(z[held]), y[held])
 
-    def _logit(self, z: np.ndarray) -> np.ndarray:
-        return np.tanh(z @ self.w1 + self.b1) @ self.w2 + self.b2
+    def logit(self, x: np.ndarray) -> np.ndarray:
+        return np.tanh((x - self.mean) / self.scale @ self.w1 + self.b1) @ self.w2 + self.b2
 
-    @staticmethod
-    def _calibrated(logit: np.ndarray, y: np.ndarray) -> tuple[float, float]:
-        """Temperature and shift of least log loss on rows that training has not seen."""
 
-        def loss(t: float, s: float) -> float:
-            p = np.clip(1 / (1 + np.exp(-np.clip(logit / t + s, -40, 40))), 1e-6, 1 - 1e-6)
-            return float(-(y * np.log(p) + (1 - y) * np.log(1 - p)).mean())
+def unseen_logits(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Every row's logit by a network that has not seen it."""
+    fold = np.random.default_rng(5).permutation(len(y)) % min(FOLDS, len(y))
+    out = np.zeros(len(y))
+    for k in range(fold.max() + 1):
+        out[fold == k] = Network(x[fold != k], y[fold != k]).logit(x[fold == k])
+    return out
 
-        grid = [(t, s) for t in np.geomspace(0.5, 8, 25) for s in np.linspace(-1, 3, 17)]
-        return min(grid, key=lambda g: loss(*g)) if len(y) else (1.0, 0.0)
+
+def calibrated(logit: np.ndarray, y: np.ndarray) -> tuple[float, float]:
+    """Temperature and shift of least log loss, by Newton's method.
+
+    The loss has PRIOR_ROWS times the squared distance of (1 / temperature, shift) from (1, 0) added, so that it has
+    one optimum however few the rows are; an inverse temperature below 1 / 64 is taken for that.
+    """
+    a, b = 1.0, 0.0
+    x = np.column_stack([np.clip(logit, -40, 40), np.ones(len(y))])
+
+    def loss(a, b):
+        z = x @ (a, b)
+        return np.logaddexp(0, z).sum() - (y * z).sum() + PRIOR_ROWS * ((a - 1) ** 2 + b**2)
+
+    for _ in range(50):
+        p = 1 / (1 + np.exp(-np.clip(x @ (a, b), -40, 40)))
+        step = np.linalg.solve((x.T * (p * (1 - p))) @ x + 2 * PRIOR_ROWS * np.eye(2), x.T @ (p - y) + 2 * PRIOR_ROWS * np.array([a - 1, b]))
+        size = 1.0
+        while size > 1e-6 and loss(a - size * step[0], b - size * step[1]) > loss(a, b):
+            size /= 2
+        a, b = a - size * step[0], b - size * step[1]
+        if np.abs(step).max() < 1e-9:
+            break
+    return 1 / max(a, 1 / 64), float(b)
 
 
 class Classifier:
-    """``vectors`` is called for the word vectors if there is enough to train on."""
+    """``vectors`` is called for the word vectors if there are labels of both classes."""
 
     def __init__(self, texts: list[str], labels: list[int], vectors: Callable[[], Vectors]):
         y = np.array(labels, float)
         self.constant = float(y.mean()) if len(y) else 1.0
-        self.fitted = 0 < self.constant < 1 and len(y) >= 10
+        self.fitted = 0 < self.constant < 1
         if self.fitted:
             self.vectors = vectors()
             mean, figures = self.vectors.pooled(texts, self.vectors.table)
-            net = Network(np.hstack([mean, figures]), y)
+            x = np.hstack([mean, figures])
+            net = Network(x, y)
+            self.temperature, self.shift = calibrated(unseen_logits(x, y), y)
             # The first layer is linear in the mean, so it is applied to the word vectors once.
             w = net.w1 / net.scale[:, None]
             self.table = (self.vectors.table @ w[:DIM]).astype(np.float32)
             self.vectors.table = None
             self.figures, self.bias = w[DIM:], net.b1 - net.mean @ w
-            self.w2, self.b2, self.temperature, self.shift = net.w2, net.b2, net.temperature, net.shift
+            self.w2, self.b2 = net.w2, net.b2
 
     def score(self, texts: list[str]) -> np.ndarray:
         if not self.fitted:

@@ -34,7 +34,9 @@ def small(spark, tmp_path_factory):
     """Tables with nulls, empty and long texts, copies, a repeated row and columns of clashing names."""
     d = tmp_path_factory.mktemp("small")
     spark.createDataFrame(docs_rows(), SCHEMA).repartition(3).write.parquet(f"{d}/documents.parquet")
-    spark.createDataFrame([(i * 3, i % 2, None) for i in range(20)], "doc_id long, quality int, toxic int").write.parquet(f"{d}/labels.parquet")
+    # Texts of ten words or more are good: the figures of a text tell.
+    labels = [(i * 3, int(len((t or "").split()) >= 10), None) for i, t in enumerate(texts())]
+    spark.createDataFrame(labels[:20], "doc_id long, quality int, toxic int").write.parquet(f"{d}/labels.parquet")
     return str(d)
 
 
