@@ -4,8 +4,9 @@ Licence templates are split into words; every template word has its postings (te
 corpus' documents hold each such word is counted over all of them, which gives the words' IDF. Each template keeps its
 highest-IDF places in the index, as many as leave too few others to cover it: any start at which enough of the template
 stands has one of them in place. They are looked up in each file for the templates whose mandatory key phrases stand
-in it; every posting names the position at which its template would start. All these starts are verified: enough of
-the template's words must be in their places. The best coverage counts, and it is that of all starts there are.
+in it; every posting names the position at which its template would start. All these starts are verified: the key
+phrases and enough of the template's words must be in their places. The best coverage counts, and it is that of all
+starts there are.
 
 Files without any substring that a key phrase needs cannot pass that verification and are only counted. The base
 phrases' places are found in the word array itself.
@@ -18,6 +19,7 @@ from __future__ import annotations
 
 import re
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -137,21 +139,35 @@ def candidates(gated: DataFrame, idf: DataFrame, templates: list[Template]) -> D
 
 
 def verified(words: Column, found: Column, templates: list[Template]) -> Column:
-    """Array of (label, coverage) of the templates of which a candidate passes, with the best coverage."""
+    """Array of (label, coverage) of the templates of which a candidate passes, with the best coverage.
+
+    A candidate passes where all key phrases stand in their places of the template and enough of its words do.
+    """
 
     def check(i: int, t: Template) -> Column:
         tw = t.text.split()
+        must = {k + j for p in t.key_phrases for k in [key_place(tw, p.split())] for j in range(len(p.split()))}
+
+        def in_place(c: Column, k: int) -> Column:
+            return F.coalesce((c["start"] + k >= 0) & (F.get(words, c["start"] + k) == tw[k]), F.lit(False))
+
+        def keyed(c: Column) -> Column:
+            return reduce(lambda a, b: a & b, [in_place(c, k) for k in sorted(must)], c["template"] == i)
 
         def coverage(c: Column) -> Column:
-            in_place = sum((F.coalesce(F.get(words, c["start"] + k) == w, F.lit(False)).cast("int") for k, w in enumerate(tw)), F.lit(0))
-            return in_place / float(len(tw))
+            return sum((in_place(c, k).cast("int") for k in range(len(tw))), F.lit(0)) / float(len(tw))
 
-        best = F.array_max(F.transform(F.filter(found, lambda c: c["template"] == i), coverage))
+        best = F.array_max(F.transform(F.filter(found, keyed), coverage))
         return F.transform(F.filter(F.array(best), lambda b: b >= MIN_COVERAGE), lambda b: F.struct(F.lit(t.label).alias("label"), b.alias("coverage")))
 
     return F.concat(*[check(i, t) for i, t in enumerate(templates)])
 
 
+def key_place(words: list[str], phrase: list[str]) -> int:
+    """Where in the template its key phrase stands."""
+    return next(k for k in range(len(words)) if words[k : k + len(phrase)] == phrase)
+
+
 def scan_licenses(df: DataFrame, templates: list[Template] = TEMPLATES, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(key, n_words, places, found): places of base phrases as (at, label), verified templates as (label, coverage)."""
     bare = F.coalesce(F.col(text), F.lit(""))

@@ -16,11 +16,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import documents, materialize, uniform
+from .common import documents, materialize
 
 WORD = r"[^\x20\x09-\x0D]+"
-#: Cells of a source's seeded order. Only the cell in which its sample ends is ever sorted.
-CELLS = 16_384
+#: A source's seeded order has 2 ** CELL_BITS cells. Only the cell in which its sample ends is ever sorted.
+CELL_BITS = 14
 #: Sources up to which their plan is broadcast (some 100 bytes each); beyond, it is joined by shuffle.
 BROADCAST_SOURCES = 50_000
 
@@ -70,8 +70,13 @@ def plan_sources(df: DataFrame, weights, max_epochs: float, budget: float, seed:
     return plan.select("source", "source_size", "target", "whole", F.coalesce("edge.cell", F.lit(-1)).alias("edge_cell"), F.coalesce("edge.rest", F.lit(0)).alias("edge_rest"))
 
 
+def _seeded(seed: int, key: str) -> Column:
+    """A number in [0, 2^52) of the seed and the key alone, the same in any engine that has MD5."""
+    return F.conv(F.left(F.md5(F.concat(F.lit(f"{seed}|"), F.coalesce(F.col(key).cast("string"), F.lit("")))), F.lit(13)), 16, 10).cast("long")
+
+
 def _cell(seed: int, key: str) -> Column:
-    return F.floor(uniform(seed, F.col(key)) * CELLS).cast("int")
+    return F.shiftright(_seeded(seed, key), 52 - CELL_BITS).cast("int")
 
 
 def mix(df: DataFrame, weights=(5.0, 2.0, 1.0), max_epochs: float = 3.0, budget: float = 1.0, seed: int = 17, key: str = "doc_id", source: str = "source", size: str = "size") -> DataFrame:
@@ -83,7 +88,7 @@ def mix(df: DataFrame, weights=(5.0, 2.0, 1.0), max_epochs: float = 3.0, budget:
     rows = df.withColumn("mix_cell", _cell(seed, key)).join(plan, F.col(source).eqNullSafe(F.col("mix_source")), "left")
     size_col = F.coalesce(F.col(size), F.lit(0)).cast("long")
     inside = rows.filter(F.col("mix_cell") != F.col("edge_cell")).withColumn("mix_extra", F.when(F.col("mix_cell") < F.col("edge_cell"), size_col).otherwise(0))
-    order = Window.partitionBy("mix_source").orderBy(uniform(seed, F.col(key)), F.col(key), F.xxhash64(*[F.col(c) for c in df.columns]))
+    order = Window.partitionBy("mix_source").orderBy(_seeded(seed, key), F.col(key), F.xxhash64(*[F.col(c) for c in df.columns]))
     before = F.coalesce(F.sum(size_col).over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     edge = rows.filter(F.col("mix_cell") == F.col("edge_cell")).withColumn("mix_extra", F.greatest(F.lit(0), F.least(size_col, F.col("edge_rest") - before)))
     out = inside.unionByName(edge)
@@ -99,8 +104,10 @@ def repeated(mixed: DataFrame, text: str = "text", size: str = "size") -> DataFr
     copies = F.col("mix_whole").cast("int") + extra
     out = mixed.filter(copies > 0).withColumn("mix_copy", F.explode(F.sequence(F.lit(0), copies - 1)))
     part = (F.col("mix_copy") == F.col("mix_whole")) & (F.col("mix_extra") < F.col(size))
-    words = F.filter(F.split(text, r"[\x20\x09-\x0D]+"), lambda w: w != "")
-    cut = F.array_join(F.slice(words, F.lit(1), F.col("mix_extra").cast("int")), " ")
+    # Words with the white space that follows them; what is before the first word is a part of its own.
+    words = F.split(text, r"(?<=[\x20\x09-\x0D])(?=[^\x20\x09-\x0D])")
+    lead = F.regexp_like(text, F.lit(r"^[\x20\x09-\x0D]")).cast("int")
+    cut = F.array_join(F.slice(words, F.lit(1), (F.col("mix_extra") + lead).cast("int")), "")
     return out.withColumn(text, F.when(part, cut).otherwise(F.col(text)))
 
 

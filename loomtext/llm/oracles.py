@@ -1,3 +1,90 @@
 """DuckDB SQL of those corpus queries that SQL can express."""
 
-ORACLES: dict[str, str] = {}
+from __future__ import annotations
+
+from .licenses import BASE, MIN_COVERAGE, TEMPLATES, UPPER
+
+#: Groups, not windows of hashes: the strings themselves are compared.
+REPEATS = """
+WITH d AS (SELECT doc_id, encode(coalesce(text, '')) AS b, octet_length(encode(coalesce(text, ''))) AS n FROM documents),
+places AS (SELECT doc_id, b, unnest(range(0, n - 49)) AS p FROM d WHERE n >= 50),
+w AS (SELECT doc_id, p, array_slice(b, p + 1, p + 50) AS s FROM places),
+again AS (SELECT doc_id, p FROM (SELECT doc_id, p, min(doc_id) OVER (PARTITION BY s) AS least FROM w) WHERE doc_id > least),
+gaps AS (SELECT doc_id, p, CASE WHEN p <= lag(p) OVER (PARTITION BY doc_id ORDER BY p) + 50 THEN 0 ELSE 1 END AS new FROM again),
+runs AS (SELECT doc_id, p, sum(new) OVER (PARTITION BY doc_id ORDER BY p) AS run FROM gaps),
+spans AS (SELECT doc_id, run, min(p) AS a, max(p) + 50 AS z FROM runs GROUP BY doc_id, run),
+totals AS (SELECT doc_id, sum(z - a)::BIGINT AS n_removed, count(*) AS n_spans FROM spans GROUP BY doc_id),
+edges AS (SELECT doc_id, a, lag(z, 1, 0) OVER (PARTITION BY doc_id ORDER BY a) AS begin FROM spans),
+kept AS (SELECT e.doc_id, begin, hex(array_slice(b, begin + 1, a)) AS h FROM edges e JOIN d USING (doc_id) WHERE a > begin
+  UNION ALL SELECT s.doc_id, z, hex(array_slice(any_value(b), z + 1, any_value(n))) FROM (SELECT doc_id, max(z) AS z FROM spans GROUP BY doc_id) s JOIN d USING (doc_id) GROUP BY s.doc_id, z HAVING any_value(n) > z),
+joined AS (SELECT doc_id, unhex(string_agg(h, '' ORDER BY begin)) AS b FROM kept GROUP BY doc_id)
+SELECT d.doc_id, d.n::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans,
+  sha256(CASE WHEN n_spans IS NULL THEN d.b ELSE coalesce(j.b, ''::BLOB) END) AS kept_sha256
+FROM d LEFT JOIN totals t ON t.doc_id = d.doc_id LEFT JOIN joined j ON j.doc_id = d.doc_id
+"""
+
+NEAR = f"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{UPPER.lower()}'), '[^\\x20\\x09-\\x0D]+') AS words FROM documents),
+s AS (SELECT doc_id, CASE WHEN len(words) = 0 THEN [] WHEN len(words) < 5 THEN [array_to_string(words, ' ')]
+  ELSE list_distinct(list_transform(range(1, len(words) - 3), lambda i: array_to_string(words[i:i + 4], ' '))) END AS shingles FROM w),
+e AS (SELECT doc_id, unnest(shingles) AS g FROM s),
+common AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS k FROM e x JOIN e y ON x.g = y.g AND x.doc_id < y.doc_id GROUP BY ALL),
+links AS (SELECT a, b FROM common JOIN s x ON x.doc_id = a JOIN s y ON y.doc_id = b WHERE 100 * k >= 85 * (len(x.shingles) + len(y.shingles) - k)),
+both_ways AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach(a, b) AS (SELECT doc_id, doc_id FROM documents UNION SELECT r.a, l.b FROM reach r JOIN both_ways l ON l.a = r.b),
+least AS (SELECT a, min(b) AS component_id FROM reach GROUP BY a)
+SELECT doc_id, len(shingles)::BIGINT AS n_shingles, component_id, doc_id = component_id AS kept FROM s JOIN least ON a = doc_id
+"""
+
+MIX = """
+WITH d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+'))::BIGINT AS size FROM documents),
+s AS (SELECT source, sum(size)::BIGINT AS source_size FROM d GROUP BY source),
+w AS (SELECT *, source_size * 3.0::DOUBLE AS cap, list_extract([5::DOUBLE, 2::DOUBLE, 1::DOUBLE], ((row_number() OVER (ORDER BY encode(source) NULLS LAST) - 1) % 3 + 1)::INT) AS weight FROM s),
+l AS (SELECT *, row_number() OVER o AS level, sum(source_size) OVER () * 1.0::DOUBLE - coalesce(sum(cap) OVER (o ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS "left",
+  sum(weight) OVER () - coalesce(sum(weight) OVER (o ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS weight_left FROM w WINDOW o AS (ORDER BY cap / weight, encode(source) NULLS LAST)),
+f AS (SELECT "left" / weight_left AS water FROM l WHERE cap * weight_left >= "left" * weight ORDER BY level LIMIT 1),
+t AS (SELECT source, source_size, coalesce(least(cap, (SELECT water FROM f) * weight), cap) AS target FROM l),
+p AS (SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size)::BIGINT ELSE 0 END AS whole FROM t),
+q AS (SELECT *, greatest(floor(target - whole * source_size), 0)::BIGINT AS extra FROM p),
+r AS (SELECT doc_id, source, size, coalesce(sum(size) OVER (PARTITION BY source ORDER BY substr(md5('17|' || doc_id), 1, 13), doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM d)
+SELECT doc_id, size, source_size, target, (whole * size + greatest(0, least(size, extra - before)))::BIGINT AS taken FROM r JOIN q ON q.source IS NOT DISTINCT FROM r.source
+"""
+
+
+def _places(phrase: str) -> str:
+    w = phrase.split()
+    here = " AND ".join(f"words[i + {k}] = '{x}'" for k, x in enumerate(w))
+    return f"list_filter(range(1, len(words) - {len(w) - 2}), lambda i: {here})"
+
+
+def _coverage(text: str, key_phrases: tuple[str, ...]) -> str:
+    """Best share of the template in place, over all starts at which its key phrase stands in place."""
+    w = text.split()
+    first = key_phrases[0].split()
+    at = next(k for k in range(len(w)) if w[k : k + len(first)] == first)
+    starts = f"list_transform({_places(key_phrases[0])}, lambda i: i - {at})"
+    # A start before the file's first word has its words there not in place: list elements from 1 on only.
+    share = " + ".join(f"CASE WHEN i + {k} >= 1 AND words[i + {k}] = '{x}' THEN 1 ELSE 0 END" for k, x in enumerate(w))
+    return f"list_max(list_transform({starts}, lambda i: ({share}) / {float(len(w))}::DOUBLE))"
+
+
+def _licenses() -> str:
+    base = ", ".join(f"{_places(p)} AS base_{label}" for label, p in BASE.items())
+    found = ", ".join(f"{_coverage(t.text, t.key_phrases)} AS t{k}" for k, t in enumerate(TEMPLATES))
+    every = "flatten([" + ", ".join(f"base_{label}" for label in BASE) + "])"
+    base_labels = "[" + ", ".join(f"CASE WHEN len(base_{label}) > 0 THEN '{label}' END" for label in sorted(BASE)) + "]"
+    labels = "[" + ", ".join(f"CASE WHEN t{k} >= {MIN_COVERAGE}::DOUBLE THEN '{t.label}' END" for k, t in enumerate(TEMPLATES)) + "]"
+    passed = ", ".join(f"CASE WHEN t{k} >= {MIN_COVERAGE}::DOUBLE THEN t{k} ELSE 0 END" for k in range(len(TEMPLATES)))
+    return f"""
+WITH w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{UPPER.lower()}'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS words FROM documents),
+f AS (SELECT doc_id, len(words)::BIGINT AS n_words, {base}, {found} FROM w),
+g AS (SELECT *, {every} AS places FROM f)
+SELECT doc_id, n_words, len(places)::BIGINT AS n_base, list_min(places)::BIGINT - 1 AS first_word, list_max(places)::BIGINT - 1 AS last_word,
+  array_to_string(list_filter({base_labels}, lambda x: x IS NOT NULL), ',') AS base_labels,
+  array_to_string(list_sort(list_filter(list_distinct(list_concat({base_labels}, {labels})), lambda x: x IS NOT NULL)), ',') AS labels,
+  CASE WHEN len(places) > 0 THEN 1.0::DOUBLE ELSE greatest({passed})::DOUBLE END AS score
+FROM g
+"""
+
+
+ORACLES: dict[str, str] = {"op6_prefix_free_parsing": REPEATS, "op7_licenses": _licenses(), "op9_superminhash": NEAR, "op10_mixing": MIX}

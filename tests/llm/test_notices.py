@@ -26,11 +26,14 @@ def by_force(text):
     words = WORD.findall(text.translate(UPPER))
     spaced = " " + " ".join(words) + " "
     base = {label for label, p in BASE.items() if f" {p} " in spaced}
+    # A start counts only if the template's key phrases stand in their own places after it.
+    holds = lambda s, tw, p: any(tw[k : k + len(p)] == p and s + k >= 0 and words[s + k : s + k + len(p)] == p for k in range(len(tw)))
     found = {}
     for t in TEMPLATES:
         tw = t.text.split()
-        if all(f" {p} " in spaced for p in t.key_phrases):
-            best = max(sum(0 <= s + k < len(words) and words[s + k] == x for k, x in enumerate(tw)) for s in range(1 - len(tw), len(words))) / len(tw)
+        starts = [s for s in range(1 - len(tw), len(words)) if all(holds(s, tw, p.split()) for p in t.key_phrases)]
+        if starts:
+            best = max(sum(0 <= s + k < len(words) and words[s + k] == x for k, x in enumerate(tw)) for s in starts) / len(tw)
             if best >= MIN_COVERAGE:
                 found[t.label] = best
     return ",".join(sorted(base | found.keys())), 1.0 if base else max(found.values(), default=0.0)
