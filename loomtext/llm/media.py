@@ -6,6 +6,9 @@ seek table, full frames of the highest bitrate, a last one of the lowest bitrate
 tag. Each data frame has its CRC-16. The reader needs none of that to be in place: it looks for the next header that
 another one (or the end) follows or whose CRC is right, skips what is between, and counts what it skipped.
 
+Damaged streams are read as far as they can be: what is no frame is skipped, a length tag that is no number is as if it
+were not there, and a null stream or one without frames has no rate and an empty payload.
+
 Defined cases: a null or empty text has a payload of 64 zero bytes; equal payloads give equal streams; texts of any
 length are handled a document at a time; an empty table gives an empty result.
 """
@@ -26,7 +29,8 @@ KBPS = [0, 32, 40, 48, 56, 64, 80, 96, 112, 128, 160, 192, 224, 256, 320]
 RATES = [44100, 48000, 32000]
 FRAME_SAMPLES = 1152
 RATE = 32000
-SIDE = 17
+#: Bytes of side information of a mono frame, which is what is written, and of one with two channels.
+SIDE, SIDE_OF_TWO = 17, 32
 DATA_AT = 4 + 2 + SIDE
 #: Payload bytes that frames of each bitrate hold.
 ROOM = {k: 144 * k * 1000 // RATE - DATA_AT for k in KBPS[1:]}
@@ -91,7 +95,23 @@ def _frame_length(buf: bytes, at: int) -> tuple[int, int, int] | None:
 
 def _checked(buf: bytes, at: int) -> bool:
     """Whether the frame has a CRC and it is right."""
-    return not buf[at + 1] & 1 and struct.unpack(">H", buf[at + 4 : at + 6])[0] == crc16(buf[at + 2 : at + 4] + buf[at + 6 : at + DATA_AT])
+    return not buf[at + 1] & 1 and struct.unpack(">H", buf[at + 4 : at + 6])[0] == crc16(buf[at + 2 : at + 4] + buf[at + 6 : at + 6 + _side(buf, at)])
+
+
+def _side(buf: bytes, at: int) -> int:
+    return SIDE if buf[at + 3] >> 6 == 3 else SIDE_OF_TWO
+
+
+def _vbr_header(data: bytes) -> dict:
+    """Frame count, byte count and seek table of a VBR header; each is there only if its flag is set."""
+    flags, at, out = int.from_bytes(data[:4]), 4, {"frames": None, "bytes": None, "toc": b""}
+    for bit, name in ((1, "frames"), (2, "bytes")):
+        if flags & bit and len(data) >= at + 4:
+            out[name] = int.from_bytes(data[at : at + 4])
+            at += 4
+    if flags & 4:
+        out["toc"] = data[at : at + 100]
+    return out
 
 
 def decode(buf: bytes) -> dict:
@@ -108,7 +128,7 @@ def decode(buf: bytes) -> dict:
         at = 10 + size
     if end >= 128 and buf[end - 128 : end - 125] == b"TAG":
         end -= 128
-    offsets, kbps_sum, crc_ok, crc_seen, skipped, parts, samples = [], 0, 0, 0, 0, [], 0
+    offsets, kbps_sum, crc_ok, crc_seen, skipped, parts, samples, played = [], 0, 0, 0, 0, [], 0, None
     while at + 4 <= end:
         head = _frame_length(buf, at)
         if not head or at + head[0] > end or not (at + head[0] + 4 > end or _frame_length(buf, at + head[0]) or _checked(buf, at)):
@@ -116,15 +136,21 @@ def decode(buf: bytes) -> dict:
             skipped += (found if found >= 0 else end) - at
             at = found if found >= 0 else end
             continue
-        length, kbps, _ = head
-        if not offsets and vbr is None and buf[at + 4 + SIDE : at + 8 + SIDE] == b"Xing":
-            flags, frames, size = struct.unpack(">III", buf[at + 8 + SIDE : at + 20 + SIDE])
-            vbr = {"frames": frames, "bytes": size, "toc": buf[at + 20 + SIDE : at + 120 + SIDE] if flags & 4 else b""}
+        length, kbps, rate = head
+        if played not in (None, rate):
+            # A stream keeps its rate, so this is no header of it.
+            skipped += 1
+            at += 1
+            continue
+        side = _side(buf, at)
+        if not offsets and vbr is None and buf[at + 4 + side : at + 8 + side] == b"Xing":
+            vbr, played = _vbr_header(buf[at + 8 + side : at + length]), rate
         else:
+            played = rate
             offsets.append(at)
             samples += FRAME_SAMPLES
             kbps_sum += kbps
-            data = at + 4 + SIDE
+            data = at + 4 + side
             if not buf[at + 1] & 1:
                 data += 2
                 crc_seen += 1
@@ -132,9 +158,10 @@ def decode(buf: bytes) -> dict:
             parts.append(buf[data : at + length])
         at += length
     # Frames are padded only where the payload ends, so it is a prefix of what they carry.
-    length = int(tags.get("payload_bytes", sum(map(len, parts))))
+    told = tags.get("payload_bytes", "")
+    length = int(told) if told.isascii() and told.isdecimal() and len(told) < 19 else None
     return {
-        "tags": tags, "vbr": vbr, "offsets": offsets, "samples": samples, "kbps": kbps_sum / max(1, len(offsets)),
+        "tags": tags, "vbr": vbr, "rate": played, "offsets": offsets, "samples": samples, "kbps": kbps_sum / max(1, len(offsets)),
         "crc_ok": crc_ok, "crc_seen": crc_seen, "skipped": skipped, "payload": b"".join(parts)[:length],
     }
 
@@ -174,13 +201,14 @@ def decode_media(df: DataFrame) -> DataFrame:
 
     def run(batches):
         for b in _slices(batches):
-            out = []
+            out, rate = [], []
             for m in b.column(2).to_pylist():
-                d = decode(m)
+                d = decode(m or b"")
                 v = d["vbr"] or {"frames": None, "bytes": None}
+                rate.append(d["rate"])
                 out.append((d["payload"], d["samples"], d["offsets"], d["crc_ok"], d["crc_seen"], d["kbps"], v["frames"], v["bytes"], d["skipped"]))
             made = dict(zip(names, (pa.array(c, t) for c, t in zip(zip(*out, strict=True), types, strict=True)), strict=True))
-            made |= {"doc_id": b.column(0), "n_bytes": b.column(1), "media": b.column(2), "sample_rate": pa.array([RATE] * len(out), pa.int32())}
+            made |= {"doc_id": b.column(0), "n_bytes": b.column(1), "media": b.column(2), "sample_rate": pa.array(rate, pa.int32())}
             order = [c.split()[0] for c in DECODED.split(", ")]
             yield pa.RecordBatch.from_arrays([made[c] for c in order], order)
 

@@ -29,6 +29,8 @@ CAPACITY = 2048
 #: the fewest sequences is taken.
 GROUPS, LARGE = 64, (0.4, 0.5)
 MAX_COLUMNS = 400
+#: Rows (some 30 bytes each) up to which the counts of lengths are broadcast; beyond, they are joined by merge.
+BROADCAST_COUNTS = 300_000
 
 
 # --- the plan -------------------------------------------------------------------------------------------------------
@@ -247,7 +249,8 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     keys, first, offset = lookup_table(plan_packing(histogram, capacity))
     before = Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     base = counts.select("part", "length", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
-    ranked = pieces.join(base, ["part", "length"])
+    # One row for each length in each partition: counted, and broadcast only while there are few.
+    ranked = pieces.join(F.broadcast(base) if counts.count() <= BROADCAST_COUNTS else base.hint("merge"), ["part", "length"])
 
     def run(batches):
         for b in batches:

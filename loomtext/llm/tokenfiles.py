@@ -74,33 +74,45 @@ def join_file(dictionary: bytes, width: int, header: dict, keys, counts, frames)
 
 
 class TokenFile:
-    """A file's index, and its documents by position."""
+    """A file's index, and its documents by position. ``read`` gives so many bytes from a place of the file."""
 
-    def __init__(self, data: bytes, dictionary: bytes):
+    def __init__(self, read, dictionary: bytes):
         import zstandard
 
-        if data[: len(MAGIC)] != MAGIC:
-            raise ValueError("not a token file")
         at = len(MAGIC) + 4
-        (n,) = struct.unpack("<I", data[len(MAGIC) : at])
-        self.header = json.loads(data[at : at + n])
+        start = read(0, at)
+        if start[: len(MAGIC)] != MAGIC:
+            raise ValueError("not a token file")
+        (n,) = struct.unpack("<I", start[len(MAGIC) :])
+        self.header = json.loads(bytes(read(at, n)))
         if self.header["dictionary"] != hashlib.sha256(dictionary).hexdigest():
             raise ValueError("the file was written with another dictionary")
         at, docs = at + n, self.header["documents"]
-        null, at = np.frombuffer(data, "u1", docs, at), at + docs
-        keys, at = np.frombuffer(data, "<i8", docs, at), at + 8 * docs
-        self.counts, at = np.frombuffer(data, "<u4", docs, at), at + 4 * docs
-        self.offsets, self.body = np.frombuffer(data, "<u8", docs + 1, at), at + 8 * (docs + 1)
+        index, self.body = read(at, 21 * docs + 8), at + 21 * docs + 8
+        null, keys = np.frombuffer(index, "u1", docs), np.frombuffer(index, "<i8", docs, docs)
+        self.counts, self.offsets = np.frombuffer(index, "<u4", docs, 9 * docs), np.frombuffer(index, "<u8", docs + 1, 13 * docs)
         self.keys = [None if z else int(k) for z, k in zip(null, keys, strict=True)]
-        self.data, self.width = memoryview(data), self.header["width"]
+        self.read, self.width = read, self.header["width"]
         self.expand = zstandard.ZstdDecompressor(dict_data=zstandard.ZstdCompressionDict(dictionary) if dictionary else None)
 
+    @classmethod
+    def of_bytes(cls, data: bytes, dictionary: bytes) -> TokenFile:
+        view = memoryview(data)
+        return cls(lambda at, n: view[at : at + n], dictionary)
+
+    @classmethod
+    def stored(cls, uri: str, dictionary: bytes) -> TokenFile:
+        """A file in storage, of which the index is read now and a document's frame when it is asked for."""
+        store, path = open_store(uri)
+        file = store.open_input_file(path)
+        return cls(lambda at, n: file.read_at(n, at), dictionary)
+
     def __len__(self) -> int:
         return len(self.keys)
 
     def ids(self, i: int) -> np.ndarray:
-        frame = self.data[self.body + int(self.offsets[i]) : self.body + int(self.offsets[i + 1])]
-        return np.frombuffer(self.expand.decompress(frame, max_output_size=int(self.counts[i]) * self.width), f"<u{self.width}")
+        begin, end = int(self.offsets[i]), int(self.offsets[i + 1])
+        return np.frombuffer(self.expand.decompress(self.read(self.body + begin, end - begin), max_output_size=int(self.counts[i]) * self.width), f"<u{self.width}")
 
 
 MANIFEST = "part int, number int, file string, documents long, tokens long"
@@ -112,8 +124,10 @@ def write_tokens(df: DataFrame, tokenizer: str, end_id: int, folder: str, key: s
     docs = df.select(F.col(key).cast("long").alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     # The sample is chosen by hash alone, as every partition sends its own candidates to the driver.
     order = F.xxhash64("key", "text")
+    # As many ranges as the input has splits, so that a task stays of one size however large the input is.
+    ranges = max(int(spark.conf.get("spark.sql.shuffle.partitions")), df.rdd.getNumPartitions())
     chosen = docs.filter(F.octet_length("text") <= SAMPLE_BYTES).select(order.alias("chosen")).orderBy("chosen").limit(SAMPLE_DOCS)
-    sample = docs.join(F.broadcast(chosen.distinct()), order == F.col("chosen")).select("text").limit(SAMPLE_DOCS)
+    sample = docs.join(F.broadcast(chosen.distinct()), order == F.col("chosen")).select("text", order.alias("chosen")).orderBy("chosen", "text").limit(SAMPLE_DOCS)
     enc = encoder(tokenizer)
     width = 2 if enc.tokenizer.get_vocab_size() <= 65_536 else 4
     ids = enc.encode([r[0] for r in sample.collect()])
@@ -154,7 +168,7 @@ def write_tokens(df: DataFrame, tokenizer: str, end_id: int, folder: str, key: s
 
     schema = pa.schema([("part", pa.int32()), ("number", pa.int32()), ("file", pa.string()), ("documents", pa.int64()), ("tokens", pa.int64())])
     # Ranges in key order: files sorted by (part, number) hold the keys in ascending order.
-    ordered = docs.repartitionByRange(int(spark.conf.get("spark.sql.shuffle.partitions")), F.col("key").asc_nulls_first())
+    ordered = docs.repartitionByRange(ranges, F.col("key").asc_nulls_first())
     ordered = ordered.sortWithinPartitions(F.col("key").asc_nulls_first(), F.xxhash64("text"), "text")
     return materialize(ordered.mapInArrow(run, MANIFEST), "token-manifest")
 
@@ -181,7 +195,7 @@ def read_tokens(spark: SparkSession, manifest: DataFrame, folder: str) -> DataFr
     def run(batches):
         for batch in batches:
             for uri, start in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                f = TokenFile(get(uri), dictionary)
+                f = TokenFile.of_bytes(get(uri), dictionary)
                 starts = start + np.concatenate([[0], np.cumsum(f.counts.astype(np.int64))])
                 for at in range(0, len(f), 512):
                     some = range(at, min(len(f), at + 512))

@@ -110,10 +110,10 @@ def test_token_file_reads_one_document():
     d = tokenfiles.train_dictionary(samples, 2048)
     press = zstandard.ZstdCompressor(dict_data=zstandard.ZstdCompressionDict(d))
     frames = [press.compress(s) for s in samples]
-    f = tokenfiles.TokenFile(tokenfiles.join_file(d, 2, {}, [None, *range(1, 200)], [50] * 200, frames), d)
+    f = tokenfiles.TokenFile.of_bytes(tokenfiles.join_file(d, 2, {}, [None, *range(1, 200)], [50] * 200, frames), d)
     assert f.keys[0] is None and f.ids(7).tolist() == list(range(7, 57))
     with pytest.raises(ValueError):
-        tokenfiles.TokenFile(tokenfiles.join_file(d, 2, {}, [1], [50], frames[:1]), d + b"x")
+        tokenfiles.TokenFile.of_bytes(tokenfiles.join_file(d, 2, {}, [1], [50], frames[:1]), d + b"x")
 
 
 def test_links_in_blocks(spark, monkeypatch):
@@ -135,3 +135,37 @@ def test_links_in_blocks(spark, monkeypatch):
     bodies = spark.createDataFrame(list(texts.items()), "node long, body string")
     got = {tuple(r) for r in superminhash.links_in_blocks(members, bodies, 85).select(F.col("a"), F.col("b")).collect()}
     assert got == linked
+
+
+def test_one_document_is_read_by_its_offset(tmp_path):
+    ids = [np.arange(k, 3 * k + 1, dtype="<u2") for k in range(500)]
+    import zstandard
+
+    press = zstandard.ZstdCompressor()
+    data = tokenfiles.join_file(b"", 2, {}, list(range(500)), [len(i) for i in ids], [press.compress(i.tobytes()) for i in ids])
+    tokenfiles.put(f"{tmp_path}/a.ltok", data)
+    f, seen = tokenfiles.TokenFile.stored(f"{tmp_path}/a.ltok", b""), []
+    read = f.read
+    f.read = lambda at, n: seen.append(n) or read(at, n)
+    assert f.ids(437).tolist() == ids[437].tolist()
+    assert sum(seen) < len(data) // 20
+
+
+@pytest.mark.parametrize("value", [b"x1", b"", b"-5", b"9" * 40, "\u00b2".encode()])
+def test_a_damaged_length_tag_is_left_out(value):
+    m = media.encode(media.pad(b"some text" * 30))
+    at = m.index(b"payload_bytes\0") + 14
+    n = len(str(len(media.pad(b"some text" * 30))))
+    broken = m[:at] + value[:n].ljust(n, b"?") + m[at + n :]
+    assert media.decode(broken)["payload"].startswith(b"some text" * 30)
+
+
+def test_any_cut_or_noise_is_decoded():
+    rng = np.random.default_rng(1)
+    m = media.encode(media.pad(bytes(rng.integers(0, 256, 3000, dtype=np.uint8))))
+    for k in range(300):
+        cut = bytearray(m[rng.integers(0, 200) : len(m) - rng.integers(0, 200)])
+        for at in rng.integers(0, len(cut), 40):
+            cut[at] = rng.integers(0, 256)
+        media.decode(bytes(cut))
+    assert media.decode(b"")["rate"] is None and media.decode(m)["rate"] == media.RATE
