@@ -34,5 +34,26 @@ def eastern(utc: Column) -> Column:
     return F.from_utc_timestamp(utc, "America/New_York")
 
 
+def eastern_ntz(utc: Column) -> Column:
+    """The same for timestamps without a zone."""
+    return F.convert_timezone(F.lit("UTC"), F.lit("America/New_York"), utc)
+
+
+def month_range_of(day: Column, years_back: int = 0, months_back: int = 0, legacy: bool = False) -> tuple[Column, Column]:
+    """:func:`month_range` of a column; ``legacy``: the months are left out where years are given."""
+    back = 12 * years_back + (0 if legacy and years_back else months_back)
+    return F.trunc(F.add_months(day, -back), "MM"), F.trunc(day, "MM")
+
+
+def quarters_before(day: Column, n: int) -> Column:
+    """Names (q1yy) of the n completed quarters before a day's, newest first."""
+    earlier = [F.add_months(F.trunc(day, "quarter"), -3 * k) for k in range(1, n + 1)]
+    return F.array(*[F.concat(F.lit("q"), F.quarter(e).cast("string"), F.right(F.year(e).cast("string"), F.lit(2))) for e in earlier])
+
+
+def stamp(at: Column, pattern: str) -> Column:
+    return F.date_format(at, pattern)
+
+
 def year_month(day: Column) -> Column:
     return F.date_format(day, "yyyy-MM")

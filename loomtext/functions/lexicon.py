@@ -69,3 +69,8 @@ def is_complex(word: Column) -> Column:
 def fog(n_words: Column, n_sentences: Column, n_complex: Column) -> Column:
     """0.4 * (words a sentence + 100 * complex words a word); null without words."""
     return 0.4 * (F.try_divide(n_words, n_sentences) + F.try_divide(100 * n_complex, n_words))
+
+
+def fog_of_average(words_a_sentence: Column, n_complex: Column, n_tokens: Column) -> Column:
+    """A sentence's fog with its document's mean of words a sentence; null without tokens."""
+    return F.when(n_tokens > 0, 0.4 * (words_a_sentence + 100 * (n_complex / n_tokens)))

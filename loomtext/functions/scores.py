@@ -75,7 +75,8 @@ def entailment_summary(scores: Column, threshold: float) -> dict[str, Column]:
 
 
 def matched(sents: Column, flags: Column) -> Column:
-    return F.filter(sents, lambda s, i: F.get(flags, i) == 1)
+    both = F.filter(F.zip_with(sents, flags, lambda s, f: F.struct(s.alias("s"), f.alias("f"))), lambda z: z["f"] == 1)
+    return F.transform(both, lambda z: z["s"])
 
 
 def concatenated(a: Column, b: Column, kind: str) -> Column:
@@ -87,11 +88,21 @@ def null_if_empty(a: Column) -> Column:
     return F.when(F.size(a) > 0, a)
 
 
+NO_MATCH = "NO_MATCH"
+
+
 def merged_counts(maps: Column) -> Column:
     """Sum by key of an array of count maps without zero entries; {NO_MATCH: 1} where none is left."""
     add = lambda a, m: F.map_zip_with(a, m, lambda k, x, y: F.coalesce(x, F.lit(0)) + F.coalesce(y, F.lit(0)))
     total = F.map_filter(F.aggregate(maps, F.expr("cast(map() as map<string,int>)"), add), lambda k, v: v > 0)
-    return F.when(F.coalesce(F.size(total), F.lit(0)) > 0, total).otherwise(F.create_map(F.lit("NO_MATCH"), F.lit(1)))
+    return F.when(F.coalesce(F.size(total), F.lit(0)) > 0, total).otherwise(F.create_map(F.lit(NO_MATCH), F.lit(1)))
+
+
+def merged_counts_with_zeros(maps: Column) -> Column:
+    """The legacy sum by key, which keeps zeros; {ERROR: 1} for an empty list and {NO_MATCH: 1} where there is no key."""
+    add = lambda a, m: F.map_zip_with(a, m, lambda k, x, y: F.coalesce(x, F.lit(0)) + F.coalesce(y, F.lit(0)))
+    total = F.aggregate(maps, F.expr("cast(map() as map<string,int>)"), add)
+    return F.when(F.size(maps) == 0, F.create_map(F.lit("ERROR"), F.lit(1))).when(F.size(total) == 0, F.create_map(F.lit(NO_MATCH), F.lit(1))).otherwise(total)
 
 
 def without_nulls(counts: Column) -> Column:

@@ -6,7 +6,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 #: Phrases that are taken out of a sentence, and words by which a greeting is told.
-STOCK_PHRASES = ("Thank you", "thank you", "Thanks", "thanks", "Earnings Call", "earnings call")
+STOCK_PHRASES = ("Thank you", "thank you", "thanks", "Thanks", "earnings call", "earnings release", "earnings conference")
+APOLOGIES = ("Sorry", "sorry")
 GREETINGS = ("good morning", "good afternoon", "good evening")
 CEO_TITLES = ("ceo", "chief executive officer")
 EARNINGS = ("earnings", "earning")
@@ -14,6 +15,7 @@ MERGERS = ("acquisition", "merger", "takeover")
 #: Accented Latin letters and what they are without the accent.
 ACCENTED, PLAIN = "àáâãäåçèéêëìíîïñòóôõöùúûüýÿÀÁÂÃÄÅÇÈÉÊËÌÍÎÏÑÒÓÔÕÖÙÚÛÜÝ", "aaaaaaceeeeiiiinooooouuuuyyAAAAAACEEEEIIIINOOOOOUUUUY"
 MARK = "\x01"
+UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
 def joined(parts: Column) -> Column:
@@ -26,41 +28,118 @@ def sentences(text: Column) -> Column:
     return F.split(F.regexp_replace(text, r"([.!?])\s+", "$1" + MARK), MARK)
 
 
+def lower_ascii(text: Column) -> Column:
+    """A-Z in lower case: the same in any engine and language."""
+    return F.translate(text, UPPER, UPPER.lower())
+
+
 def tokens(text: Column) -> Column:
-    return F.filter(F.split(F.lower(text), "[^a-z]+"), lambda w: w != "")
+    return F.filter(F.split(lower_ascii(text), "[^a-z]+"), lambda w: w != "")
+
+
+def clean(text: Column, contractions: dict[str, str]) -> Column:
+    """Contractions written out, double quotes and single letters dropped, other characters a space, lower case."""
+    bare = F.replace(expand_contractions(text, contractions), F.lit('"'), F.lit(""))
+    runs = F.filter(F.split(bare, "[^A-Za-z0-9_]+"), lambda w: ~F.regexp_like(w, F.lit("^[A-Za-z]$")))
+    return lower_ascii(F.trim(F.regexp_replace(F.array_join(runs, " "), "[^A-Za-z]+", " ")))
+
+
+def content_tokens(text: Column, stop_words, lemmas: dict[str, str] | None = None) -> Column:
+    """Tokens in their base form (by a table; a word without an entry is its own) that are no stop words."""
+    base = F.transform(tokens(text), lambda w: lemma(w, lemmas)) if lemmas else tokens(text)
+    return F.filter(base, lambda w: ~w.isin(*stop_words))
+
+
+def lemma(word: Column, lemmas: dict[str, str]) -> Column:
+    table = F.create_map(*[F.lit(x) for kv in sorted(lemmas.items()) for x in kv])
+    return F.coalesce(F.try_element_at(table, word), word)
+
+
+def raw_tokens(text: Column, stop_words, lemmas: dict[str, str]) -> Column:
+    """Words between spaces in their base form, marks and digits kept, without stop words."""
+    words = F.filter(F.split(lower_ascii(text), " +"), lambda w: w != "")
+    return F.filter(F.transform(words, lambda w: lemma(w, lemmas)), lambda w: ~w.isin(*stop_words))
+
+
+def tagged(text: Column) -> Column:
+    """Array of (word, tag): a stand-in for a tagger, by form alone (NUM, PUNCT, PROPN for capitals, else WORD)."""
+    words = F.regexp_extract_all(text, F.lit("[A-Za-z]+|[0-9]+|[.,;:!?]"), F.lit(0))
+
+    def tag(w: Column) -> Column:
+        return F.when(F.regexp_like(w, F.lit("^[0-9]")), "NUM").when(F.regexp_like(w, F.lit("^[.,;:!?]")), "PUNCT").when(F.regexp_like(w, F.lit("^[A-Z]")), "PROPN").otherwise("WORD")
+
+    return F.transform(words, lambda w: F.struct(w.alias("word"), tag(w).alias("tag")))
 
 
-def clean(text: Column) -> Column:
-    """Lower-case words of two letters or more, single spaces between them."""
-    return F.array_join(F.filter(tokens(text), lambda w: F.length(w) > 1), " ")
+def words_by_tag(parts: Column, drop, stop_words) -> Column:
+    """Lower-case words of :func:`tagged` whose tag is not among ``drop`` and that are no stop words."""
+    kept = F.filter(parts, lambda p: ~p["tag"].isin(*drop) & ~lower_ascii(p["word"]).isin(*stop_words))
+    return F.transform(kept, lambda p: lower_ascii(p["word"]))
+
+
+def match_terms(parts: Column, stop_words, lemmas: dict[str, str]) -> Column:
+    """Words of a term: proper nouns in lower case as they are, others in base form without stop words, marks and numbers."""
+    named = lambda p: p["tag"] == "PROPN"
+    kept = F.filter(parts, lambda p: named(p) | ~p["tag"].isin("NUM", "PUNCT") & ~lower_ascii(p["word"]).isin(*stop_words))
+    return F.transform(kept, lambda p: F.when(named(p), lower_ascii(p["word"])).otherwise(lemma(lower_ascii(p["word"]), lemmas)))
+
+
+def preprocessed(text: Column, contractions: dict[str, str], stop_words, lemmas: dict[str, str]) -> Column:
+    """(cleaned, words, count); (null, [], 0) for a blank text."""
+    cleaned = clean(text, contractions)
+    words = content_tokens(cleaned, stop_words, lemmas)
+    blank = F.coalesce(F.trim(text) == "", F.lit(True))
+    none = F.array().cast("array<string>")
+    return F.struct(F.when(~blank, cleaned).alias("cleaned"), F.when(blank, none).otherwise(words).alias("words"), F.when(blank, 0).otherwise(F.size(words)).alias("count"))
+
+
+def preprocessed_list(sents: Column, stop_words, lemmas: dict[str, str], min_words: int = 5) -> Column:
+    """Array of (cleaned, words, count), in order; ("", [], 0) for a sentence that is rejected."""
+
+    def one(s: Column) -> Column:
+        kept = kept_sentence(s, min_words)
+        words = content_tokens(F.coalesce(kept, F.lit("")), stop_words, lemmas)
+        return F.struct(F.coalesce(kept, F.lit("")).alias("cleaned"), words.alias("words"), F.size(words).alias("count"))
+
+    return F.transform(sents, one)
 
 
 def expand_contractions(text: Column, table: dict[str, str]) -> Column:
     """Words (between spaces) that are contractions, written out."""
-    pairs = F.create_map(*[F.lit(x) for kv in sorted(table.items()) for x in kv])
-    return F.array_join(F.transform(F.split(F.replace(text, F.lit("’"), F.lit("'")), " "), lambda w: F.coalesce(F.try_element_at(pairs, w), w)), " ")
+    table_of = F.create_map(*[F.lit(x) for kv in sorted(table.items()) for x in kv])
+    return F.array_join(F.transform(F.split(F.replace(text, F.lit("’"), F.lit("'")), " "), lambda w: F.coalesce(F.try_element_at(table_of, w), w)), " ")
 
 
 def ngrams(words: Column, n: int) -> Column:
     """Runs of n words, joined by a space."""
-    last = F.size(words) - n
-    runs = F.transform(F.sequence(F.lit(1), last + 1), lambda i: F.array_join(F.slice(words, i, F.lit(n)), " "))
-    return F.when(last >= 0, runs).otherwise(F.array().cast("array<string>"))
+    grams = words
+    for k in range(2, n + 1):
+        grams = F.zip_with(grams, F.slice(words, F.lit(k), F.size(words)), lambda a, b: F.concat(a, F.lit(" "), b))
+    return F.filter(grams, lambda g: g.isNotNull())
 
 
-def without_stock_phrases(sentence: Column) -> Column:
-    for p in STOCK_PHRASES:
+def without_phrases(sentence: Column, phrases: tuple[str, ...] = STOCK_PHRASES) -> Column:
+    for p in phrases:
         sentence = F.replace(sentence, F.lit(p), F.lit(""))
     return sentence
 
 
-def kept_sentence(sentence: Column, min_words: int = 5, rejects: tuple[str, ...] = GREETINGS) -> Column:
-    """The sentence without stock phrases; null if it is a greeting or too short."""
-    bare = without_stock_phrases(sentence)
-    words = F.size(F.filter(F.split(bare, r"\s+"), lambda w: w != ""))
+def is_one_of(word: Column, words) -> Column:
+    return word.isin(*words).cast("int")
+
+
+def kept_sentence(sentence: Column, min_words: int = 5, rejects: tuple[str, ...] = GREETINGS, legacy: bool = False) -> Column:
+    """The sentence without stock phrases; null if it is a greeting or too short.
+
+    ``legacy``: empty strings between two spaces count as words, and the ends are not trimmed.
+    """
+    bare = without_phrases(sentence)
+    if not legacy:
+        bare = F.regexp_replace(bare, r"^\s+|\s+$", "")
+    words = F.size(F.split(bare, " ")) if legacy else F.size(F.filter(F.split(bare, r"\s+"), lambda w: w != ""))
     greets = F.lit(False)
     for g in rejects:
-        greets = greets | F.contains(F.lower(bare), F.lit(g))
+        greets = greets | F.contains(lower_ascii(bare), F.lit(g))
     return F.when((words >= min_words) & ~greets, bare)
 
 
@@ -98,14 +177,20 @@ def one_if_all_equal(parts: Column) -> Column:
     return F.when(F.size(F.array_distinct(parts)) == 1, F.slice(parts, 1, 1)).otherwise(parts)
 
 
+def _labelled(sents: Column, labels: Column, keep) -> Column:
+    """(sentence, label) side by side, those that ``keep`` takes; arrays are walked together, never looked up by place."""
+    return F.filter(F.zip_with(sents, labels, lambda s, x: F.struct(s.alias("s"), x.alias("x"))), keep)
+
+
 def no_questions(sents: Column, labels: Column) -> tuple[Column, Column]:
     """Sentences that don't end with a question mark, and the labels beside them."""
-    kept_labels = F.filter(labels, lambda x, i: ~F.endswith(F.get(sents, i), F.lit("?")))
-    return F.filter(sents, lambda s: ~F.endswith(s, F.lit("?"))), kept_labels
+    kept = _labelled(sents, labels, lambda z: ~F.endswith(z["s"], F.lit("?")))
+    return F.transform(kept, lambda z: z["s"]), F.transform(kept, lambda z: z["x"])
 
 
 def positive_statements(sents: Column, labels: Column) -> Column:
-    return F.filter(sents, lambda s, i: ~F.endswith(s, F.lit("?")) & (F.get(labels, i) == 1))
+    kept = _labelled(sents, labels, lambda z: ~F.endswith(z["s"], F.lit("?")) & (z["x"] == 1))
+    return F.transform(kept, lambda z: z["s"])
 
 
 def topic_key(name: Column) -> Column:

@@ -30,11 +30,32 @@ def share_below(df: DataFrame, score: str, thresholds: list[float], *by: str) ->
     return df.select(*by, score, t).groupBy(*by, "threshold").agg(F.avg((F.col(score) < F.col("threshold")).cast("int")).alias("share"))
 
 
+#: Ranges that the distinct values of a ranked column are cut into.
+RANK_RANGES = 256
+
+
 def average_ranks(df: DataFrame, value: str, name: str) -> DataFrame:
-    """Ranks from 1, ties sharing their mean, by the running count of an aggregate of distinct values."""
+    """Ranks from 1, ties sharing their mean, by the running count of an aggregate of distinct values.
+
+    Values are cut into ranges at approximate quantiles (a bounded list), so that no task orders more than a range; the
+    ranges' own counts give each its first rank.
+    """
+    at = [k / RANK_RANGES for k in range(1, RANK_RANGES)]
+    cuts = sorted(set(df.agg(F.percentile_approx(F.col(value).cast("double"), at, 10 * RANK_RANGES)).first()[0] or []))
     counts = df.groupBy(value).agg(F.count(F.lit(1)).alias("_n"))
-    before = F.sum("_n").over(Window.orderBy(value)) - F.col("_n")
-    return df.join(counts.withColumn(name, before + (F.col("_n") + 1) / 2).drop("_n"), value)
+    if cuts:
+        bits = len(cuts).bit_length()
+        padded = F.array(*[F.lit(float(c)) for c in cuts])
+        steps = F.array(*[F.lit(1 << b) for b in reversed(range(bits))])
+        below = F.aggregate(steps, F.lit(0), lambda a, p: F.when((a + p <= len(cuts)) & (F.get(padded, a + p - 1) < F.col(value)), a + p).otherwise(a))
+    else:
+        below = F.lit(0)
+    counts = counts.withColumn("_range", below)
+    # One row for each range, at most RANK_RANGES.
+    first = counts.groupBy("_range").agg(F.sum("_n").alias("_all")).withColumn("_first", F.sum("_all").over(Window.orderBy("_range")) - F.col("_all")).drop("_all")
+    before = F.sum("_n").over(Window.partitionBy("_range").orderBy(value)) - F.col("_n")
+    ranks = counts.withColumn("_before", before).join(F.broadcast(first), "_range")
+    return df.join(ranks.select(value, (F.col("_first") + F.col("_before") + (F.col("_n") + 1) / 2).alias(name)), value)
 
 
 def roc_auc(df: DataFrame, truth: str, score: str) -> DataFrame:
@@ -50,6 +71,25 @@ def spearman(df: DataFrame, a: str, b: str) -> DataFrame:
     return r.agg(F.when(F.count(F.lit(1)) >= 2, F.corr("_ra", "_rb")).alias("rho"), F.count(F.lit(1)).alias("n"))
 
 
+def hash_percent(*key: Column, seed: int = 42) -> Column:
+    """0 to 99 by MD5 of seed and key, the same in any engine."""
+    return F.conv(F.left(F.md5(F.concat_ws("|", F.lit(str(seed)), *[k.cast("string") for k in key])), F.lit(8)), 16, 10).cast("long") % 100
+
+
 def group_split(df: DataFrame, key: Column, train_percent: int = 80) -> DataFrame:
     """``df`` with ``part``: all rows of one key on one side."""
-    return df.withColumn("part", F.when(F.pmod(F.xxhash64(F.lit(42), key), F.lit(100)) < train_percent, "train").otherwise("test"))
+    return df.withColumn("part", F.when(hash_percent(key) < train_percent, "train").otherwise("test"))
+
+
+def row_split(df: DataFrame, *columns: str, train_percent: int = 80) -> DataFrame:
+    """``df`` with ``part``: each row by itself, by all its named columns."""
+    return df.withColumn("part", F.when(hash_percent(*[F.col(c) for c in columns]) < train_percent, "train").otherwise("test"))
+
+
+def class_report(df: DataFrame, truth: str, predicted: str, classes: list[int], *by: str) -> DataFrame:
+    """(by, class, precision, recall, f1, support): each class in turn is the positive one; 0 where the denominator is."""
+    c = F.explode(F.array(*[F.lit(x) for x in classes])).alias("class")
+    rows = df.select(*by, truth, predicted, c)
+    t, p = F.col(truth) == F.col("class"), F.col(predicted) == F.col("class")
+    counts = rows.groupBy(*by, "class").agg(F.count_if(t & p).alias("tp"), F.count_if(~t & p).alias("fp"), F.count_if(t & ~p).alias("fn"), F.count_if(~t & ~p).alias("tn"), F.count_if(t).alias("support"))
+    return rates(counts).select(*by, "class", "precision", "recall", "f1", "support")

@@ -28,6 +28,38 @@ def score_pairs(df: DataFrame, loader: Callable[[], object] = StubScorer, text:
     return df.mapInPandas(run, schema)
 
 
+def score_lists(df: DataFrame, key: str, lists: str, label: str, loader: Callable[[], object] = StubScorer) -> DataFrame:
+    """(key, scores): a score for each text of a row's list, in its order; an empty list where there are no texts.
+
+    The texts are laid flat, so that batches are of one size whatever the lists' lengths.
+    """
+    flat = df.select(key, F.posexplode(lists).alias("at", "text")).withColumn("label", F.lit(label))
+    placed = F.array_sort(F.collect_list(F.struct("at", "score")))
+    scored = score_pairs(flat, loader).groupBy(key).agg(F.transform(placed, lambda s: s["score"]).alias("scores"))
+    return df.select(key).join(scored, key, "left").withColumn("scores", F.coalesce("scores", F.array().cast("array<double>")))
+
+
+class StubEmbedder:
+    """Two numbers for a text: its characters and its vowels."""
+
+    def encode(self, texts) -> list[list[float]]:
+        return [[float(len(t)), float(sum(t.count(v) for v in "aeiou"))] for t in texts]
+
+
+def embed(df: DataFrame, loader: Callable[[], object], text: str = "text") -> DataFrame:
+    """``df`` with ``embedding``; each worker loads its model once. A null text has a null embedding, failures are raised."""
+    schema = df.withColumn("embedding", F.array().cast("array<double>")).schema
+
+    def run(frames: Iterator) -> Iterator:
+        model = loader()
+        for pdf in frames:
+            some = pdf[text].notna()
+            vectors = iter(model.encode(pdf[text][some]) if some.any() else [])
+            yield pdf.assign(embedding=[next(vectors) if x else None for x in some])
+
+    return df.mapInPandas(run, schema)
+
+
 def udf_of(fn: Callable, kind: str):
     """A row-wise UDF by type keyword, for logic that has no column form; an unknown keyword is a ValueError."""
     from ..sources.io import TYPE_KEYWORDS

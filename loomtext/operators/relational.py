@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column, DataFrame, Window
@@ -140,3 +141,34 @@ def map_columns(df: DataFrame, column: str, keys: Iterable[str]) -> DataFrame:
 
 def same_columns(a: DataFrame, b: DataFrame) -> bool:
     return set(a.columns) == set(b.columns)
+
+
+def upsert(history: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows of ``new``, and those of the history whose key it doesn't have."""
+    return new.unionByName(delta(history, new, {k: k for k in keys}))
+
+
+def matching_columns(df: DataFrame, pattern: str) -> list[str]:
+    """Columns whose name a regular expression finds a match in."""
+    return [c for c in df.columns if re.search(pattern, c)]
+
+
+def cast_block(df: DataFrame, types: dict[str, str]) -> DataFrame:
+    """Columns of a fixed schema in one step; what can't be read is null."""
+    return df.select(*[F.col(c).try_cast(types[c]).alias(c) if c in types else F.col(c) for c in df.columns])
+
+
+def shuffled(df: DataFrame, seed: int = 42) -> DataFrame:
+    """Rows in an order by a hash of seed and row, the same on every run."""
+    return df.orderBy(F.md5(F.concat_ws("|", F.lit(str(seed)), *[F.col(c).cast("string") for c in df.columns])), *df.columns)
+
+
+def joined_by_surrogate(a: DataFrame, b: DataFrame, key: str) -> DataFrame:
+    """An inner join on a string key by its 64-bit hash, the strings compared only where the hashes meet."""
+    left, right = a.withColumn("_k", F.xxhash64(key)), b.withColumnRenamed(key, "_key").withColumn("_k", F.xxhash64("_key"))
+    return left.join(right, (left["_k"] == right["_k"]) & (F.col(key) == F.col("_key"))).drop("_k", "_key")
+
+
+def nan_sum(column: str) -> Column:
+    """Sum of what is a number; null where there is none."""
+    return F.sum(F.when(~F.isnan(column), F.col(column)))

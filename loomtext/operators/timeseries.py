@@ -22,9 +22,9 @@ def valid_days(docs: DataFrame, entity: str, day: str, tie: str, window_days: in
 
 
 def rolling(valid: DataFrame, flag: str, score: str, *by: str) -> DataFrame:
-    """Companies, coverage rate (share of flags) and mean score for each day."""
+    """Companies, those with the flag, their share and the mean score for each day."""
     return valid.groupBy("series_day", *by).agg(
-        F.count(F.lit(1)).alias("company_count"), F.try_divide(F.sum(flag), F.count(F.lit(1))).alias("coverage"), F.avg(score).alias("relevance")
+        F.count(F.lit(1)).alias("company_count"), F.sum(flag).alias("covered"), F.try_divide(F.sum(flag), F.count(F.lit(1))).alias("coverage"), F.avg(score).alias("relevance")
     )
 
 

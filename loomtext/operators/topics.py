@@ -1,11 +1,11 @@
-"""Topic dictionaries and their matches, in a long layout: one pass for all topics."""
+"""Topic dictionaries and their matches: one pass for all topics, within the document's row."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.text import ngrams, sentences, tokens
+from ..functions.text import lower_ascii, sentences, tokens
 
 #: A small dictionary over the synthetic corpus: (topic, term, whether the term suppresses a sentence).
 DICTIONARY = [
@@ -21,50 +21,98 @@ def match_set(spark: SparkSession, dictionary=DICTIONARY) -> DataFrame:
     return spark.createDataFrame(rows, "topic string, term string, kind string, negate boolean")
 
 
-def explode_sentences(docs: DataFrame) -> DataFrame:
-    return docs.select("doc_id", "source", F.posexplode(sentences(F.col("text"))).alias("sent_idx", "sentence"))
+def terms_in(words: Column, dictionary=DICTIONARY) -> Column:
+    """Terms of the dictionary in an array of words: words and pairs as often as they stand there, longer phrases once."""
+    plain = [m for _, m, negate in dictionary if not negate]
+    parts, grams = [], words
+    for n in range(1, max((len(m.split()) for m in plain), default=0) + 1):
+        if n > 1:
+            grams = F.zip_with(grams, F.slice(words, F.lit(n), F.size(words)), lambda a, b: F.concat(a, F.lit(" "), b))
+        some = sorted({m for m in plain if len(m.split()) == n})
+        if some:
+            found = terms_of(grams, some)
+            parts.append(F.array_distinct(found) if n > 2 else found)
+    return F.concat(*parts) if parts else F.array().cast("array<string>")
 
 
-def sentence_matches(sents: DataFrame, terms: DataFrame) -> DataFrame:
-    """(doc_id, source, sent_idx, topic, term, n): how often each term stands in a sentence, phrases once."""
-    words = sents.withColumn("words", tokens(F.col("sentence")))
-    grams = F.concat(F.col("words"), ngrams(F.col("words"), 2), F.array_distinct(ngrams(F.col("words"), 3)))
-    # The dictionary is a fixed small table.
-    return (
-        words.select("doc_id", "source", "sent_idx", F.explode(grams).alias("term"))
-        .join(F.broadcast(terms.filter("not negate").select("topic", "term")), "term")
-        .groupBy("doc_id", "source", "sent_idx", "topic", "term").agg(F.count(F.lit(1)).alias("n"))
-    )
+def scanned(docs: DataFrame, dictionary=DICTIONARY, text: str = "text") -> DataFrame:
+    """``docs`` with ``sents`` and, beside them, ``terms``: all topics' terms in each, found in one pass within the row."""
+    d = docs.withColumn("sents", sentences(F.col(text))).withColumn("words", F.transform("sents", tokens))
+    return d.withColumn("terms", F.transform("words", lambda w: terms_in(w, dictionary)))
 
 
-def suppressed(sents: DataFrame, terms: DataFrame) -> DataFrame:
-    """(doc_id, sent_idx, topic) of sentences that hold one of a topic's suppressing terms as a substring."""
-    topics = F.broadcast(terms.groupBy("topic").agg(F.collect_list(F.when(F.col("negate"), F.col("term"))).alias("negs")).select(F.collect_list(F.struct("topic", "negs")).alias("dictionary")))
-    rows = sents.crossJoin(topics)  # one row holds the whole dictionary
-    hit = F.filter("dictionary", lambda d: F.exists(d["negs"], lambda t: F.contains(F.lower("sentence"), t)))
-    return rows.select("doc_id", "sent_idx", F.explode(hit).alias("d")).select("doc_id", "sent_idx", "d.topic")
+def topics_of(dictionary, negate: bool = False) -> dict[str, list[str]]:
+    out: dict[str, list[str]] = {t: [] for t, _, _ in dictionary}
+    for t, m, n in dictionary:
+        if n == negate:
+            out[t].append(m)
+    return out
 
 
-def topic_totals(sents: DataFrame, terms: DataFrame, suppress: bool = False) -> DataFrame:
-    """(doc_id, source, sent_idx, topic, total, n_terms) of sentences with a match."""
-    m = sentence_matches(sents, terms).groupBy("doc_id", "source", "sent_idx", "topic").agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("n_terms"))
-    return m.join(suppressed(sents, terms), ["doc_id", "sent_idx", "topic"], "left_anti") if suppress else m
+def terms_of(terms: Column, wanted: list[str]) -> Column:
+    return F.filter(terms, lambda x: x.isin(*wanted)) if wanted else F.array().cast("array<string>")
+
+
+def full_counts(terms: Column, wanted: list[str]) -> Column:
+    """A map of every wanted term to its count among ``terms``, 0 included."""
+    return F.map_from_arrays(F.array(*[F.lit(m) for m in wanted]), F.array(*[F.size(terms_of(terms, [m])) for m in wanted]))
+
+
+def sentence_maps(terms: Column, wanted: list[str]) -> Column:
+    """For each sentence a map of a topic's terms that stand in it to their counts."""
+
+    def counted(found: Column) -> Column:
+        return F.map_from_entries(F.transform(F.array_distinct(found), lambda x: F.struct(x, F.size(F.filter(found, lambda y: y == x)))))
+
+    return F.transform(terms, lambda t: counted(terms_of(t, wanted)))
+
+
+def topic_totals(docs: DataFrame, dictionary=DICTIONARY, suppress: bool = False) -> DataFrame:
+    """(doc_id, source, n_sents, sent_idx, topic, total, n_terms) of sentences with a match, without a shuffle.
+
+    ``suppress``: a topic's match doesn't count in sentences that hold one of its suppressing terms as a substring.
+    """
+    rows = scanned(docs, dictionary).select("doc_id", "source", F.size("sents").alias("n_sents"), F.posexplode(F.arrays_zip("sents", "terms")).alias("sent_idx", "z"))
+    rows = rows.filter(F.size("z.terms") > 0)
+    against = topics_of(dictionary, negate=True)
+
+    def one(topic: str, wanted: list[str]) -> Column:
+        found = terms_of(F.col("z.terms"), wanted)
+        row = F.struct(F.lit(topic).alias("topic"), F.size(found).cast("long").alias("total"), F.size(F.array_distinct(found)).cast("long").alias("n_terms"))
+        held = F.lit(False)
+        for t in against[topic] if suppress else ():
+            held = held | F.contains(lower_ascii(F.col("z.sents")), F.lit(t))
+        return F.when(~held & (F.size(found) > 0), row)
+
+    hits = F.array_compact(F.array(*[one(t, m) for t, m in topics_of(dictionary).items()]))
+    return rows.select("doc_id", "source", "n_sents", "sent_idx", F.explode(hits).alias("t")).select("doc_id", "source", "n_sents", "sent_idx", "t.topic", "t.total", "t.n_terms")
+
+
+def topic_hits(docs: DataFrame, dictionary=DICTIONARY) -> DataFrame:
+    """(doc_id, source, n_sents, topic, hits): sentences of each document with a match, counted within the row."""
+    d = scanned(docs, dictionary)
+
+    def hits(topic: str, wanted: list[str]) -> Column:
+        return F.struct(F.lit(topic).alias("topic"), F.size(F.filter("terms", lambda x: F.size(terms_of(x, wanted)) > 0)).cast("long").alias("hits"))
+
+    each = F.array(*[hits(t, m) for t, m in topics_of(dictionary).items()])
+    rows = d.select("doc_id", "source", F.size("sents").cast("long").alias("n_sents"), F.explode(each).alias("t"))
+    return rows.select("doc_id", "source", "n_sents", "t.topic", "t.hits").filter("hits > 0")
 
 
 STATS = ("total", "relevance", "count", "sentiment", "net_sentiment")
 
 
-def topic_report(sents: DataFrame, terms: DataFrame, stats=STATS, label=None) -> DataFrame:
+def topic_report(docs: DataFrame, dictionary=DICTIONARY, stats=STATS, label=None) -> DataFrame:
     """Selected statistics of each (document, topic) with a match; an unknown statistic is a ValueError.
 
     ``label``: SQL for a sentence's sentiment label (-1, 0, 1).
     """
     if unknown := set(stats) - set(STATS):
         raise ValueError(f"unknown statistics: {sorted(unknown)}")
-    sizes = sents.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_sents"))
-    m = topic_totals(sents, terms).withColumn("label", F.expr(label or "0"))
+    m = topic_totals(docs, dictionary).withColumn("label", F.expr(label or "0"))
     aggs = {
         "total": F.sum("total"), "count": F.count(F.lit(1)), "relevance": F.count(F.lit(1)) / F.first("n_sents"),
         "sentiment": F.avg("label"), "net_sentiment": F.sum("label"),
     }
-    return m.join(sizes, "doc_id").groupBy("doc_id", "source", "topic").agg(*[aggs[s].alias(s) for s in stats])
+    return m.groupBy("doc_id", "source", "topic").agg(*[aggs[s].alias(s) for s in stats])

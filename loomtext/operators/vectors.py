@@ -28,15 +28,21 @@ def mean_of_words(docs: DataFrame, words: str, table: DataFrame, key: str) -> Da
     return means.groupBy(key).agg(F.transform(F.array_sort(F.collect_list(F.struct("dim", "m"))), lambda s: s["m"]).alias("vector"))
 
 
+#: Queries to a block, and blocks (each a row of some 0.5 MB at 128 dimensions) up to which they are broadcast.
+BLOCK_QUERIES, BROADCAST_BLOCKS = 256, 64
+
+
 def nearest(queries: DataFrame, corpus: DataFrame, k: int) -> DataFrame:
-    """The k rows of ``corpus`` (vec_id, embedding) of highest cosine for each of a small stated set of queries.
+    """The k rows of ``corpus`` (vec_id, embedding) of highest cosine for each of a stated set of queries.
 
-    The queries are one array in one row, so that the corpus is read once and never shuffled; each partition keeps its
-    best k of every query before they meet.
+    Queries meet the corpus in blocks of bounded size, one row each. Few blocks are broadcast, so that the corpus is not
+    shuffled; beyond that, blocks and partitions of the corpus are paired off by Spark. Each partition keeps its best k
+    of every query before they meet.
     """
     q = queries.select(F.col("vec_id").alias("query_id"), unit(F.col("embedding")).alias("q")).filter("q is not null")
-    packed = q.agg(F.collect_list(F.struct("query_id", "q")).alias("qs"))
-    c = corpus.select("vec_id", unit(F.col("embedding")).alias("v")).filter("v is not null").join(F.broadcast(packed))
+    n = -(-q.count() // BLOCK_QUERIES)
+    blocks = q.groupBy(F.pmod(F.xxhash64("query_id"), F.lit(max(n, 1))).alias("block")).agg(F.collect_list(F.struct("query_id", "q")).alias("qs")).select("qs")
+    c = corpus.select("vec_id", unit(F.col("embedding")).alias("v")).filter("v is not null").join(F.broadcast(blocks) if n <= BROADCAST_BLOCKS else blocks.hint("shuffle_replicate_nl"))
     scored = c.select("vec_id", F.explode(F.transform("qs", lambda s: F.struct(s["query_id"].alias("query_id"), dot(s["q"], F.col("v")).alias("cosine")))).alias("s")).select("s.query_id", "vec_id", "s.cosine").filter("query_id <> vec_id")
     best = Window.partitionBy("query_id").orderBy(F.col("cosine").desc(), "vec_id")
     return scored.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)

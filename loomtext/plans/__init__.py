@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from . import entities, evaluation, series, textual, topical
+from . import entities, evaluation, rules, series, tables, textual, topical
 from .base import ORACLES, QUERIES
 
-__all__ = ["entities", "evaluation", "oracle_sql", "queries", "series", "textual", "topical"]
+__all__ = ["entities", "evaluation", "oracle_sql", "queries", "rules", "series", "tables", "textual", "topical"]
 
 
 def queries() -> dict:

@@ -18,11 +18,15 @@ def register(sql: str | None = None):
 
 #: Sentences and tokens in DuckDB, as functions/text.py makes them.
 SQL_SENTENCES = r"""sent AS (SELECT doc_id, source, lang, unnest(sents) AS sentence, generate_subscripts(sents, 1) - 1 AS sent_idx FROM
- (SELECT doc_id, source, lang, string_split(regexp_replace(text, '([.!?])\s+', '\1' || chr(1), 'g'), chr(1)) AS sents FROM documents WHERE lang = 'en'))"""
+ (SELECT doc_id, source, lang, string_split(regexp_replace(text, '([.!?])\s+', '\1' || chr(1), 'g'), chr(1)) AS sents FROM documents))"""
+
+
+def sql_lower(column: str) -> str:
+    return f"translate({column}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 
 def sql_tokens(column: str) -> str:
-    return f"list_filter(regexp_split_to_array(lower({column}), '[^a-z]+'), lambda x: x <> '')"
+    return f"list_filter(regexp_split_to_array({sql_lower(column)}, '[^a-z]+'), lambda x: x <> '')"
 
 
 def sql_list(words) -> str:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from ..functions import dates as D
 from ..operators import relational as R
 from ..sources.io import table
 from .base import register
@@ -71,12 +72,14 @@ def delta_anti_join(spark, d):
     return R.delta(table(spark, d, "orders"), table(spark, d, "lineitem").filter("l_quantity > 45"), {"o_orderkey": "l_orderkey"}).select("o_orderkey", "o_custkey")
 
 
-@register("""WITH hist AS (SELECT * FROM orders WHERE o_orderkey % 3 = 0), new AS (SELECT * FROM orders WHERE o_orderkey % 2 = 0)
+@register("""WITH hist AS (SELECT * FROM orders WHERE o_orderdate < TIMESTAMP '1996-07-01'), new AS (SELECT * FROM orders WHERE o_orderdate >= TIMESTAMP '1996-01-01')
  SELECT o_orderkey, o_custkey, o_totalprice FROM hist UNION ALL SELECT o_orderkey, o_custkey, o_totalprice FROM new WHERE NOT EXISTS (SELECT 1 FROM hist h WHERE h.o_orderkey = new.o_orderkey)""")
 def merge_insert_only(spark, d):
-    """SET4."""
-    o = table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
-    return R.merge_insert(o.filter("o_orderkey % 3 = 0"), o.filter("o_orderkey % 2 = 0"), ["o_orderkey"])
+    """SET4: history and a later batch overlap by half a year."""
+    o = table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate")
+    day = F.col("o_orderdate")
+    history, new = o.filter(day < F.lit("1996-07-01")), o.filter(day >= F.lit("1996-01-01"))
+    return R.merge_insert(history, new, ["o_orderkey"]).select("o_orderkey", "o_custkey", "o_totalprice")
 
 
 MONTHLY = """SELECT strftime(o_orderdate, '%Y-%m') AS ym, o_custkey, sum(CAST(round(o_totalprice * 100) AS BIGINT)) AS cap FROM orders GROUP BY ALL"""
@@ -218,27 +221,33 @@ def tumbling_months(spark, d):
     return table(spark, d, "events").groupBy(F.date_trunc("month", "ts").cast("timestamp_ntz").alias("month"), "event_type").agg(F.count(F.lit(1)).alias("n"), F.sum(F.round(F.col("value") * 100).cast("long")).alias("cents"))
 
 
-@register("""SELECT event_id, user_id FROM events WHERE ts > (SELECT max(ts) FROM events WHERE event_id % 10 = 0 AND event_id < 5000)""")
+@register("""SELECT event_id, user_id FROM events WHERE ts > (SELECT max(ts) FROM events WHERE date_trunc('month', ts) < (SELECT date_trunc('month', max(ts)) FROM events))""")
 def high_watermark_pull(spark, d):
-    """R1."""
+    """What came after all earlier months, of which the watermark is taken."""
     e = table(spark, d, "events")
-    seen = e.filter("event_id % 10 = 0 and event_id < 5000").agg(F.max("ts").alias("seen"))
+    last = e.agg(F.date_trunc("month", F.max("ts")).alias("last"))
+    seen = e.join(F.broadcast(last), F.date_trunc("month", "ts") < F.col("last")).agg(F.max("ts").alias("seen"))
     return e.join(F.broadcast(seen), F.col("ts") > F.col("seen")).select("event_id", "user_id")
 
 
-@register("""SELECT o_orderkey, CAST(o_orderdate AS DATE) - CASE WHEN dayofweek(o_orderdate) = 1 THEN 3 ELSE 1 END AS stamp, strftime(o_orderdate, '%Y-%m') AS ym,
- CAST(date_trunc('month', o_orderdate - INTERVAL 12 MONTH) AS DATE) AS range_start, 'q' || quarter(o_orderdate - INTERVAL 3 MONTH) || right(CAST(year(o_orderdate - INTERVAL 3 MONTH) AS VARCHAR), 2) AS quarter_before FROM orders""")
+_QUARTERS = ", ".join(f"'q' || quarter(o_orderdate - INTERVAL {3 * k} MONTH) || right(CAST(year(o_orderdate - INTERVAL {3 * k} MONTH) AS VARCHAR), 2)" for k in (1, 2, 3, 4))
+
+
+@register(f"""SELECT o_orderkey, CAST(o_orderdate AS DATE) - CASE WHEN dayofweek(o_orderdate) = 1 THEN 3 ELSE 1 END AS stamp, strftime(o_orderdate, '%Y-%m') AS ym, strftime(o_orderdate, '%Y%m%d') AS packed,
+ CAST(date_trunc('month', o_orderdate - INTERVAL 15 MONTH) AS DATE) AS range_start, CAST(date_trunc('month', o_orderdate - INTERVAL 12 MONTH) AS DATE) AS legacy_start, CAST(date_trunc('month', o_orderdate) AS DATE) AS range_end,
+ CAST(o_orderdate AS DATE) - 120 AS lookback, concat_ws(',', {_QUARTERS}) AS quarters FROM orders""")
 def calendar_stamps(spark, d):
-    """Business day before, month, month-aligned start a year back, last completed quarter."""
+    """Business day before, month, ranges by month, look-back, last four quarters."""
     day = F.col("o_orderdate").cast("date")
-    back = F.add_months(day, -3)
+    start, end = D.month_range_of(day, years_back=1, months_back=3)
+    legacy, _ = D.month_range_of(day, years_back=1, months_back=3, legacy=True)
     return table(spark, d, "orders").select(
-        "o_orderkey", F.when(F.dayofweek(day) == 2, F.date_sub(day, 3)).otherwise(F.date_sub(day, 1)).alias("stamp"), F.date_format("o_orderdate", "yyyy-MM").alias("ym"),
-        F.trunc(F.add_months(day, -12), "MM").alias("range_start"), F.concat(F.lit("q"), F.quarter(back).cast("string"), F.right(F.year(back).cast("string"), F.lit(2))).alias("quarter_before"),
+        "o_orderkey", D.business_day_before(day).alias("stamp"), D.year_month(F.col("o_orderdate")).alias("ym"), D.stamp(F.col("o_orderdate"), "yyyyMMdd").alias("packed"),
+        start.alias("range_start"), legacy.alias("legacy_start"), end.alias("range_end"), F.date_sub(day, 120).alias("lookback"), F.array_join(D.quarters_before(day, 4), ",").alias("quarters"),
     )
 
 
 @register("SELECT event_id, timezone('America/New_York', timezone('UTC', ts)) AS eastern FROM events")
 def utc_to_eastern(spark, d):
     """D4."""
-    return table(spark, d, "events").select("event_id", F.convert_timezone(F.lit("UTC"), F.lit("America/New_York"), "ts").alias("eastern"))
+    return table(spark, d, "events").select("event_id", D.eastern_ntz(F.col("ts")).alias("eastern"))

@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import functions as F
 
 from ..operators import evaluate as E
 from ..operators import vectors as V
-from ..sources.io import table
+from ..sources.io import scratch, table
 from ..streaming import jobs
 from .base import register
 
@@ -63,16 +61,29 @@ def spearman(spark, d):
     return E.spearman(table(spark, d, "lineitem"), "l_quantity", "l_extendedprice").select(F.round("rho", 9).alias("rho"), "n")
 
 
-@register()
+def sql_percent(key: str) -> str:
+    return f"CAST('0x' || substr(md5('42|' || {key}), 1, 8) AS BIGINT) % 100"
+
+
+@register(f"SELECT conv_id, turn, CASE WHEN {sql_percent('conv_id')} < 80 THEN 'train' ELSE 'test' END AS part FROM conversations")
 def group_split(spark, d):
-    """The hash is Spark's own, so rows only."""
+    """M26."""
     return E.group_split(table(spark, d, "conversations").select("conv_id", "turn"), F.col("conv_id"))
 
 
-@register("SELECT conv_id, turn, CASE WHEN conv_id * 7919 % 100 < 80 THEN 'train' ELSE 'test' END AS part FROM conversations")
-def group_split_by_key(spark, d):
-    """M26 with a split that any engine can make."""
-    return table(spark, d, "conversations").select("conv_id", "turn", F.when(F.col("conv_id") * 7919 % 100 < 80, "train").otherwise("test").alias("part"))
+@register(f"""SELECT doc_id, CASE WHEN quality = 1 THEN 'entailment' ELSE 'not_entailment' END AS label, CASE WHEN {sql_percent("doc_id || '|' || quality")} < 80 THEN 'train' ELSE 'test' END AS part FROM labels WHERE quality IS NOT NULL""")
+def row_split(spark, d):
+    """Labels are derived, rows without one fall out, and each row goes by itself."""
+    rows = table(spark, d, "labels").filter("quality is not null")
+    label = F.when(F.col("quality") == 1, "entailment").otherwise("not_entailment")
+    return E.row_split(rows, "doc_id", "quality").select("doc_id", label.alias("label"), "part")
+
+
+@register(f"""WITH {SQL_PRED}, c AS (SELECT lang, class, count(*) FILTER (truth = class AND predicted = class) AS tp, count(*) FILTER (truth <> class AND predicted = class) AS fp, count(*) FILTER (truth = class AND predicted <> class) AS fn
+ FROM pred, (VALUES (0), (1)) v(class) GROUP BY lang, class) SELECT lang, CAST(class AS INTEGER) AS class, coalesce(tp / nullif(tp + fp, 0), 0) AS precision, coalesce(tp / nullif(tp + fn, 0), 0) AS recall, coalesce(2 * tp / nullif(2 * tp + fp + fn, 0), 0) AS f1, tp + fn AS support FROM c""")
+def class_report(spark, d):
+    """Every class, with support, by group."""
+    return E.class_report(predictions(spark, d), "truth", "predicted", [0, 1], "lang")
 
 
 @register("SELECT label, CAST(dim - 1 AS INTEGER) AS dim, round(avg(CAST(x AS DOUBLE)), 9) AS mean FROM (SELECT label, unnest(embedding) AS x, generate_subscripts(embedding, 1) AS dim FROM embeddings) GROUP BY label, dim")
@@ -92,10 +103,7 @@ def topk_cosine(spark, d):
 @register("SELECT event_id, user_id, event_type FROM events")
 def stream_dedupe_append(spark, d):
     """A stream over the table, each event once, appended to a history that is then read."""
-    from uuid import uuid4
-
-    at = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="loomtext-")
-    folder = f"{at}/stream-{uuid4().hex}"
+    folder = scratch(spark, "stream")
     schema = table(spark, d, "events").schema
     events = jobs.stream_table(spark, d, "events.parquet", schema).select("event_id", "user_id", "event_type")
     jobs.append_new(events, f"{folder}/out", ["event_id"], f"{folder}/state").awaitTermination()

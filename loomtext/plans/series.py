@@ -35,15 +35,14 @@ def latest(spark, d):
  FROM spine LEFT JOIN latest USING (series_day) GROUP BY series_day""")
 def rolling_coverage_120d(spark, d):
     """J7, A5, W2, R4, D6."""
-    daily = latest(spark, d).groupBy("series_day").agg(F.count(F.lit(1)).alias("company_count"), F.sum("flag_md").alias("covered"))
-    out = S.on_spine(daily, spark, LO, HI)
-    return out.select("series_day", "company_count", "covered", F.try_divide("covered", "company_count").alias("coverage"))
+    out = S.on_spine(S.rolling(latest(spark, d), "flag_md", "rel_md"), spark, LO, HI)
+    return out.select("series_day", "company_count", "covered", "coverage")
 
 
 @register(f"WITH {SQL_LATEST} SELECT series_day, count(*) AS company_count, avg(rel_md) AS relevance FROM latest GROUP BY series_day")
 def rolling_relevance_120d(spark, d):
     """A4, P8. Scores are sixteenths, so sums are exact."""
-    return latest(spark, d).groupBy("series_day").agg(F.count(F.lit(1)).alias("company_count"), F.avg("rel_md").alias("relevance"))
+    return S.rolling(latest(spark, d), "flag_md", "rel_md").select("series_day", "company_count", "relevance")
 
 
 @register(f"""WITH {SQL_LATEST} SELECT series_day, c_mktsegment AS category, count(*) AS company_count, CAST(sum(flag_md) AS BIGINT) AS covered, avg(rel_md) AS relevance
@@ -51,7 +50,7 @@ def rolling_relevance_120d(spark, d):
 def rolling_by_segment(spark, d):
     """Coverage and relevance of each segment in one aggregate."""
     j = latest(spark, d).join(table(spark, d, "customer"), F.col("entity") == F.col("c_custkey")).withColumnRenamed("c_mktsegment", "category")
-    return j.groupBy("series_day", "category").agg(F.count(F.lit(1)).alias("company_count"), F.sum("flag_md").alias("covered"), F.avg("rel_md").alias("relevance"))
+    return S.rolling(j, "flag_md", "rel_md", "category").select("series_day", "category", "company_count", "covered", "relevance")
 
 
 @register(f"""WITH {SQL_LATEST} SELECT version, (coalesce(rel_md, 0) + coalesce(rel_qa, 0)) / nullif((rel_md IS NOT NULL)::INT + (rel_qa IS NOT NULL)::INT, 0) AS rel_average,

@@ -8,67 +8,77 @@ from ..functions import lexicon as L
 from ..functions import text as X
 from ..operators import vectors as V
 from ..sources.io import table
-from .base import SQL_SENTENCES, register, sql_list, sql_tokens
+from .base import SQL_SENTENCES, register, sql_list, sql_lower, sql_tokens
 
 
-def english(spark, d):
-    return table(spark, d, "documents").filter("lang = 'en'")
+def texts(spark, d):
+    return table(spark, d, "documents")
 
 
 def sents(spark, d):
-    return english(spark, d).select("doc_id", "source", F.posexplode(X.sentences(F.col("text"))).alias("sent_idx", "sentence"))
+    return texts(spark, d).select("doc_id", "source", F.posexplode(X.sentences(F.col("text"))).alias("sent_idx", "sentence"))
 
 
 T_TEXT, T_SENT = sql_tokens("text"), sql_tokens("sentence")
 
 
-@register(f"SELECT doc_id, array_to_string(list_filter({T_TEXT}, lambda x: length(x) > 1), ' ') AS cleaned FROM documents WHERE lang = 'en'")
-def clean_text(spark, d):
-    """X3."""
-    return english(spark, d).select("doc_id", X.clean(F.col("text")).alias("cleaned"))
-
-
 @register(f"WITH {SQL_SENTENCES} SELECT doc_id, CAST(sent_idx AS INTEGER) AS sent_idx, sentence FROM sent")
 def sentence_split(spark, d):
     """X5."""
     return sents(spark, d).select("doc_id", "sent_idx", "sentence")
 
 
-@register(f"""WITH {SQL_SENTENCES}, bare AS (SELECT doc_id, replace(replace(replace(replace(replace(replace(sentence, 'Thank you', ''), 'thank you', ''), 'Thanks', ''), 'thanks', ''), 'Earnings Call', ''), 'earnings call', '') AS s FROM sent)
+def sql_bare(column: str, phrases=X.STOCK_PHRASES) -> str:
+    for p in phrases:
+        column = f"replace({column}, '{p}', '')"
+    return column
+
+
+def sql_greets(column: str, words=X.GREETINGS) -> str:
+    return "(" + " OR ".join(f"contains({sql_lower(column)}, '{g}')" for g in words) + ")"
+
+
+BARE = f"regexp_replace({sql_bare('sentence')}, '^\\s+|\\s+$', '', 'g')"
+
+
+@register(f"""WITH {SQL_SENTENCES}, bare AS (SELECT doc_id, {BARE} AS s FROM sent)
  SELECT doc_id, count(*) AS n_kept, CAST(sum(length(s)) AS BIGINT) AS n_chars FROM bare WHERE len(list_filter(regexp_split_to_array(s, '\\s+'), lambda x: x <> '')) >= 5
- AND NOT (contains(lower(s), 'good morning') OR contains(lower(s), 'good afternoon') OR contains(lower(s), 'good evening')) GROUP BY doc_id""")
+ AND NOT {sql_greets("s")} GROUP BY doc_id""")
 def sentence_filter(spark, d):
     """X4, X5."""
-    kept = english(spark, d).select("doc_id", F.explode(X.kept_sentences(F.col("text"))).alias("s"))
+    kept = texts(spark, d).select("doc_id", F.explode(X.kept_sentences(F.col("text"))).alias("s"))
     return kept.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_kept"), F.sum(F.length("s")).alias("n_chars"))
 
 
-@register(f"""WITH {SQL_SENTENCES} SELECT doc_id, count(*) FILTER (NOT suffix(sentence, '.')) AS n_sents, coalesce(CAST(sum(length(sentence) % 3) FILTER (NOT suffix(sentence, '.')) AS BIGINT), 0) AS label_sum FROM sent GROUP BY doc_id""")
+@register(f"""WITH s AS (SELECT conv_id, turn, sentence, length(sentence) % 3 AS label FROM (SELECT conv_id, turn, unnest(string_split(regexp_replace(text, '([.!?])\\s+', '\\1' || chr(1), 'g'), chr(1))) AS sentence FROM conversations))
+ SELECT conv_id, turn, count(*) FILTER (NOT suffix(sentence, '?')) AS n_sents, coalesce(CAST(sum(label) FILTER (NOT suffix(sentence, '?')) AS BIGINT), 0) AS label_sum, count(*) FILTER (NOT suffix(sentence, '?') AND label = 1) AS n_positive FROM s GROUP BY conv_id, turn""")
 def question_filter_aligned(spark, d):
-    """The label goes with its sentence (the synthetic texts end sentences with full stops)."""
-    s = english(spark, d).select("doc_id", X.sentences(F.col("text")).alias("s"))
+    """The label goes with its sentence; of what is left, the sentences of label 1."""
+    s = table(spark, d, "conversations").select("conv_id", "turn", X.sentences(F.col("text")).alias("s"))
     s = s.withColumn("labels", F.transform("s", lambda x: F.length(x) % 3))
-    keep = lambda x: ~F.endswith(x, F.lit("."))
-    return s.select("doc_id", F.size(F.filter("s", keep)).cast("long").alias("n_sents"), F.aggregate(F.filter("labels", lambda v, i: keep(F.get(F.col("s"), i))), F.lit(0).cast("long"), lambda a, v: a + v).alias("label_sum"))
+    sents, labels = X.no_questions(F.col("s"), F.col("labels"))
+    row = s.select("conv_id", "turn", sents.alias("sents"), labels.alias("kept"), X.positive_statements(F.col("s"), F.col("labels")).alias("positive"))
+    total = F.aggregate("kept", F.lit(0).cast("long"), lambda a, v: a + v)
+    return row.groupBy("conv_id", "turn").agg(F.sum(F.size("sents")).alias("n_sents"), F.sum(total).alias("label_sum"), F.sum(F.size("positive")).alias("n_positive"))
 
 
-@register(f"SELECT token, count(*) AS n, count(DISTINCT doc_id) AS docs FROM (SELECT doc_id, unnest({T_TEXT}) AS token FROM documents WHERE lang = 'en') GROUP BY token")
+@register(f"SELECT token, count(*) AS n, count(DISTINCT doc_id) AS docs FROM (SELECT doc_id, unnest({T_TEXT}) AS token FROM documents) GROUP BY token")
 def token_counts(spark, d):
     """X6, A24."""
-    return english(spark, d).select("doc_id", F.explode(X.tokens(F.col("text"))).alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("doc_id").alias("docs"))
+    return texts(spark, d).select("doc_id", F.explode(X.tokens(F.col("text"))).alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("doc_id").alias("docs"))
 
 
-@register(f"SELECT token, count(*) AS n FROM (SELECT unnest({T_TEXT}) AS token FROM documents WHERE lang = 'en') GROUP BY token HAVING count(*) >= 10")
+@register(f"SELECT token, count(*) AS n FROM (SELECT unnest({T_TEXT}) AS token FROM documents) GROUP BY token HAVING count(*) >= 10")
 def vocab_min_count(spark, d):
     """A25."""
-    return english(spark, d).select(F.explode(X.tokens(F.col("text"))).alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("n")).filter("n >= 10")
+    return texts(spark, d).select(F.explode(X.tokens(F.col("text"))).alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("n")).filter("n >= 10")
 
 
-@register(f"""WITH t AS (SELECT doc_id, {T_TEXT} AS w FROM documents WHERE lang = 'en') SELECT gram, count(*) AS n FROM
+@register(f"""WITH t AS (SELECT doc_id, {T_TEXT} AS w FROM documents) SELECT gram, count(*) AS n FROM
  (SELECT unnest(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS gram FROM t) GROUP BY gram HAVING count(*) >= 3""")
 def ngram_counts(spark, d):
     """W9, SET9."""
-    return english(spark, d).select(F.explode(X.ngrams(X.tokens(F.col("text")), 2)).alias("gram")).groupBy("gram").agg(F.count(F.lit(1)).alias("n")).filter("n >= 3")
+    return texts(spark, d).select(F.explode(X.ngrams(X.tokens(F.col("text")), 2)).alias("gram")).groupBy("gram").agg(F.count(F.lit(1)).alias("n")).filter("n >= 3")
 
 
 @register(f"""WITH {SQL_SENTENCES}, t AS (SELECT {T_SENT} AS w FROM sent), u AS (SELECT word, count(*) AS n FROM (SELECT unnest(w) AS word FROM t) GROUP BY word),
@@ -85,10 +95,10 @@ def _in(words):
 
 
 @register(f"""SELECT doc_id, len(w)::INTEGER AS n_tokens, {_in(L.LITIGIOUS)} AS n_litigious, {_in(L.COMPLEX)} AS n_complex, {_in(L.UNCERTAIN)} AS n_uncertain, {_in(L.LITIGIOUS)} / nullif(len(w), 0) AS litigious_ratio
- FROM (SELECT doc_id, {T_TEXT} AS w FROM documents WHERE lang = 'en')""")
+ FROM (SELECT doc_id, {T_TEXT} AS w FROM documents)""")
 def lm_ratios_section(spark, d):
     """M3, J10."""
-    t = english(spark, d).select("doc_id", X.tokens(F.col("text")).alias("w"))
+    t = texts(spark, d).select("doc_id", X.tokens(F.col("text")).alias("w"))
     counts = L.class_counts(F.col("w"))
     return t.select("doc_id", F.size("w").alias("n_tokens"), *[c.alias(k) for k, c in counts.items()], F.try_divide(counts["n_litigious"], F.size("w")).alias("litigious_ratio"))
 
@@ -100,13 +110,13 @@ def lm_counts_sentence(spark, d):
     return t.select("doc_id", "sent_idx", *[c.alias(k) for k, c in L.class_counts(F.col("w")).items()])
 
 
-@register(f"""WITH t AS (SELECT doc_id, {T_TEXT} AS w FROM documents WHERE lang = 'en'),
+@register(f"""WITH t AS (SELECT doc_id, {T_TEXT} AS w FROM documents),
  k AS (SELECT doc_id, len(w) AS n, len(list_filter(w, lambda x: x IN {sql_list(L.POSITIVE)})) AS p, len(list_filter(w, lambda x: x IN {sql_list(L.NEGATIVE)})) AS g,
  len(list_filter(range(1, len(w) + 1), lambda i: w[i] IN {sql_list(L.POSITIVE)} AND (coalesce(w[i - 1], '') IN {sql_list(L.NEGATION)} AND i > 1 OR coalesce(w[i - 2], '') IN {sql_list(L.NEGATION)} AND i > 2 OR coalesce(w[i - 3], '') IN {sql_list(L.NEGATION)} AND i > 3))) AS turned FROM t)
  SELECT doc_id, n::INTEGER AS n_tokens, (p - turned)::INTEGER AS n_positive, (g + turned)::INTEGER AS n_negative, (p - g - 2 * turned) / n AS polarity, coalesce((p - g - 2 * turned) / nullif(p + g, 0), 0.0) AS polarity_legacy FROM k WHERE n > 1""")
 def polarity_negation_window(spark, d):
     """M1, M1c, M2, M6, W8."""
-    t = english(spark, d).select("doc_id", X.tokens(F.col("text")).alias("w"))
+    t = texts(spark, d).select("doc_id", X.tokens(F.col("text")).alias("w"))
     return t.select("doc_id", *[c.alias(k) for k, c in L.polarity(F.col("w")).items()]).filter("n_tokens > 1")
 
 
@@ -146,10 +156,10 @@ def keyword_flags(spark, d):
     return table(spark, d, "conversations").select("conv_id", "turn", X.any_contains(t, X.CEO_TITLES).alias("ceo"), X.any_contains(t, X.EARNINGS).alias("earnings"), X.any_contains(t, X.MERGERS).alias("merger"), X.is_operator_turn(t).alias("operator_turn"))
 
 
-@register(f"SELECT doc_id, translate(text, '{X.ACCENTED}', '{X.PLAIN}') AS plain FROM documents WHERE lang <> 'en'")
+@register(f"SELECT doc_id, translate(text, '{X.ACCENTED}', '{X.PLAIN}') AS plain FROM documents")
 def accents_stripped(spark, d):
     """X16."""
-    return table(spark, d, "documents").filter("lang <> 'en'").select("doc_id", X.without_accents(F.col("text")).alias("plain"))
+    return table(spark, d, "documents").select("doc_id", X.without_accents(F.col("text")).alias("plain"))
 
 
 @register(r"""WITH s AS (SELECT doc_id, string_split(text, chr(10)) AS l FROM documents), k AS (SELECT doc_id, len(l) AS n, len(list_distinct(l)) AS u FROM s)

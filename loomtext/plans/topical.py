@@ -8,8 +8,8 @@ from ..functions import scores as C
 from ..functions.text import sentences, tokens
 from ..operators import models, topics
 from ..sources.io import table
-from .base import SQL_SENTENCES, register, sql_tokens
-from .textual import english
+from .base import SQL_SENTENCES, register, sql_lower, sql_tokens
+from .textual import texts
 
 _TERMS = "dict(topic, term, negate) AS (VALUES " + ", ".join(f"('{t}', '{m}', {str(n).lower()})" for t, m, n in topics.DICTIONARY) + ")"
 SQL_MATCH = f"""{_TERMS}, {SQL_SENTENCES}, tok AS (SELECT doc_id, source, sent_idx, sentence, {sql_tokens("sentence")} AS w FROM sent),
@@ -19,27 +19,23 @@ SQL_MATCH = f"""{_TERMS}, {SQL_SENTENCES}, tok AS (SELECT doc_id, source, sent_i
  total AS (SELECT doc_id, source, sent_idx, topic, CAST(sum(n) AS BIGINT) AS total, count(*) AS n_terms FROM hit GROUP BY ALL)"""
 
 
-def sents(spark, d):
-    return topics.explode_sentences(english(spark, d))
-
-
 @register(f"WITH {SQL_MATCH} SELECT doc_id, CAST(sent_idx AS INTEGER) AS sent_idx, topic, total, n_terms FROM total")
 def topic_match_sentence(spark, d):
     """M7, M8, M11, J11."""
-    return topics.topic_totals(sents(spark, d), topics.match_set(spark)).select("doc_id", "sent_idx", "topic", "total", "n_terms")
+    return topics.topic_totals(texts(spark, d)).select("doc_id", "sent_idx", "topic", "total", "n_terms")
 
 
 @register(f"""WITH {SQL_MATCH} SELECT doc_id, CAST(sent_idx AS INTEGER) AS sent_idx, topic, total FROM total t WHERE NOT EXISTS
- (SELECT 1 FROM tok JOIN dict ON negate AND contains(lower(tok.sentence), dict.term) WHERE tok.doc_id = t.doc_id AND tok.sent_idx = t.sent_idx AND dict.topic = t.topic)""")
+ (SELECT 1 FROM tok JOIN dict ON negate AND contains({sql_lower('tok.sentence')}, dict.term) WHERE tok.doc_id = t.doc_id AND tok.sent_idx = t.sent_idx AND dict.topic = t.topic)""")
 def topic_match_suppressed(spark, d):
     """M9, M9b."""
-    return topics.topic_totals(sents(spark, d), topics.match_set(spark), suppress=True).select("doc_id", "sent_idx", "topic", "total")
+    return topics.topic_totals(texts(spark, d), suppress=True).select("doc_id", "sent_idx", "topic", "total")
 
 
 @register(f"""WITH {SQL_MATCH} SELECT doc_id, CAST(max(CAST(topic = 'LINKING' AS INTEGER)) AS INTEGER) AS linking, CAST(max(CAST(topic = 'PLACE' AS INTEGER)) AS INTEGER) AS place, CAST(max(CAST(topic = 'TIME' AS INTEGER)) AS INTEGER) AS "time" FROM total GROUP BY doc_id""")
 def binary_topic_flags(spark, d):
     """M10, SET10, P19."""
-    m = topics.topic_totals(sents(spark, d), topics.match_set(spark))
+    m = topics.topic_totals(texts(spark, d))
     return m.groupBy("doc_id").agg(*[F.max((F.col("topic") == t).cast("int")).alias(t.lower()) for t in ("LINKING", "PLACE", "TIME")])
 
 
@@ -47,19 +43,18 @@ def binary_topic_flags(spark, d):
  SELECT doc_id, topic, CAST(sum(total) AS BIGINT) AS total, any_value(n_sents) AS n_sents, count(*) AS count, string_agg(sent_idx || ':' || total, ',' ORDER BY sent_idx) AS totals FROM total JOIN size USING (doc_id) GROUP BY doc_id, topic""")
 def topic_statistics(spark, d):
     """M12."""
-    s = sents(spark, d)
-    size = s.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_sents"))
-    g = topics.topic_totals(s, topics.match_set(spark)).groupBy("doc_id", "topic").agg(F.sum("total").alias("total"), F.count(F.lit(1)).alias("count"), F.array_sort(F.collect_list(F.struct("sent_idx", "total"))).alias("t"))
+    t = F.array_sort(F.collect_list(F.struct("sent_idx", "total")))
+    g = topics.topic_totals(texts(spark, d)).groupBy("doc_id", "topic").agg(F.sum("total").alias("total"), F.first("n_sents").cast("long").alias("n_sents"), F.count(F.lit(1)).alias("count"), t.alias("t"))
     totals = F.array_join(F.transform("t", lambda x: F.concat(x["sent_idx"].cast("string"), F.lit(":"), x["total"].cast("string"))), ",")
-    return g.join(size, "doc_id").select("doc_id", "topic", "total", "n_sents", "count", totals.alias("totals"))
+    return g.select("doc_id", "topic", "total", "n_sents", "count", totals.alias("totals"))
 
 
 @register(f"""WITH {SQL_MATCH}, s AS (SELECT doc_id, topic, term, sum(n) AS n FROM hit GROUP BY ALL) SELECT doc_id, topic, string_agg(term || '=' || n, ',' ORDER BY term) AS stats FROM s GROUP BY doc_id, topic""")
 def merge_counts(spark, d):
     """Maps of a sentence's terms, merged over the document."""
-    m = topics.sentence_matches(sents(spark, d), topics.match_set(spark))
-    per_sentence = m.groupBy("doc_id", "topic", "sent_idx").agg(F.map_from_entries(F.collect_list(F.struct("term", F.col("n").cast("int")))).alias("m"))
-    g = per_sentence.groupBy("doc_id", "topic").agg(F.collect_list("m").alias("maps")).withColumn("merged", C.without_nulls(C.merged_counts(F.col("maps"))))
+    merged = lambda wanted: C.without_nulls(C.merged_counts(topics.sentence_maps(F.col("terms"), wanted)))
+    each = F.array(*[F.struct(F.lit(t).alias("topic"), merged(m).alias("merged")) for t, m in topics.topics_of(topics.DICTIONARY).items()])
+    g = topics.scanned(texts(spark, d)).select("doc_id", F.explode(each).alias("t")).select("doc_id", "t.topic", "t.merged").filter(~F.map_contains_key("merged", C.NO_MATCH))
     return g.select("doc_id", "topic", F.array_join(F.transform(F.array_sort(F.map_entries("merged")), lambda e: F.concat(e["key"], F.lit("="), e["value"].cast("string"))), ",").alias("stats"))
 
 
@@ -67,21 +62,18 @@ def merge_counts(spark, d):
  SELECT source, topic, count(*) AS docs, CAST(sum(hits) AS BIGINT) AS hits, CAST(sum(n_sents) AS BIGINT) AS n_sents, sum(hits) / sum(n_sents) AS relevance FROM rel GROUP BY ALL""")
 def topic_relevance_by_source(spark, d):
     """The flagship: sentence-level topic relevance, by source."""
-    s = sents(spark, d)
-    size = s.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_sents"))
-    rel = topics.topic_totals(s, topics.match_set(spark)).groupBy("doc_id", "source", "topic").agg(F.count(F.lit(1)).alias("hits")).join(size, "doc_id")
-    g = rel.groupBy("source", "topic").agg(F.count(F.lit(1)).alias("docs"), F.sum("hits").alias("hits"), F.sum("n_sents").alias("n_sents"))
+    g = topics.topic_hits(texts(spark, d)).groupBy("source", "topic").agg(F.count(F.lit(1)).alias("docs"), F.sum("hits").alias("hits"), F.sum("n_sents").alias("n_sents"))
     return g.withColumn("relevance", F.col("hits") / F.col("n_sents"))
 
 
 #: Aligned arrays by sentence: counts of "the", labels from lengths.
 def scored(spark, d):
-    s = english(spark, d).select("doc_id", sentences(F.col("text")).alias("s"))
-    count = F.transform("s", lambda x: F.size(F.filter(tokens(x), lambda w: w.isin("and", "with"))))
-    return s.withColumns({"counts": count, "labels": F.transform("s", lambda x: F.length(x) % 3 - 1)})
+    s = texts(spark, d).select("doc_id", sentences(F.col("text")).alias("s"))
+    s = s.withColumn("found", F.transform("s", lambda x: F.filter(tokens(x), lambda w: w.isin("and", "with"))))
+    return s.withColumns({"counts": F.transform("found", F.size), "weights": F.transform("found", lambda x: F.size(F.array_distinct(x))), "labels": F.transform("s", lambda x: F.length(x) % 3 - 1)})
 
 
-SQL_SCORED = f"""{SQL_SENTENCES}, sc AS (SELECT doc_id, len(list_filter({sql_tokens("sentence")}, lambda x: x IN ('and', 'with'))) AS c, length(sentence) % 3 - 1 AS l FROM sent)"""
+SQL_SCORED = f"""{SQL_SENTENCES}, sc AS (SELECT doc_id, len(list_filter({sql_tokens("sentence")}, lambda x: x IN ('and', 'with'))) AS c, len(list_distinct(list_filter({sql_tokens("sentence")}, lambda x: x IN ('and', 'with')))) AS w, length(sentence) % 3 - 1 AS l FROM sent)"""
 
 
 @register(f"""WITH {SQL_SCORED} SELECT doc_id, CAST(sum(c * l) AS DOUBLE) / nullif(count(*) FILTER (c > 0), 0) AS sent_weighted, CAST(sum(l) FILTER (c > 0) AS DOUBLE) / nullif(count(*) FILTER (c > 0), 0) AS sent_plain,
@@ -92,13 +84,12 @@ def sentence_scores(spark, d):
     return scored(spark, d).select("doc_id", C.sentence_score(c, x).alias("sent_weighted"), C.sentence_score(c, x, False).alias("sent_plain"), C.net_score(c, x).alias("net"))
 
 
-@register(f"""WITH {SQL_SCORED}, k AS (SELECT doc_id, count(*) FILTER (c > 0) AS r, count(*) AS n, sum(l) FILTER (c > 0) AS net, sum(least(c, 1) * l) AS wnet FROM sc GROUP BY doc_id)
+@register(f"""WITH {SQL_SCORED}, k AS (SELECT doc_id, count(*) FILTER (c > 0) AS r, count(*) AS n, sum(l) FILTER (c > 0) AS net, sum(w * l) AS wnet FROM sc GROUP BY doc_id)
  SELECT doc_id, r / n AS relevance, CAST(net AS DOUBLE) / nullif(r, 0) AS sent, CASE WHEN net <> 0 THEN CAST(net AS DOUBLE) / r * (r / n) END AS sent_rel, CAST(wnet AS DOUBLE) / nullif(r, 0) AS sent_weight,
  CASE WHEN wnet <> 0 THEN CAST(wnet AS DOUBLE) / r * (r / n) END AS sent_weight_rel, coalesce(CAST(net AS DOUBLE), 0) AS net_sent FROM k""")
 def relevance_suite(spark, d):
     """M15, M16."""
-    weights = F.transform("counts", lambda c: F.least(c, F.lit(1)))
-    return scored(spark, d).select("doc_id", *[v.alias(k) for k, v in C.suite(F.col("counts"), F.col("labels"), weights).items()])
+    return scored(spark, d).select("doc_id", *[v.alias(k) for k, v in C.suite(F.col("counts"), F.col("labels"), F.col("weights")).items()])
 
 
 @register(f"""WITH {SQL_SCORED} SELECT doc_id, (count(*) FILTER (l = 1) - count(*) FILTER (l = -1)) / count(*) AS sentiment, CAST(count(*) FILTER (l = 1) AS INTEGER) AS n_pos, CAST(count(*) FILTER (l = -1) AS INTEGER) AS n_neg, CAST(count(*) AS INTEGER) AS n_sents FROM sc GROUP BY doc_id""")
@@ -111,7 +102,7 @@ def section_sentiment(spark, d):
  SELECT doc_id, string_agg(CASE WHEN p >= u AND p >= g THEN 1 WHEN u >= g THEN 0 ELSE -1 END, ',' ORDER BY sent_idx) AS labels FROM t GROUP BY doc_id""")
 def argmax_label(spark, d):
     """N8, N8b."""
-    s = english(spark, d).select("doc_id", sentences(F.col("text")).alias("s"))
+    s = texts(spark, d).select("doc_id", sentences(F.col("text")).alias("s"))
     score = lambda m: F.transform("s", lambda x: (F.length(x) * m % 101) / 101.0)
     s = s.withColumns({"p": score(37), "u": score(17), "g": score(5)})
     return s.select("doc_id", F.array_join(C.argmax_label(F.col("p"), F.col("u"), F.col("g")).cast("array<string>"), ",").alias("labels"))
@@ -166,4 +157,4 @@ def model_scores(spark, d):
  avg(sent_idx % 3 - 1) AS sentiment, CAST(sum(sent_idx % 3 - 1) AS BIGINT) AS net_sentiment FROM total JOIN size USING (doc_id) GROUP BY doc_id, topic""")
 def topic_report(spark, d):
     """M17, A13 of its labels."""
-    return topics.topic_report(sents(spark, d), topics.match_set(spark), label="sent_idx % 3 - 1").drop("source")
+    return topics.topic_report(texts(spark, d), label="sent_idx % 3 - 1").drop("source")

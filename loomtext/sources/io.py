@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import string
-from datetime import date
+import tempfile
+import uuid
+from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -64,23 +66,68 @@ def write_table(df: DataFrame, path: str, mode: str = "append", kind: str | None
     df.write.mode(mode).options(**(defaults | options)).format(kind).save(path)
 
 
-def write_bucketed(df: DataFrame, name: str, buckets: int, *keys: str) -> None:
+def write_bucketed(df: DataFrame, name: str, buckets: int, *keys: str, **options) -> None:
     """A table whose later joins and groupings on ``keys`` need no shuffle."""
-    df.write.mode("overwrite").bucketBy(buckets, *keys).sortBy(*keys).saveAsTable(name)
+    df.write.mode("overwrite").options(**options).bucketBy(buckets, *keys).sortBy(*keys).saveAsTable(name)
 
 
 def read_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.read.csv(path, schema=schema, header=True, multiLine=True, escape='"', encoding="UTF-8")
 
 
-def read_lexicon(spark: SparkSession, path: str) -> DataFrame:
-    """(word): trimmed lower-case lines without blank ones, each once."""
-    return spark.read.text(path).select(F.lower(F.trim("value")).alias("word")).filter("word <> ''").distinct()
+def scratch(spark: SparkSession, tag: str) -> str:
+    """A new folder under ``spark.checkpoint.dir`` (an own one where that is unset), deleted when the driver ends."""
+    at = spark.conf.get("spark.checkpoint.dir", None)
+    if not at:
+        at = tempfile.mkdtemp(prefix="loomtext-")
+        spark.conf.set("spark.checkpoint.dir", at)
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{at}/{tag}-{uuid.uuid4().hex}")
+    store = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    store.mkdirs(p)
+    store.deleteOnExit(p)
+    return p.toString()
 
 
-def read_counts(spark: SparkSession, path: str) -> DataFrame:
-    """(word, n) of lines "word count"; malformed lines are left out."""
+def truncate_and_load(df: DataFrame, path: str) -> None:
+    """Replace all rows of a table."""
+    df.write.mode("overwrite").parquet(path)
+
+
+def merge_into(spark: SparkSession, path: str, new: DataFrame, keys: list[str]) -> None:
+    """Rows of ``new`` in place of those of their key, others added. The table is replaced once the merge is written."""
+    from ..operators.relational import upsert
+
+    fs_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    store = fs_path(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    upsert(spark.read.parquet(path), new, keys).write.mode("overwrite").parquet(f"{path}.merged")
+    store.delete(fs_path(path), True)
+    if not store.rename(fs_path(f"{path}.merged"), fs_path(path)):
+        raise OSError(f"the merged table stays at {path}.merged")
+
+
+def read_jdbc(spark: SparkSession, url: str, source: str, column: str | None = None, bounds: tuple = (), partitions: int = 8, **options) -> DataFrame:
+    """A table or (in parentheses, with a name) a query of a relational database, by ranges of a column if one is given.
+
+    Filters and columns are pushed down by Spark's own source.
+    """
+    reader = spark.read.format("jdbc").options(url=url, dbtable=source, **options)
+    if column:
+        reader = reader.options(partitionColumn=column, lowerBound=bounds[0], upperBound=bounds[1], numPartitions=partitions)
+    return reader.load()
+
+
+def read_lexicon(spark: SparkSession, path: str, keep_blank: bool = False) -> DataFrame:
+    """(word): trimmed lower-case lines, each once, without blank ones unless those are to be kept."""
+    words = spark.read.text(path).select(F.lower(F.trim("value")).alias("word")).distinct()
+    return words if keep_blank else words.filter("word <> ''")
+
+
+def read_counts(spark: SparkSession, path: str, strict: bool = False) -> DataFrame:
+    """(word, n) of lines "word count"; malformed lines are left out, or with ``strict`` fail the read."""
     part = F.split(F.trim("value"), r"\s+")
+    if strict:
+        fine = F.expr("size(split(trim(value), '\\\\s+')) = 2")
+        return spark.read.text(path).select(F.when(fine, F.lower(part[0])).otherwise(F.raise_error(F.concat(F.lit("malformed line: "), "value"))).alias("word"), part[1].cast("int").alias("n"))
     rows = spark.read.text(path).filter(F.size(part) == 2)
     return rows.select(F.lower(part[0]).alias("word"), part[1].try_cast("int").alias("n")).filter("n is not null")
 
@@ -115,6 +162,19 @@ def pandas_to_spark(spark: SparkSession, pdf, column_types=None) -> DataFrame:
     return spark.createDataFrame(pdf.astype(object).where(pdf.notna(), None).values.tolist(), schema)
 
 
+def drop_expired(spark: SparkSession, path: str, on: date, days: int = 30) -> list[str]:
+    """Delete the archive folders older than ``days``; their names."""
+    fs_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    store = fs_path(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    gone = []
+    for f in store.listStatus(fs_path(path)):
+        name = f.getPath().getName()
+        if name.startswith("archive_dt=") and date.fromisoformat(name[11:]) < on - timedelta(days=days):
+            store.delete(f.getPath(), True)
+            gone.append(name)
+    return gone
+
+
 def empty(spark: SparkSession, schema: str | T.StructType) -> DataFrame:
     return spark.createDataFrame([], schema)
 
