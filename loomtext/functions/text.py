@@ -18,6 +18,11 @@ MARK = "\x01"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
+def with_value(value: Column, fn) -> Column:
+    """``fn`` of the value, which is worked out once however often ``fn`` uses it."""
+    return F.transform(F.array(value), fn)[0]
+
+
 def joined(parts: Column) -> Column:
     """Text of a list of strings, trimmed; null where nothing is left."""
     return F.nullif(F.trim(F.array_join(parts, " ")), F.lit(""))
@@ -96,12 +101,9 @@ def preprocessed(text: Column, contractions: dict[str, str], stop_words, lemmas:
 def preprocessed_list(sents: Column, stop_words, lemmas: dict[str, str], min_words: int = 5) -> Column:
     """Array of (cleaned, words, count), in order; ("", [], 0) for a sentence that is rejected."""
 
-    def one(s: Column) -> Column:
-        kept = kept_sentence(s, min_words)
-        words = content_tokens(F.coalesce(kept, F.lit("")), stop_words, lemmas)
-        return F.struct(F.coalesce(kept, F.lit("")).alias("cleaned"), words.alias("words"), F.size(words).alias("count"))
-
-    return F.transform(sents, one)
+    kept = F.transform(sents, lambda s: F.coalesce(kept_sentence(s, min_words), F.lit("")))
+    both = F.transform(kept, lambda k: F.struct(k.alias("cleaned"), content_tokens(k, stop_words, lemmas).alias("words")))
+    return F.transform(both, lambda z: F.struct(z["cleaned"], z["words"], F.size(z["words"]).alias("count")))
 
 
 def expand_contractions(text: Column, table: dict[str, str]) -> Column:
@@ -136,11 +138,15 @@ def kept_sentence(sentence: Column, min_words: int = 5, rejects: tuple[str, ...]
     bare = without_phrases(sentence)
     if not legacy:
         bare = F.regexp_replace(bare, r"^\s+|\s+$", "")
-    words = F.size(F.split(bare, " ")) if legacy else F.size(F.filter(F.split(bare, r"\s+"), lambda w: w != ""))
-    greets = F.lit(False)
-    for g in rejects:
-        greets = greets | F.contains(lower_ascii(bare), F.lit(g))
-    return F.when((words >= min_words) & ~greets, bare)
+
+    def judged(b: Column) -> Column:
+        words = F.size(F.split(b, " ")) if legacy else F.size(F.filter(F.split(b, r"\s+"), lambda w: w != ""))
+        greets = F.lit(False)
+        for g in rejects:
+            greets = greets | F.contains(lower_ascii(b), F.lit(g))
+        return F.when((words >= min_words) & ~greets, b)
+
+    return with_value(bare, judged)
 
 
 def kept_sentences(text: Column, min_words: int = 5) -> Column:

@@ -103,7 +103,7 @@ _ENOUGH = "len(list_filter(regexp_split_to_array(s, '\\s+'), lambda x: x <> ''))
  SELECT doc_id, string_agg(CAST(len({sql_content("s")}) AS VARCHAR), ',' ORDER BY sent_idx) AS counts, CAST(sum(length(s)) AS BIGINT) AS n_chars FROM k GROUP BY doc_id""")
 def preprocessed_sentences(spark, d):
     """Rejected sentences keep their place."""
-    p = texts(spark, d).select("doc_id", X.preprocessed_list(X.sentences(F.col("text")), STOP_WORDS, LEMMAS).alias("p")).filter("p is not null")
+    p = texts(spark, d).filter("text is not null").select("doc_id", X.preprocessed_list(X.sentences(F.col("text")), STOP_WORDS, LEMMAS).alias("p"))
     n = F.aggregate("p", F.lit(0).cast("long"), lambda a, x: a + F.length(x["cleaned"]))
     return p.select("doc_id", F.array_join(F.transform("p", lambda x: x["count"].cast("string")), ",").alias("counts"), n.alias("n_chars"))
 
@@ -158,7 +158,7 @@ _TURNED = f"len(list_filter(range(1, len(w) + 1), lambda i: w[i] IN {sql_list(L.
 @register(f"""WITH {SQL_SENTENCES}, {_W} SELECT doc_id, string_agg(CASE WHEN len(w) > 1 THEN CAST({_n(L.POSITIVE)} - {_TURNED} AS VARCHAR) ELSE '' END, ',' ORDER BY sent_idx) AS positive, string_agg(CASE WHEN len(w) > 1 THEN CAST({_n(L.NEGATIVE)} + {_TURNED} AS VARCHAR) ELSE '' END, ',' ORDER BY sent_idx) AS negative FROM w GROUP BY doc_id""")
 def polarity_by_sentence(spark, d):
     """Counts of every sentence, as arrays of the document."""
-    s = texts(spark, d).select("doc_id", F.transform(F.transform(X.sentences(F.col("text")), X.tokens), lambda w: F.struct(L.polarity(w)["n_positive"].alias("p"), L.polarity(w)["n_negative"].alias("n"))).alias("s")).filter("s is not null")
+    s = texts(spark, d).filter("text is not null").select("doc_id", F.transform(F.transform(X.sentences(F.col("text")), X.tokens), lambda w: F.struct(L.polarity(w)["n_positive"].alias("p"), L.polarity(w)["n_negative"].alias("n"))).alias("s"))
     text = lambda k: F.array_join(F.transform("s", lambda x: F.coalesce(x[k].cast("string"), F.lit(""))), ",")
     return s.select("doc_id", text("p").alias("positive"), text("n").alias("negative"))
 
@@ -205,7 +205,7 @@ _TIME = [m for t, m, n in topics.DICTIONARY if t == "TIME" and not n and len(m.s
  string_agg({" || '/' || ".join(f"c{k}" for k in range(len(_TIME)))}, ',' ORDER BY sent_idx) AS stats_list, {" || ',' || ".join(f"'{m}=' || CAST(sum(c{k}) AS BIGINT)" for k, m in enumerate(sorted(_TIME)))} AS legacy_stats FROM c GROUP BY doc_id""")
 def topic_statistics_full(spark, d):
     """Lists beside the sentences, and the merged counts that keep zeros."""
-    s = topics.scanned(texts(spark, d)).filter("sents is not null")
+    s = topics.scanned(texts(spark, d).filter("text is not null"))
     maps = F.transform("terms", lambda t: topics.full_counts(t, _TIME))
     s = s.withColumn("maps", maps)
     listed = lambda a: F.array_join(F.transform(a, lambda x: x.cast("string")), ",")
