@@ -1,6 +1,6 @@
 """Uniform shuffle into shards of exact size by a communication matrix.
 
-Rows are dealt into blocks by a hash of their id. How many rows of each block go to each shard is drawn from the
+Rows are dealt into blocks by a hash of all their columns, so that rows of one id or without one are spread too. How many rows of each block go to each shard is drawn from the
 multivariate hypergeometric law that a uniform shuffle implies: a binary tree over the blocks halves the shards'
 sizes level by level, each split being exact hypergeometric draws (their probabilities are summed outwards from the
 mode). Rows are permuted within their block, the permuted run is cut by the drawn counts, and after the exchange
@@ -82,7 +82,7 @@ def shard_rows(df: DataFrame, shards: int, seed: int = 17, key: str = "doc_id")
     n = df.count()
     levels = max(0, (max(n, 1) // BLOCK_ROWS)).bit_length()
     ranges = max(1, -(-n // (shards * BLOCK_ROWS)))
-    block = F.shiftrightunsigned(F.xxhash64(F.lit(seed), F.col(key)), 64 - levels) if levels else F.lit(0).cast("long")
+    block = F.shiftrightunsigned(F.xxhash64(F.lit(seed), *[F.col(c) for c in df.columns]), 64 - levels) if levels else F.lit(0).cast("long")
     counts = df.groupBy(block.alias("block")).agg(F.count(F.lit(1)).alias("n"))
     matrix = communication_matrix(counts, shards, levels, seed + 1)
     # Cut points of the permuted block: a row of rank r goes to the first shard whose running count is over r.
