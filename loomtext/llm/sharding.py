@@ -1,9 +1,9 @@
 """Uniform shuffle into shards of exact size by a communication matrix.
 
-Rows are dealt into blocks by a hash of all their columns, so that rows of one id or without one are spread too. How many rows of each block go to each shard is drawn from the
-multivariate hypergeometric law that a uniform shuffle implies: a binary tree over the blocks halves the shards'
-sizes level by level, each split being exact hypergeometric draws (their probabilities are summed outwards from the
-mode). Rows are permuted within their block, the permuted run is cut by the drawn counts, and after the exchange
+Rows are dealt into blocks by a hash of all their columns, so that rows of one id or without one are spread too. How
+many rows of each block go to each shard is drawn from the multivariate hypergeometric law that a uniform shuffle
+implies: a binary tree over the blocks halves the shards' sizes level by level, each split being exact hypergeometric
+draws (their probabilities are summed outwards from the mode). Rows are permuted within their block, the permuted run is cut by the drawn counts, and after the exchange
 each shard is permuted again, in ranges of a random key whose counts give every range its first slot.
 
 Everything is SQL expressions; no task holds more than a block, a range or one node of the tree.
