@@ -47,7 +47,7 @@ def test_duplicates(spark):
 def test_text_rules(spark):
     r = one(
         spark, a=X.is_operator_turn(F.lit("operator, next question please")), b=X.is_operator_turn(F.lit("we grew a lot")), g=X.kept_sentence(F.lit("Good morning to you all and welcome")),
-        k=X.kept_sentence(F.lit("Thank you Bea we grew by a lot")), c=X.any_contains(F.lit("The CEO spoke"), X.CEO_TITLES), n=X.any_contains(F.lit(None).cast("string"), X.CEO_TITLES),
+        k=X.kept_sentence(F.lit("Thank you Bea we grew by a lot"), legacy=True), t=X.kept_sentence(F.lit("Thank you Bea we grew by a lot")), c=X.any_contains(F.lit("The CEO spoke"), X.CEO_TITLES), n=X.any_contains(F.lit(None).cast("string"), X.CEO_TITLES),
         d=X.dollar_count(F.lit("$5 and $ 6")), m=X.number_count(F.lit("$5.2 and 7")), q=X.no_questions(F.array(F.lit("a?"), F.lit("b.")), ints(1, 2))[1], f=X.ngrams(F.array(F.lit("a"), F.lit("b"), F.lit("c")), 2),
         x=X.expand_contractions(F.lit("don’t go"), {"don't": "do not"}), p=X.parse_list(F.lit("['a','b']")), bad=X.parse_list(F.lit("nonsense")), j=X.joined(F.array(F.lit(" "), F.lit(""))),
     )
@@ -141,3 +141,49 @@ def test_streams(spark, tmp_path):
         jobs.append_new(e, str(tmp_path / "out"), ["event_id"], str(tmp_path / f"state{_}")).awaitTermination()
     out = spark.read.parquet(str(tmp_path / "out"))
     assert out.count() == out.select("event_id").distinct().count() == spark.read.parquet("/root/testdata/sf0.001/events.parquet").count()
+
+
+def test_files_that_a_strict_reader_refuses(spark, tmp_path):
+    from loomtext.sources import io
+
+    (tmp_path / "counts.txt").write_text("Alpha 3\nbeta 4\n")
+    (tmp_path / "broken.txt").write_text("Alpha 3\nno count here\n")
+    rows = lambda name, **kw: sorted(tuple(r) for r in io.read_counts(spark, f"{tmp_path}/{name}", **kw).collect())
+    assert rows("counts.txt", strict=True) == rows("counts.txt") == [("alpha", 3), ("beta", 4)]
+    assert rows("broken.txt") == [("alpha", 3)]
+    with pytest.raises(Exception, match="malformed line"):
+        rows("broken.txt", strict=True)
+
+
+def test_a_bucketed_join_has_no_exchange(spark, tmp_path):
+    from loomtext.sources import io
+
+    for name in ("left_side", "right_side"):
+        io.write_bucketed(spark.range(100).withColumnRenamed("id", f"{name}_id"), name, 4, f"{name}_id", path=f"{tmp_path}/{name}")
+    j = spark.table("left_side").join(spark.table("right_side").hint("merge"), F.col("left_side_id") == F.col("right_side_id"))
+    assert j.count() == 100
+    assert "Exchange" not in j._jdf.queryExecution().sparkPlan().toString()
+    plan = j._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning" not in plan
+    for name in ("left_side", "right_side"):
+        spark.sql(f"drop table {name}")
+
+
+def test_merged_counts_of_nothing(spark):
+    from loomtext.functions import scores
+
+    none = F.array().cast("array<map<string,int>>")
+    maps = F.array(F.create_map(F.lit("a"), F.lit(0)), F.create_map(F.lit("a"), F.lit(0)))
+    r = spark.range(1).select(scores.merged_counts_with_zeros(none).alias("e"), scores.merged_counts_with_zeros(maps).alias("z"), scores.merged_counts(maps).alias("n")).first()
+    assert (r.e, r.z, r.n) == ({"ERROR": 1}, {"a": 0}, {"NO_MATCH": 1})
+
+
+def test_ranks_of_many_values_and_of_ties(spark):
+    from loomtext.operators import evaluate
+
+    values = [float(k % 7) for k in range(50)] + [100.0 + k for k in range(1000)]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    got = {r.v: r.r for r in evaluate.average_ranks(df, "v", "r").collect()}
+    ordered = sorted(values)
+    assert got == {v: (ordered.index(v) + 1 + len(ordered) - ordered[::-1].index(v)) / 2 for v in set(values)}
+    assert evaluate.average_ranks(df.limit(0), "v", "r").count() == 0
