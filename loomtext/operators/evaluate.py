@@ -30,8 +30,8 @@ def share_below(df: DataFrame, score: str, thresholds: list[float], *by: str) ->
     return df.select(*by, score, t).groupBy(*by, "threshold").agg(F.avg((F.col(score) < F.col("threshold")).cast("int")).alias("share"))
 
 
-#: Ranges that the distinct values of a ranked column are cut into.
-RANK_RANGES = 256
+#: Rows to a range of a ranked column, and most ranges it is cut into.
+RANGE_ROWS, RANK_RANGES = 2_000_000, 1024
 
 
 def average_ranks(df: DataFrame, value: str, name: str) -> DataFrame:
@@ -40,17 +40,19 @@ def average_ranks(df: DataFrame, value: str, name: str) -> DataFrame:
     Values are cut into ranges at approximate quantiles (a bounded list), so that no task orders more than a range; the
     ranges' own counts give each its first rank.
     """
-    at = [k / RANK_RANGES for k in range(1, RANK_RANGES)]
-    cuts = sorted(set(df.agg(F.percentile_approx(F.col(value).cast("double"), at, 10 * RANK_RANGES)).first()[0] or []))
-    counts = df.groupBy(value).agg(F.count(F.lit(1)).alias("_n"))
-    if cuts:
-        bits = len(cuts).bit_length()
-        padded = F.array(*[F.lit(float(c)) for c in cuts])
-        steps = F.array(*[F.lit(1 << b) for b in reversed(range(bits))])
-        below = F.aggregate(steps, F.lit(0), lambda a, p: F.when((a + p <= len(cuts)) & (F.get(padded, a + p - 1) < F.col(value)), a + p).otherwise(a))
-    else:
-        below = F.lit(0)
-    counts = counts.withColumn("_range", below)
+    parts, cuts = min(RANK_RANGES, -(-df.count() // RANGE_ROWS)), []
+    if parts > 1:
+        at = [k / parts for k in range(1, parts)]
+        cuts = sorted(set(df.agg(F.percentile_approx(F.col(value).cast("double"), at, 10 * RANK_RANGES)).first()[0] or []))
+
+    def below(lo: int, hi: int) -> Column:
+        """Number of cuts under the value, by halves: plain comparisons, which are compiled."""
+        if lo == hi:
+            return F.lit(lo)
+        mid = (lo + hi) // 2
+        return F.when(F.col(value) > cuts[mid], below(mid + 1, hi)).otherwise(below(lo, mid))
+
+    counts = df.groupBy(value).agg(F.count(F.lit(1)).alias("_n")).withColumn("_range", below(0, len(cuts)))
     # One row for each range, at most RANK_RANGES.
     first = counts.groupBy("_range").agg(F.sum("_n").alias("_all")).withColumn("_first", F.sum("_all").over(Window.orderBy("_range")) - F.col("_all")).drop("_all")
     before = F.sum("_n").over(Window.partitionBy("_range").orderBy(value)) - F.col("_n")

@@ -178,9 +178,10 @@ def test_merged_counts_of_nothing(spark):
     assert (r.e, r.z, r.n) == ({"ERROR": 1}, {"a": 0}, {"NO_MATCH": 1})
 
 
-def test_ranks_of_many_values_and_of_ties(spark):
+def test_ranks_of_many_values_and_of_ties(spark, monkeypatch):
     from loomtext.operators import evaluate
 
+    monkeypatch.setattr(evaluate, "RANGE_ROWS", 60)
     values = [float(k % 7) for k in range(50)] + [100.0 + k for k in range(1000)]
     df = spark.createDataFrame([(v,) for v in values], "v double")
     got = {r.v: r.r for r in evaluate.average_ranks(df, "v", "r").collect()}
