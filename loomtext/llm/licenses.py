@@ -8,8 +8,9 @@ in it; every posting names the position at which its template would start. All t
 phrases and enough of the template's words must be in their places. The best coverage counts, and it is that of all
 starts there are.
 
-Files without any substring that a key phrase needs cannot pass that verification and are only counted. The base
-phrases' places are found in the word array itself.
+Texts are split once: the shared folder keeps each file's count of words, its template words and, for those that pass
+the gate, all words. Files without any substring that a key phrase needs cannot pass verification and are only
+counted. The base phrases' places are found in the word array itself.
 
 Everything is DataFrame and SQL functions. Defined cases: a null text is empty; texts without words have n_words 0;
 no place gives null first_word and last_word, '' labels and score 0; repeated rows each get their own (equal) row.
@@ -66,7 +67,13 @@ def lower_ascii(text: Column) -> Column:
 
 
 def split_words(text: Column) -> Column:
-    return F.filter(F.split(text, NOT_WORD), lambda w: w != "")
+    return F.array_remove(F.split(text, NOT_WORD), "")
+
+
+def rows_of(spark, columns: list[str], rows: list[tuple]) -> DataFrame:
+    """A table of literals."""
+    structs = [F.struct(*[F.lit(v).alias(c) for c, v in zip(columns, r, strict=True)]) for r in rows]
+    return spark.range(1).select(F.inline(F.array(*structs)))
 
 
 def gate_pattern(templates: list[Template]) -> str:
@@ -75,12 +82,14 @@ def gate_pattern(templates: list[Template]) -> str:
     return "(?i)" + "|".join(sorted({re.escape(max(p.split(), key=len)) for p in phrases}))
 
 
-def word_idf(words: DataFrame, templates: list[Template], n: int) -> DataFrame:
-    """(word, idf) of the templates' vocabulary, from the distinct words (column ``words``) of all documents."""
-    vocabulary = sorted({w for t in templates for w in t.text.split()})
-    known = words.select(F.explode(F.array_intersect("words", F.array(*[F.lit(w) for w in vocabulary]))).alias("word"))
-    counts = known.groupBy("word").agg(F.count(F.lit(1)).alias("df"))
-    every = words.sparkSession.createDataFrame([(w,) for w in vocabulary], "word string")
+def vocabulary(templates: list[Template]) -> list[str]:
+    return sorted({w for t in templates for w in t.text.split()})
+
+
+def word_idf(known: DataFrame, templates: list[Template], n: int) -> DataFrame:
+    """(word, idf) of the templates' vocabulary, from those of its words (column ``known``) that each document holds."""
+    counts = known.select(F.explode("known").alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("df"))
+    every = rows_of(known.sparkSession, ["word"], [(w,) for w in vocabulary(templates)])
     return every.join(counts, "word", "left").select("word", F.log((n + 1.0) / (F.coalesce("df", F.lit(0)) + 1.0)).alias("idf"))
 
 
@@ -92,7 +101,7 @@ def least_in_place(t: Template) -> int:
 def template_index(idf: DataFrame, templates: list[Template]) -> DataFrame:
     """(word, postings): each template's rarest places, of which a start that passes has one in place at least."""
     rows = [(w, i, at, len(t.text.split()) - least_in_place(t) + 1) for i, t in enumerate(templates) for at, w in enumerate(t.text.split())]
-    places = idf.sparkSession.createDataFrame(rows, "word string, template int, at int, needed int").join(idf, "word")
+    places = rows_of(idf.sparkSession, ["word", "template", "at", "needed"], rows).join(idf, "word")
     by_rarity = Window.partitionBy("template").orderBy(F.col("idf").desc(), "at")
     rare = places.withColumn("rank", F.row_number().over(by_rarity)).filter("rank <= needed")
     return rare.groupBy("word").agg(F.collect_list(F.struct("template", "at")).alias("postings"))
@@ -171,18 +180,22 @@ def key_place(words: list[str], phrase: list[str]) -> int:
 def scan_licenses(df: DataFrame, templates: list[Template] = TEMPLATES, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(key, n_words, places, found): places of base phrases as (at, label), verified templates as (label, coverage)."""
     bare = F.coalesce(F.col(text), F.lit(""))
-    docs = df.select(F.col(key), bare.alias("body"))
-    lowered = docs.select(F.array_distinct(F.split(lower_ascii(F.col("body")), NOT_WORD)).alias("words"))
-    idf = materialize(word_idf(lowered, templates, df.count()), "license-idf")
-    gate = F.col("body").rlike(gate_pattern(templates))
+    docs = df.select(F.col(key), bare.alias("body")).withColumn("all_words", split_words(lower_ascii(F.col("body"))))
+    docs = docs.select(
+        key, F.xxhash64("body").alias("body_hash"), F.size("all_words").cast("long").alias("n_words"),
+        F.array_intersect("all_words", F.array(*[F.lit(w) for w in vocabulary(templates)])).alias("known"),
+        F.when(F.col("body").rlike(gate_pattern(templates)), F.col("all_words")).alias("words"),
+    )
+    # The one pass over the texts: counts and known words of all documents, all words of those that pass the gate.
+    docs = materialize(docs, "license-words")
+    idf = materialize(word_idf(docs, templates, docs.count()), "license-idf")
     places_type, found_type = "array<struct<at:bigint,label:string>>", "array<struct<label:string,coverage:double>>"
-    n_words = F.size(split_words(F.col("body"))).cast("long")
-    rest = docs.filter(~gate).select(key, n_words.alias("n_words"), F.array().cast(places_type).alias("places"), F.array().cast(found_type).alias("found"))
-    gated = docs.filter(gate).select(key, F.struct(key, F.xxhash64("body")).alias("doc_key"), split_words(lower_ascii(F.col("body"))).alias("words"))
+    rest = docs.filter("words is null").select(key, "n_words", F.array().cast(places_type).alias("places"), F.array().cast(found_type).alias("found"))
+    gated = docs.filter("words is not null").select(key, F.struct(key, "body_hash").alias("doc_key"), "n_words", "words")
     found = candidates(gated.dropDuplicates(["doc_key"]), idf, templates).withColumnRenamed("doc_key", "c_key")
-    same = (F.col("doc_key")[key].eqNullSafe(F.col("c_key")[key])) & (F.col("doc_key")["col2"] == F.col("c_key")["col2"])
+    same = (F.col("doc_key")[key].eqNullSafe(F.col("c_key")[key])) & (F.col("doc_key")["body_hash"] == F.col("c_key")["body_hash"])
     hits = gated.join(found, same, "left").select(
-        key, F.size("words").cast("long").alias("n_words"), base_places(F.col("words")).cast(places_type).alias("places"),
+        key, "n_words", base_places(F.col("words")).cast(places_type).alias("places"),
         verified(F.col("words"), F.coalesce("candidates", F.array().cast("array<struct<template:int,start:int>>")), templates).cast(found_type).alias("found"),
     )
     return rest.unionByName(hits)
