@@ -43,7 +43,7 @@ def words(text: Column) -> Column:
 def shingle_hashes(text: Column) -> Column:
     def of_words(w: Column) -> Column:
         many = let(F.transform(w, lambda x: F.xxhash64(x)), lambda h: F.transform(F.sequence(F.lit(0), F.size(h) - SHINGLE), lambda i: F.xxhash64(*[F.get(h, i + k) for k in range(SHINGLE)])))
-        return F.when(F.size(w) >= SHINGLE, many).otherwise(F.array(F.xxhash64(F.array_join(w, " "))))
+        return F.when(F.size(w) >= SHINGLE, many).when(w.isNotNull(), F.array(F.xxhash64(F.array_join(w, " "))))
 
     return let(words(text), of_words)
 
@@ -119,14 +119,13 @@ def with_next(df: DataFrame, key: str, carried: dict[str, Column]) -> DataFrame:
     rows = df.withColumn("order_range", order_range(F.col(key), cuts))
     tie = F.xxhash64(*[F.col(c) for c in df.columns])
     order = [F.col(key).asc_nulls_first(), tie, *[F.col(c) for c in df.columns if c != key]]
-    # At most MAX_CUTS + 1 ranges of one id each.
-    heads = F.broadcast(rows.groupBy(F.col("order_range").alias("head_range")).agg(F.min(ids).alias("head_id")))
+    # At most MAX_CUTS + 1 ranges: two numbers and an id for each, so one window over all of them is bounded.
+    heads = rows.groupBy(F.col("order_range").alias("head_range")).agg(F.min(ids).alias("head_id"))
+    before = F.coalesce(F.lag("head_range").over(Window.orderBy("head_range")), F.max("head_range").over(Window.partitionBy()))
+    heads = F.broadcast(heads.withColumn("before_range", before))
     first = rows.join(heads, (F.col("order_range") == F.col("head_range")) & (ids == F.col("head_id")))
     first = first.withColumn("head_rank", F.row_number().over(Window.partitionBy("order_range").orderBy(*order))).filter("head_rank = 1")
-    first = first.select("order_range", *[c.alias(f"first_{n}") for n, c in carried.items()])
-    by_range = Window.orderBy("order_range")
-    before = F.coalesce(F.lag("order_range").over(by_range), F.max("order_range").over(Window.partitionBy()))
-    first = first.withColumn("before_range", before).drop("order_range")
+    first = first.select("before_range", *[c.alias(f"first_{n}") for n, c in carried.items()])
     within = Window.partitionBy("order_range").orderBy(*order)
     rows = rows.withColumns(carried).withColumn("next_row", F.lead(F.struct(*carried)).over(within))
     rows = rows.join(first, F.col("order_range") == F.col("before_range"), "left")
