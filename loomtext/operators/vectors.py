@@ -72,10 +72,11 @@ def bigram_phrases(tokens: DataFrame, min_count: int, threshold: float) -> DataF
     return out.withColumn("score", (F.col("n") - min_count) * F.col("vocabulary") / (F.col("n_a") * F.col("n_b"))).filter(F.col("score") > threshold)
 
 
-def train_word2vec(docs: DataFrame, words: str, size: int = 300, window: int = 5, min_count: int = 10, epochs: int = 15, seed: int = 42):
+def train_word2vec(docs: DataFrame, words: str, size: int = 300, window: int = 5, min_count: int = 10, epochs: int = 15, seed: int = 42, partitions: int = 8):
+    """Word2Vec of arrays of words. The model holds the words that stand ``min_count`` times; partitions are averaged."""
     from pyspark.ml.feature import Word2Vec
 
-    return Word2Vec(vectorSize=size, windowSize=window, minCount=min_count, maxIter=epochs, seed=seed, inputCol=words, outputCol="vector").fit(docs)
+    return Word2Vec(vectorSize=size, windowSize=window, minCount=min_count, maxIter=epochs, seed=seed, numPartitions=partitions, inputCol=words, outputCol="vector").fit(docs)
 
 
 def embedded_phrases(phrases: DataFrame, table: DataFrame) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from functools import partial
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from ..functions import calls
@@ -253,6 +254,15 @@ def phrase_vectors(spark, d):
     return out.select("p_partkey", F.round(F.col("vector")[0], 9).alias("x"), F.round(F.col("vector")[1], 9).alias("y"))
 
 
+@register("""SELECT word, CAST(8 AS INTEGER) AS size, true AS finite FROM (SELECT unnest(string_split(lower(p_name), ' ')) AS word FROM part) GROUP BY word HAVING count(*) >= 10""")
+def word2vec_vocabulary(spark, d):
+    """Word vectors trained over all names; the twin tells the words that have one, and their size."""
+    names = table(spark, d, "part").select(F.split(F.lower("p_name"), " ").alias("words"))
+    v = vector_to_array(F.col("vector"))
+    vectors = V.train_word2vec(names, "words", size=8, min_count=10, epochs=1).getVectors()
+    return vectors.select("word", F.size(v).alias("size"), F.forall(v, lambda x: ~F.isnan(x) & (F.abs(x) < float("inf"))).alias("finite"))
+
+
 @register("""SELECT doc_id, CAST(length(text) AS DOUBLE) AS x, CAST(len(regexp_extract_all(text, '[aeiou]')) AS DOUBLE) AS y FROM documents""")
 def sentence_embeddings(spark, d):
     """An embedding model as a plug-in, loaded once in each worker."""

@@ -238,3 +238,10 @@ def parsed_time_columns(spark, d):
     e = table(spark, d, "events").select("event_id", F.date_format("ts", "dd/MM/yyyy HH.mm.ss").alias("at"), "event_type").withColumnRenamed("event_type", "other")
     out = R.parsed_times(e, {"at": "dd/MM/yyyy HH.mm.ss", "other": "yyyy"}, "_ts")
     return out.select("event_id", F.col("at_ts").cast("timestamp_ntz").alias("at_ts"), F.col("other_ts").cast("timestamp_ntz").alias("other_ts"))
+
+
+@register("SELECT CAST(n_nationkey AS BIGINT) AS n_nationkey, n_name, CAST(n_regionkey AS VARCHAR) AS n_regionkey, CAST(length(n_name) AS DOUBLE) AS size FROM nation")
+def pandas_to_table(spark, d):
+    """A small pandas frame by type keywords: a column's own, one of a part of its name, or its dtype's."""
+    rows = table(spark, d, "nation").select("n_nationkey", "n_name", F.col("n_regionkey").cast("string"), F.length("n_name").cast("double").alias("size"))
+    return io.pandas_to_spark(spark, rows.toPandas(), {"n_regionkey": "str", "key": "long"})
