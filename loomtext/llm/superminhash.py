@@ -32,6 +32,8 @@ PLACES = BANDS * ROWS
 SMALL_BUCKET = 16
 #: Members of a bucket in a block that is compared at once.
 BLOCK_MEMBERS = 512
+#: Pairs of one node that are confirmed beside one copy of its text; a node of more of them has more copies.
+DEAL_PAIRS = 1024
 CHUNK_ELEMENTS = 100_000
 KNOWN_WORDS = 150_000
 _MUL, _GOLD = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD1B54A32D192ED03)
@@ -140,14 +142,17 @@ def sketch(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
 
 
 def confirm(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
-    """Those of the pairs (a, b) whose full sets are alike; ``texts``: (node, body), one row for each node."""
+    """Those of the pairs (a, b) whose full sets are alike; ``texts``: (node, body), one row for each node.
+
+    The leader of a large bucket is ``a`` of many pairs: they are dealt out, so that no task has all of them.
+    """
 
     def run(batches):
         known = WordHashes()
         for batch in batches:
             for at in range(0, batch.num_rows, 128):
                 b = batch.slice(at, 128)
-                # The side that pairs share is sorted together, so its set is often the last one's.
+                # Pairs come in the order of ``a``, so its set is often the last one's.
                 keep, last, last_set = [], None, None
                 for i, (x, tx, ty) in enumerate(zip(b.column(0).to_pylist(), b.column(2).to_pylist(), b.column(3).to_pylist(), strict=True)):
                     if x != last or last_set is None:
@@ -158,9 +163,13 @@ def confirm(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
                         keep.append(i)
                 yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(keep, pa.int64())), b.column(1).take(pa.array(keep, pa.int64()))], ["a", "b"])
 
-    left = texts.select(F.col("node").alias("a"), F.col("body").alias("body_a"))
+    deals = F.ceil(F.count(F.lit(1)) / DEAL_PAIRS).cast("int")
+    often = pairs.groupBy("a").agg(deals.alias("deals")).filter("deals > 1")
+    times = F.coalesce("deals", F.lit(1))
+    dealt = pairs.join(often, "a", "left").select("a", "b", F.floor(uniform(5, F.col("b")) * times).cast("int").alias("deal"))
+    left = texts.withColumnRenamed("node", "a").join(often, "a", "left").select("a", F.col("body").alias("body_a"), F.explode(F.sequence(F.lit(0), times - 1)).alias("deal"))
     right = texts.select(F.col("node").alias("b"), F.col("body").alias("body_b"))
-    both = pairs.join(left, "a").join(right, "b").select("a", "b", "body_a", "body_b")
+    both = dealt.join(right, "b").join(left, ["a", "deal"]).select("a", "b", "body_a", "body_b")
     return both.mapInArrow(run, "a long, b long")
 
 

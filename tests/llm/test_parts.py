@@ -169,3 +169,24 @@ def test_any_cut_or_noise_is_decoded():
             cut[at] = rng.integers(0, 256)
         media.decode(bytes(cut))
     assert media.decode(b"")["rate"] is None and media.decode(m)["rate"] == media.RATE
+
+
+def test_pairs_of_one_leader_are_dealt_out(spark, monkeypatch):
+    """Links don't hang on how many pairs of a node are confirmed together; a node without a text has none."""
+    rng = random.Random(3)
+    base = [f"w{i}" for i in range(60)]
+    texts = {0: " ".join(base), 99: None}
+    for i in range(1, 30):
+        words = base[:]
+        for _ in range(i % 4):
+            words[rng.randrange(60)] = "x"
+        texts[i] = " ".join(words)
+    pairs = spark.createDataFrame([(0, i) for i in range(1, 30)] + [(1, 2), (4, 8), (0, 50)], "a long, b long")
+    bodies = spark.createDataFrame(list(texts.items()), "node long, body string")
+    sets = {i: set(superminhash.shingle_sets([t], superminhash.WordHashes())[0].tolist()) for i, t in texts.items()}
+    want = {(a, b) for a, b in [tuple(r) for r in pairs.collect()] if b in sets and 100 * len(sets[a] & sets[b]) >= 85 * len(sets[a] | sets[b])}
+    assert 3 < len(want) < 29
+    for most in (1, 4, 1000):
+        monkeypatch.setattr(superminhash, "DEAL_PAIRS", most)
+        got = [tuple(r) for r in superminhash.confirm(pairs, bodies, 85).collect()]
+        assert sorted(got) == sorted(want)
