@@ -16,6 +16,9 @@ QUERIES = {
     "op8_media": "media",
     "op7_licenses": "licenses",
     "op5_fingerprints": "fingerprints",
+    "op11_conversation_repair": "conversations",
+    "op12_toxicity": "toxicity",
+    "op13_filter_audit": "filteraudit",
 }
 
 
