@@ -87,4 +87,64 @@ FROM g
 """
 
 
-ORACLES: dict[str, str] = {"op6_prefix_free_parsing": REPEATS, "op7_licenses": _licenses(), "op9_superminhash": NEAR, "op10_mixing": MIX}
+
+#: Filter orders walked one by one; no polynomial.
+AUDIT = """
+WITH RECURSIVE w AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS words FROM documents),
+m AS (SELECT doc_id, part, [len(words) < 200, 100 * len(list_distinct(words)) < 50 * len(words), 100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 2 * length(text),
+  regexp_matches(text, '[#$%&*|]'), coalesce(doc_id > min(doc_id) OVER (PARTITION BY text), FALSE)] AS fails FROM w),
+l AS (SELECT doc_id, max(quality = 1) AS good, max(toxic = 1) AS toxic FROM labels GROUP BY doc_id),
+d AS (SELECT part, fails, len(list_filter(fails, lambda x: x)) AS n_fails, coalesce(good, FALSE) AS good, coalesce(toxic, FALSE) AS toxic, count(*) AS n
+  FROM m LEFT JOIN l USING (doc_id) GROUP BY ALL),
+orders(o) AS (SELECT '' UNION ALL SELECT o || f FROM orders, (VALUES ('A'), ('B'), ('C'), ('D'), ('E')) v(f) WHERE NOT contains(o, f)),
+steps AS (SELECT o, unnest(range(1, 6))::INT AS step FROM orders WHERE length(o) = 5),
+x AS (SELECT d.*, o, step, ascii(o[step]) - 64 AS filter, fails[ascii(o[step]) - 64] AS failing,
+  len(list_filter(range(1, step), lambda k: fails[ascii(o[k]) - 64])) > 0 AS gone FROM d, steps),
+r AS (SELECT part, o AS filter_order, step, filter, sum(CASE WHEN gone OR failing THEN 0 ELSE n END)::BIGINT AS kept, sum(CASE WHEN failing AND NOT gone THEN n ELSE 0 END)::BIGINT AS removed,
+  sum(CASE WHEN failing AND gone THEN n ELSE 0 END)::BIGINT AS redundant, sum(CASE WHEN failing AND n_fails = 1 THEN n ELSE 0 END)::BIGINT AS unique_fails,
+  sum(CASE WHEN failing AND NOT gone AND good THEN n ELSE 0 END)::BIGINT AS good_lost, sum(CASE WHEN failing AND NOT gone AND toxic THEN n ELSE 0 END)::BIGINT AS toxic_lost FROM x GROUP BY ALL)
+SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost, sum(removed) OVER (PARTITION BY part, filter)::BIGINT AS shapley FROM r
+"""
+
+
+def _edit(value: str, cost: str, letter: str) -> str:
+    return f"(printf('%09d', substr({value}, 1, 9)::BIGINT + {cost}) || substr({value}, 10) || {letter})"
+
+
+_READ = {r: _edit("{0}", f"late + CASE WHEN initial = '{r}' THEN 0 ELSE 3 END", f"CASE WHEN initial = '{r}' THEN 'K' ELSE 'R' END") for r in "ua"}
+_DROP = _edit("{0}", "4", "'D'")
+#: A path is its cost in nine digits and its audit, so that the least string is the best path; e, h, v, z: those that end with no role, s, u, a.
+REPAIR = f"""
+WITH RECURSIVE k AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+  list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '), ''), lambda c: ascii(c)::BIGINT)),
+    lambda c, b: list_reduce(list_prepend(xor(c, b), range(8)), lambda x, i: CASE WHEN x % 2 = 1 THEN xor(x // 2, 3988292384) ELSE x // 2 END)) AS crc FROM conversations),
+d AS (SELECT conv_id, turn, xor(crc, 4294967295) % 20 AS kind, role, text FROM k),
+c AS (SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role, CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+  unnest(CASE kind WHEN 0 THEN [] WHEN 3 THEN [1, 2] ELSE [1] END) AS copy FROM d),
+o AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(length(role) || ':' || role || text), copy) AS pos FROM c),
+f AS (SELECT *, substr(role, 1, 1) AS initial, CASE WHEN NOT regexp_matches(text, '[^\\x20\\x09-\\x0D]') THEN 'blank' WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY pos) > 1 THEN 'duplicate'
+  WHEN NOT regexp_matches(text, '[.!?][\\x20\\x09-\\x0D]*\\z') THEN 'truncated' ELSE '' END AS fault FROM o),
+g AS (SELECT conv_id, pos, initial, fault IN ('blank', 'duplicate') AS gone, CASE WHEN fault = 'truncated' THEN 3 ELSE 0 END AS late FROM f),
+p AS (SELECT DISTINCT conv_id, 0::BIGINT AS pos, '000000000' AS e, NULL::VARCHAR AS h, '000000003I' AS v, '000000006II' AS z FROM f
+  UNION ALL SELECT conv_id, pos, e, h, v, least(z, {_edit("v", "3", "'I'")}) FROM (
+    SELECT conv_id, pos, e, h, least(v, {_edit("least(e, h, z)", "3", "'I'")}) AS v, z FROM (
+      SELECT p.conv_id, g.pos, {_DROP.format("e")} AS e, least({_DROP.format("h")}, CASE WHEN NOT gone AND initial = 's' THEN {_edit("e", "late", "'K'")} END) AS h,
+        least({_DROP.format("v")}, CASE WHEN NOT gone THEN {_READ["u"].format("least(e, h, z)")} END) AS v,
+        least({_DROP.format("z")}, CASE WHEN NOT gone THEN {_READ["a"].format("v")} END) AS z
+      FROM p JOIN g ON g.conv_id IS NOT DISTINCT FROM p.conv_id AND g.pos = p.pos + 1))),
+b AS (SELECT conv_id, least(e, z) AS best FROM p QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY pos DESC) = 1),
+t AS (SELECT conv_id, substr(best, 1, 9)::BIGINT AS cost, substr(best, 10) AS audit FROM b),
+x AS (SELECT conv_id, audit, unnest(range(1, length(audit) + 1)) AS place FROM t),
+y AS (SELECT conv_id, place, audit[place] AS edit, sum(CASE WHEN audit[place] = 'I' THEN 0 ELSE 1 END) OVER (PARTITION BY conv_id ORDER BY place) AS pos FROM x),
+q AS (SELECT y.*, f.role, f.text, row_number() OVER (PARTITION BY y.conv_id ORDER BY place) AS n FROM y LEFT JOIN f ON f.conv_id IS NOT DISTINCT FROM y.conv_id AND f.pos = y.pos WHERE edit <> 'D'),
+s AS (SELECT *, max(CASE WHEN n = 1 AND edit = 'K' AND role[1] = 's' THEN 1 ELSE 0 END) OVER (PARTITION BY conv_id) AS led FROM q),
+r AS (SELECT conv_id, sha256(string_agg(CASE WHEN edit = 'K' THEN role WHEN (n - led) % 2 = 1 THEN 'user' ELSE 'assistant' END || ':' || CASE WHEN edit = 'I' THEN '' ELSE text END, chr(10) ORDER BY place)) AS repaired FROM s GROUP BY conv_id),
+n AS (SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0)::BIGINT AS gaps, count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+  count(*) FILTER (fault = 'truncated') AS truncated, count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal FROM (SELECT *, lag(initial) OVER (PARTITION BY conv_id ORDER BY pos) || initial AS pair FROM f) GROUP BY conv_id)
+SELECT i.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal,
+  coalesce(cost, 0) AS cost, coalesce(audit, '') AS audit, coalesce(repaired, sha256('')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) i LEFT JOIN n ON n.conv_id IS NOT DISTINCT FROM i.conv_id LEFT JOIN t ON t.conv_id IS NOT DISTINCT FROM i.conv_id LEFT JOIN r ON r.conv_id IS NOT DISTINCT FROM i.conv_id
+"""
+
+
+ORACLES: dict[str, str] = {"op6_prefix_free_parsing": REPEATS, "op7_licenses": _licenses(), "op9_superminhash": NEAR, "op10_mixing": MIX, "op11_conversation_repair": REPAIR, "op13_filter_audit": AUDIT}
