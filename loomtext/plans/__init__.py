@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from . import dictionary, entities, evaluation, rules, series, tables, textual, topical
+from . import dictionary, entities, evaluation, rules, series, streams, tables, textual, topical
 from .base import ORACLES, QUERIES
 
-__all__ = ["dictionary", "entities", "evaluation", "oracle_sql", "queries", "rules", "series", "tables", "textual", "topical"]
+__all__ = ["dictionary", "entities", "evaluation", "oracle_sql", "queries", "rules", "series", "streams", "tables", "textual", "topical"]
 
 
 def queries() -> dict:

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections import Counter
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,18 +16,118 @@ def stream_table(spark: SparkSession, folder: str, pattern: str, schema, files_p
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger).option("pathGlobFilter", pattern).parquet(folder)
 
 
+def watermarked(events: DataFrame, ts: str, lateness: str) -> DataFrame:
+    """``events`` with a watermark; a time without zone is taken to be in the session's zone, as watermarks need one."""
+    return events.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, lateness)
+
+
 def deduplicated(events: DataFrame, key: str, ts: str, lateness: str = "30 days") -> DataFrame:
     """Each key once within the allowed lateness."""
-    return events.withWatermark(ts, lateness).dropDuplicatesWithinWatermark([key])
+    return watermarked(events, ts, lateness).dropDuplicatesWithinWatermark([key])
 
 
 def windowed(events: DataFrame, ts: str, length: str, slide: str | None, *by: str, lateness: str = "30 days") -> DataFrame:
     w = F.window(ts, length, slide) if slide else F.window(ts, length)
-    return events.withWatermark(ts, lateness).groupBy(w, *by).agg(F.count(F.lit(1)).alias("n"), F.sum("value").alias("total"))
+    return watermarked(events, ts, lateness).groupBy(w, *by).agg(F.count(F.lit(1)).alias("n"), F.sum("value").alias("total"))
 
 
 def sessions(events: DataFrame, ts: str, gap: str, user: str, lateness: str = "30 days") -> DataFrame:
-    return events.withWatermark(ts, lateness).groupBy(F.session_window(ts, gap), user).agg(F.count(F.lit(1)).alias("n"))
+    return watermarked(events, ts, lateness).groupBy(F.session_window(ts, gap), user).agg(F.count(F.lit(1)).alias("n"))
+
+
+def appended(stream: DataFrame, path: str, checkpoint: str):
+    """Rows as the stream settles them, written once each."""
+    return stream.writeStream.format("parquet").option("checkpointLocation", checkpoint).outputMode("append").trigger(availableNow=True).start(path)
+
+
+def report(stream: DataFrame, path: str, checkpoint: str):
+    """The whole result after each batch, in a folder of its own; a batch that is run again replaces its own."""
+
+    def put(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path}/batch={number}")
+
+    return stream.writeStream.foreachBatch(put).option("checkpointLocation", checkpoint).outputMode("complete").trigger(availableNow=True).start()
+
+
+def last_report(spark: SparkSession, path: str) -> DataFrame:
+    all_of = spark.read.parquet(path)
+    newest = all_of.agg(F.max("batch").alias("newest"))
+    return all_of.join(F.broadcast(newest), F.col("batch") == F.col("newest"), "left_semi").drop("batch")  # one row
+
+
+def split_late(events: DataFrame, path: str, keys: list[str], ts: str, checkpoint: str, lateness: str = "30 days"):
+    """New keys in time go to ``path``/main, rows later than the batches before allow to ``path``/late.
+
+    Each batch's parts and its greatest time are folders of its number, so a batch that is run again replaces its own.
+    """
+
+    def put(batch: DataFrame, number: int) -> None:
+        spark = batch.sparkSession
+
+        def before(part: str, schema) -> DataFrame:
+            if not exists(spark, f"{path}/{part}"):
+                return spark.createDataFrame([], schema)
+            return spark.read.option("basePath", f"{path}/{part}").parquet(f"{path}/{part}").filter(F.col("batch") < number).drop("batch")
+
+        mark = before("marks", "mark timestamp_ntz").agg(F.max("mark").alias("mark"))
+        dated = batch.withColumn(ts, F.col(ts).cast("timestamp_ntz")).crossJoin(F.broadcast(mark))  # one row
+        late = F.coalesce(F.col(ts) < F.col("mark") - F.expr(f"interval {lateness}"), F.lit(False))
+        split = dated.withColumn("is_late", late).drop("mark")
+        timely = split.filter("not is_late").drop("is_late").dropDuplicates(keys)
+        new = delta(timely, before("main", timely.schema), {k: k for k in keys})
+        new.write.mode("overwrite").parquet(f"{path}/main/batch={number}")
+        split.filter("is_late").drop("is_late").write.mode("overwrite").parquet(f"{path}/late/batch={number}")
+        dated.agg(F.max(ts).alias("mark")).write.mode("overwrite").parquet(f"{path}/marks/batch={number}")
+
+    return events.writeStream.foreachBatch(put).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def _intervals(docs: list[tuple[int, int, int]], window_days: int) -> Iterator[tuple[int, int, int]]:
+    """(first day, day after the last, flag) of an entity's documents (day, version, flag): valid until the next day with one."""
+    latest = {day: flag for day, _, flag in sorted(docs)}
+    days = sorted(latest)
+    for day, following in zip(days, [*days[1:], None], strict=False):
+        end = day + window_days
+        yield day, end if following is None else min(end, following), latest[day]
+
+
+DAY_MS = 86_400_000
+
+
+def coverage_changes(docs: DataFrame, window_days: int, lateness: str = "30 days") -> DataFrame:
+    """(entity, change_day, companies, covered): what each arrival changes in the daily counts of rolling coverage.
+
+    ``docs`` is a stream of (entity, day, version, flag). An entity's state holds the documents that a row in time can
+    still touch: those since the watermark's day and the last before it. A row out of order changes what it has to and
+    takes back what no longer holds, so the sums of all changes up to a day are that day's counts. A timer drops the
+    state once its last document's window is over.
+    """
+
+    def run(key, frames, state):
+        if state.hasTimedOut:
+            state.remove()
+            return
+        old = list(zip(*state.get, strict=True)) if state.exists else []
+        new = old + [(int(d), int(v), int(f)) for frame in frames for d, v, f in zip(frame.number, frame.version, frame.flag, strict=True)]
+        companies, covered = Counter(), Counter()
+        for sign, some in ((-1, old), (1, new)):
+            for start, end, flag in _intervals(some, window_days):
+                for day, step in ((start, sign), (end, -sign)):
+                    companies[day] += step
+                    covered[day] += step * flag
+        mark = max(0, state.getCurrentWatermarkMs())
+        latest = sorted({d: (d, v, f) for d, v, f in sorted(new)}.values())
+        settled = [x for x in latest if x[0] < mark // DAY_MS]
+        kept = settled[-1:] + latest[len(settled) :]
+        state.update(tuple(list(x) for x in zip(*kept, strict=True)))
+        state.setTimeoutTimestamp(max((kept[-1][0] + window_days) * DAY_MS, mark + 1))
+        days = [d for d in sorted(companies) if companies[d] or covered[d]]
+        yield pd.DataFrame({"entity": [key[0]] * len(days), "number": days, "companies": [companies[d] for d in days], "covered": [covered[d] for d in days]})
+
+    rows = docs.withColumn("at", F.col("day").cast("timestamp")).withWatermark("at", lateness)
+    rows = rows.select("entity", "at", F.unix_date("day").alias("number"), "version", "flag")
+    changes = rows.groupBy("entity").applyInPandasWithState(run, "entity long, number int, companies long, covered long", "days array<int>, versions array<long>, flags array<int>", "append", "EventTimeTimeout")
+    return changes.select("entity", F.date_from_unix_date("number").alias("change_day"), "companies", "covered")
 
 
 def append_new(events: DataFrame, path: str, keys: list[str], checkpoint: str):
