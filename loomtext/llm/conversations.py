@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import lru_cache
 from itertools import groupby
 
 import pyarrow as pa
@@ -99,6 +100,16 @@ def parse(rows: list[tuple[str, bool, bool]], entry: str = "E") -> dict[str, Bes
     return ends
 
 
+@lru_cache(8192)
+def _short_parse(rows: tuple, entry: str) -> dict[str, Best]:
+    return parse(list(rows), entry)
+
+
+def parsed(rows: list, entry: str) -> dict[str, Best]:
+    """:func:`parse`; short blocks, most of which look alike, are parsed once a worker."""
+    return _short_parse(tuple(rows), entry) if len(rows) <= 64 else parse(rows, entry)
+
+
 BLOCK = pa.schema([
     ("conv_id", pa.int64()), ("block", pa.int64()), ("least_turn", pa.int64()), ("last_turn", pa.int64()), ("turns", pa.int64()), ("blank", pa.int64()),
     ("duplicate", pa.int64()), ("truncated", pa.int64()), ("illegal", pa.int64()), ("first_initial", pa.string()), ("last_initial", pa.string()),
@@ -146,7 +157,7 @@ def _block(conv_id, block, rows) -> dict:
             before = (turn, digest)
     parses = [
         {"entry": x, "exit": y, "cost": cost, "audit": audit}
-        for x in ("E" if block == 0 else "EHVZ") for y, (cost, audit) in parse(symbols, x).items()
+        for x in ("E" if block == 0 else "EHVZ") for y, (cost, audit) in parsed(symbols, x).items()
     ]
     return {
         "conv_id": conv_id, "block": block, "least_turn": known[0] if known else None, "last_turn": known[1] if known else None, "turns": turns, **n,
