@@ -69,6 +69,14 @@ def uniform(seed: int, *cols: Column) -> Column:
     return F.shiftrightunsigned(F.xxhash64(F.lit(seed), *cols), 11) / F.lit(float(1 << 53))
 
 
+def fresh_name(df: DataFrame, base: str) -> str:
+    """``base``, lengthened until ``df`` has no column of that name in any case."""
+    taken = {c.lower() for c in df.columns}
+    while base.lower() in taken:
+        base += "_"
+    return base
+
+
 def utf8_crc32(col: Column) -> Column:
     return F.crc32(F.encode(F.coalesce(col, F.lit("")), "UTF-8"))
 

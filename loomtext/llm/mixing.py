@@ -23,6 +23,8 @@ WORD = r"[^\x20\x09-\x0D]+"
 CELL_BITS = 14
 #: Sources up to which their plan is broadcast (some 100 bytes each); beyond, it is joined by shuffle.
 BROADCAST_SOURCES = 50_000
+#: Columns that :func:`mix` adds.
+MIX_COLUMNS = ("mix_source_size", "mix_target", "mix_whole", "mix_extra")
 
 
 def count_words(text: Column) -> Column:
@@ -80,19 +82,25 @@ def _cell(seed: int, key: str) -> Column:
 
 
 def mix(df: DataFrame, weights=(5.0, 2.0, 1.0), max_epochs: float = 3.0, budget: float = 1.0, seed: int = 17, key: str = "doc_id", source: str = "source", size: str = "size") -> DataFrame:
-    """``df`` with mix_source_size, mix_target, mix_whole (repetitions) and mix_extra (words of one more, 0 to size)."""
+    """``df`` with mix_source_size, mix_target, mix_whole (repetitions) and mix_extra (words of one more, 0 to size).
+
+    Columns of ``df`` that have these four names are replaced; all others are kept as they are.
+    """
     plan = materialize(plan_sources(df, weights, max_epochs, budget, seed, key, source, size), "mix-plan")
-    plan = plan.select(F.col("source").alias("mix_source"), F.col("source_size").alias("mix_source_size"), F.col("target").alias("mix_target"), F.col("whole").alias("mix_whole"), "edge_cell", "edge_rest")
+    plan = plan.select("target", "whole", "edge_cell", "edge_rest", F.col("source").alias("plan_source"), F.col("source_size").alias("plan_size"))
     if plan.count() <= BROADCAST_SOURCES:
         plan = F.broadcast(plan)
-    rows = df.withColumn("mix_cell", _cell(seed, key)).join(plan, F.col(source).eqNullSafe(F.col("mix_source")), "left")
+    # Rows are carried in one struct, so that no column of theirs meets a name used here.
+    columns = [c for c in df.columns if c.lower() not in MIX_COLUMNS]
     size_col = F.coalesce(F.col(size), F.lit(0)).cast("long")
-    inside = rows.filter(F.col("mix_cell") != F.col("edge_cell")).withColumn("mix_extra", F.when(F.col("mix_cell") < F.col("edge_cell"), size_col).otherwise(0))
-    order = Window.partitionBy("mix_source").orderBy(_seeded(seed, key), F.col(key), F.xxhash64(*[F.col(c) for c in df.columns]))
-    before = F.coalesce(F.sum(size_col).over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    edge = rows.filter(F.col("mix_cell") == F.col("edge_cell")).withColumn("mix_extra", F.greatest(F.lit(0), F.least(size_col, F.col("edge_rest") - before)))
+    rows = df.select(F.struct(*columns).alias("row"), F.col(source).alias("source"), F.col(key).alias("key"), size_col.alias("size"), _seeded(seed, key).alias("order"), _cell(seed, key).alias("cell"), F.xxhash64(*columns).alias("tie"))
+    rows = rows.join(plan, F.col("source").eqNullSafe(F.col("plan_source")), "left")
+    inside = rows.filter(F.col("cell") != F.col("edge_cell")).withColumn("extra", F.when(F.col("cell") < F.col("edge_cell"), F.col("size")).otherwise(0))
+    order = Window.partitionBy("source").orderBy("order", "key", "tie")
+    before = F.coalesce(F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    edge = rows.filter(F.col("cell") == F.col("edge_cell")).withColumn("extra", F.greatest(F.lit(0), F.least("size", F.col("edge_rest") - before)))
     out = inside.unionByName(edge)
-    return out.select(*df.columns, "mix_source_size", "mix_target", "mix_whole", F.col("mix_extra").cast("long").alias("mix_extra"))
+    return out.select("row.*", F.col("plan_size").alias("mix_source_size"), F.col("target").alias("mix_target"), F.col("whole").alias("mix_whole"), F.col("extra").cast("long").alias("mix_extra"))
 
 
 def repeated(mixed: DataFrame, text: str = "text", size: str = "size") -> DataFrame:

@@ -1,15 +1,16 @@
 """Uniform shuffle into shards of exact size by a communication matrix.
 
-Rows are dealt into blocks by a hash of all their columns, so that rows of one id or without one are spread too. How
-many rows of each block go to each shard is drawn from the multivariate hypergeometric law that a uniform shuffle
-implies: a binary tree over the blocks halves the shards' sizes level by level, each split being exact hypergeometric
-draws (their probabilities are summed outwards from the mode). Rows are permuted within their block, the permuted run is cut by the drawn counts, and after the exchange
-each shard is permuted again, in ranges of a random key whose counts give every range its first slot.
+Rows are written once with their input partition and their place in it; blocks are runs of places in a partition. How
+many rows of each block go to each shard is drawn from the multivariate hypergeometric law that a uniform shuffle implies:
+a binary tree over the blocks halves the shards' sizes level by level, each split being exact hypergeometric draws (their
+probabilities are summed outwards from the mode). Rows are permuted within their block by a random number of that place,
+the permuted run is cut by the drawn counts, and each shard is permuted again, in ranges of a random key whose counts give
+every range its first slot. All of this is done on places alone; texts cross the network once, when rows meet their slots.
 
 Everything is SQL expressions; no task holds more than a block, a range or one node of the tree.
 
-Defined cases: null texts and ids are rows like others; repeated rows are kept, each with its own slot (the order of
-ties is by a hash of all columns); an empty table gives an empty result; sizes differ by one at most (the first
+Defined cases: null texts and ids are rows like others; repeated rows are kept and shuffled each for itself, as what
+tells rows apart is their place; an empty table gives an empty result; sizes differ by one at most (the first
 ``n % shards`` shards are the larger ones).
 """
 
@@ -18,9 +19,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import documents, materialize, uniform, utf8_crc32
+from .common import documents, fresh_name, materialize, uniform, utf8_crc32
 
-#: Rows to a block and to a range of a shard, on average.
+#: Rows to a block (a power of two), and to a range of a shard on average.
 BLOCK_ROWS = 4096
 
 #: Value of a hypergeometric variable: of ``n`` drawn from ``pop``, of which ``good`` are marked, for a uniform ``u``.
@@ -77,33 +78,38 @@ def communication_matrix(blocks: DataFrame, shards: int, levels: int, seed: int)
     return nodes.select("block", "counts")
 
 
-def shard_rows(df: DataFrame, shards: int, seed: int = 17, key: str = "doc_id") -> DataFrame:
-    """``df`` with ``shard`` and ``slot`` (gapless from 0 in each shard): a uniform shuffle, sizes at most one apart."""
-    n = df.count()
-    levels = max(0, (max(n, 1) // BLOCK_ROWS)).bit_length()
+def shard_rows(df: DataFrame, shards: int, seed: int = 17) -> DataFrame:
+    """``df`` with ``shard`` and ``slot`` (gapless from 0 in each shard): a uniform shuffle, sizes at most one apart.
+
+    Columns of ``df`` that have these two names are replaced.
+    """
+    columns = [c for c in df.columns if c.lower() not in ("shard", "slot")]
+    row = fresh_name(df, "shard_row")
+    rows = materialize(df.select(*columns, F.monotonically_increasing_id().alias(row)), "shard-rows")
+    ids = rows.select(F.col(row).alias("row"), F.shiftright(row, 33).alias("part"), F.shiftright(F.col(row).bitwiseAND((1 << 33) - 1), BLOCK_ROWS.bit_length() - 1).alias("chunk"))
+    n, parts, chunks = ids.agg(F.count(F.lit(1)), F.max("part") + 1, F.max("chunk") + 1).first()
+    levels = ((parts or 1) * (chunks or 1) - 1).bit_length()
     ranges = max(1, -(-n // (shards * BLOCK_ROWS)))
-    block = F.shiftrightunsigned(F.xxhash64(F.lit(seed), *[F.col(c) for c in df.columns]), 64 - levels) if levels else F.lit(0).cast("long")
-    counts = df.groupBy(block.alias("block")).agg(F.count(F.lit(1)).alias("n"))
-    matrix = communication_matrix(counts, shards, levels, seed + 1)
+    ids = ids.select("row", (F.col("part") * (chunks or 1) + F.col("chunk")).alias("block"))
+    matrix = communication_matrix(ids.groupBy("block").agg(F.count(F.lit(1)).alias("n")), shards, levels, seed + 1)
     # Cut points of the permuted block: a row of rank r goes to the first shard whose running count is over r.
     cuts = F.expr("aggregate(counts, cast(array() as array<bigint>), (a, c) -> array_append(a, c + coalesce(try_element_at(a, -1), 0L)))")
-    matrix = materialize(matrix.select(F.col("block").alias("shard_block"), cuts.alias("shard_cuts")), "shard-matrix")
-    tie = F.xxhash64(*[F.col(c) for c in df.columns])
-    within = Window.partitionBy("shard_block").orderBy(uniform(seed + 2, F.col(key), tie), tie)
-    rows = df.withColumn("shard_block", block).withColumn("shard_rank", F.row_number().over(within) - 1)
-    rows = rows.join(matrix, "shard_block")
+    matrix = materialize(matrix.select("block", cuts.alias("cuts")), "shard-matrix")
+    within = Window.partitionBy("block").orderBy(uniform(seed + 2, F.col("row")), "row")
+    placed = ids.withColumn("rank", F.row_number().over(within) - 1).join(matrix, "block")
     bits = shards.bit_length()
     steps = F.expr("array(" + ",".join(str(1 << b) for b in reversed(range(bits))) + ")")
-    found = F.aggregate(steps, F.lit(0), lambda a, p: F.when((a + p <= shards) & (F.get(F.col("shard_cuts"), a + p - 1) <= F.col("shard_rank")), a + p).otherwise(a))
-    rows = rows.withColumn("shard", found).withColumn("shard_u", uniform(seed + 3, F.col(key), tie))
-    rows = rows.withColumn("shard_range", F.floor(F.col("shard_u") * ranges).cast("int"))
+    found = F.aggregate(steps, F.lit(0), lambda a, p: F.when((a + p <= shards) & (F.get(F.col("cuts"), a + p - 1) <= F.col("rank")), a + p).otherwise(a))
+    placed = placed.select("row", found.alias("shard"), uniform(seed + 3, F.col("row")).alias("u"))
+    placed = placed.withColumn("range", F.floor(F.col("u") * ranges).cast("int"))
     running = Window.partitionBy("r_shard").orderBy("r_range").rowsBetween(Window.unboundedPreceding, -1)
-    starts = rows.groupBy(F.col("shard").alias("r_shard"), F.col("shard_range").alias("r_range")).agg(F.count(F.lit(1)).alias("range_rows"))
+    starts = placed.groupBy(F.col("shard").alias("r_shard"), F.col("range").alias("r_range")).agg(F.count(F.lit(1)).alias("range_rows"))
     starts = starts.withColumn("range_start", F.coalesce(F.sum("range_rows").over(running), F.lit(0)))
-    again = Window.partitionBy("shard", "shard_range").orderBy("shard_u", tie)
-    rows = rows.withColumn("range_rank", F.row_number().over(again) - 1)
-    rows = rows.join(starts, (F.col("shard") == F.col("r_shard")) & (F.col("shard_range") == F.col("r_range")))
-    return rows.select(*df.columns, "shard", (F.col("range_start") + F.col("range_rank")).cast("long").alias("slot"))
+    again = Window.partitionBy("shard", "range").orderBy("u", "row")
+    placed = placed.withColumn("range_rank", F.row_number().over(again) - 1)
+    placed = placed.join(starts, (F.col("shard") == F.col("r_shard")) & (F.col("range") == F.col("r_range")))
+    placed = placed.select(F.col("row").alias(row), "shard", (F.col("range_start") + F.col("range_rank")).cast("long").alias("slot"))
+    return rows.join(placed, row).select(*columns, "shard", "slot")
 
 
 def op1_sharding(spark, sf_dir):
