@@ -12,21 +12,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomtext.llm.common import documents, materialize
+from loomtext.llm.common import documents, fresh_name, materialize
 from loomtext.llm.mixing import count_words, mix, repeated
 from loomtext.llm.packing import pack_documents
 from loomtext.llm.quality import THRESHOLD, score_documents, train
 from loomtext.llm.repeats import remove_repeats
 from loomtext.llm.superminhash import near_duplicates
 
-#: Names that the stages use beside those of the table.
-SIZE, SCORE, HASH = "mix_size", "quality_score_of_stage", "text_hash_of_stage"
-
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents of calibrated quality 0.7 or more."""
     model = train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return score_documents(docs, model, name=SCORE).filter(F.col(SCORE) >= THRESHOLD).select(*docs.columns)
+    score = fresh_name(docs, "quality_score")
+    return score_documents(docs, model, name=score).filter(F.col(score) >= THRESHOLD).select(*docs.columns)
 
 
 def near_duplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -34,8 +32,9 @@ def near_duplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     found = near_duplicates(docs, percent=80).filter("doc_id = component_id")
     # Texts of one id are told apart by their hash. Those without words are linked with nothing, so each is kept.
     alone = F.when(F.col("group").isNull(), F.col("text_hash"))
-    kept = found.groupBy("doc_id", "group", alone.alias("alone")).agg(F.min("text_hash").alias(HASH)).select("doc_id", HASH)
-    named = docs.withColumn(HASH, F.xxhash64("text")).join(kept, ["doc_id", HASH], "left_semi").dropDuplicates(["doc_id", HASH])
+    name = fresh_name(docs, "text_hash")
+    kept = found.groupBy("doc_id", "group", alone.alias("alone")).agg(F.min("text_hash").alias(name)).select("doc_id", name)
+    named = docs.withColumn(name, F.xxhash64("text")).join(kept, ["doc_id", name], "left_semi").dropDuplicates(["doc_id", name])
     return named.select(*docs.columns).unionByName(docs.filter("doc_id is null"))
 
 
@@ -47,7 +46,9 @@ def suffix_array(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document as often as its source's target asks for."""
-    out = repeated(mix(docs.withColumn(SIZE, count_words(F.col("text"))), size=SIZE), size=SIZE).select(*docs.columns)
+    rest = F.struct(*[c for c in docs.columns if c != "text"]).alias("rest")
+    out = repeated(mix(docs.select("doc_id", "source", "text", rest, count_words(F.col("text")).alias("size"))))
+    out = out.select(*[F.col(c) if c == "text" else F.col("rest")[c].alias(c) for c in docs.columns])
     return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else out
 
 
