@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import documents, materialize
+from .common import documents, fresh_name, materialize
 
 WINDOW, GRAM = 50, 24
 SPANS = "repeat_spans"
@@ -465,11 +465,12 @@ def without(raw: bytes, spans: list[tuple[int, int]]) -> bytes:
 
 
 def with_marks(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``df`` with a last column SPANS, null where nothing is repeated."""
+    """``df`` with a last column of spans (SPANS, or that lengthened where ``df`` has it), null where nothing is repeated."""
     doc, body = F.coalesce(F.col(key).cast("long"), F.lit(LOWEST)), F.coalesce(F.col(text), F.lit(""))
     marks = repeat_marks(df.select(doc.alias("doc"), F.xxhash64(body).alias("text_hash"), body.alias("text")))
-    marks = marks.withColumnsRenamed({"doc": "repeat_doc", "text_hash": "repeat_hash", "spans": SPANS}).hint("merge")
-    return df.join(marks, (doc == F.col("repeat_doc")) & (F.xxhash64(body) == F.col("repeat_hash")), "left").select(*[df[c] for c in df.columns], SPANS)
+    marked, hashed, spans = (fresh_name(df, c) for c in ("repeat_doc", "repeat_hash", SPANS))
+    marks = marks.withColumnsRenamed({"doc": marked, "text_hash": hashed, "spans": spans}).hint("merge")
+    return df.join(marks, (doc == F.col(marked)) & (F.xxhash64(body) == F.col(hashed)), "left").select(*[df[c] for c in df.columns], spans)
 
 
 def remove_repeats(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
