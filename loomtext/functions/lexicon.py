@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .text import ngrams, tokens
+
 #: Small word lists over the tokens of the synthetic corpus, in place of licensed lexicons.
 POSITIVE = ("the", "with", "for")
 NEGATIVE = ("was", "that", "by")
@@ -74,3 +76,23 @@ def fog(n_words: Column, n_sentences: Column, n_complex: Column) -> Column:
 def fog_of_average(words_a_sentence: Column, n_complex: Column, n_tokens: Column) -> Column:
     """A sentence's fog with its document's mean of words a sentence; null without tokens."""
     return F.when(n_tokens > 0, 0.4 * (words_a_sentence + 100 * (n_complex / n_tokens)))
+
+
+def fog_of_section(text: Column) -> dict[str, Column]:
+    """Fog of a text by its raw words: sentences end at a full stop and a space; null where a token or none is left."""
+    words, raw = tokens(text), F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+"))
+    each = F.transform(F.split(text, r"\. "), lambda s: F.regexp_count(s, F.lit(r"[^\x20\x09-\x0D]+")))
+    mean = F.aggregate(each, F.lit(0).cast("long"), lambda a, n: a + n) / F.size(each)
+    n_complex = F.size(F.filter(words, is_complex))
+    enough = F.size(words) > 1
+    return {k: F.when(enough, v) for k, v in {"fog": 0.4 * (mean + 100 * (n_complex / raw)), "n_complex": n_complex, "words_a_sentence": mean, "n_words": raw}.items()}
+
+
+def match_flag(low: Column, words: Column, ones, twos, phrases, suppress=()) -> Column:
+    """Whether one of the words, pairs (joined by a space) or phrases stands in a lower-case text, and no suppressing item does."""
+    found = F.arrays_overlap(words, word_set(ones)) | F.arrays_overlap(ngrams(words, 2), word_set(twos))
+    for p in phrases:
+        found = found | F.contains(low, F.lit(p))
+    for p in suppress:
+        found = found & ~F.contains(low, F.lit(p))
+    return found

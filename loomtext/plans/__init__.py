@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from . import dictionary, entities, evaluation, neighbours, rules, series, streams, tables, textual, topical
+from . import defined, dictionary, entities, evaluation, neighbours, rules, series, streams, tables, textual, topical
 from .base import ORACLES, QUERIES
 
-__all__ = ["dictionary", "entities", "evaluation", "neighbours", "oracle_sql", "queries", "rules", "series", "streams", "tables", "textual", "topical"]
+__all__ = ["defined", "dictionary", "entities", "evaluation", "neighbours", "oracle_sql", "queries", "rules", "series", "streams", "tables", "textual", "topical"]
 
 
 def queries() -> dict:
