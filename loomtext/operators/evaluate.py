@@ -34,16 +34,20 @@ def share_below(df: DataFrame, score: str, thresholds: list[float], *by: str) ->
 RANGE_ROWS, RANK_RANGES = 2_000_000, 1024
 
 
-def average_ranks(df: DataFrame, value: str, name: str) -> DataFrame:
-    """Ranks from 1, ties sharing their mean, by the running count of an aggregate of distinct values.
+#: Most distinct values whose ranks are broadcast: some 10 MB.
+BROADCAST_RANKS = 100_000
+
+
+def ranked(counts: DataFrame, value: str, n: str, name: str) -> DataFrame:
+    """``counts`` (a row for each distinct ``value``, standing ``n`` times) with its rank from 1, ties sharing their mean.
 
     Values are cut into ranges at approximate quantiles (a bounded list), so that no task orders more than a range; the
     ranges' own counts give each its first rank.
     """
-    parts, cuts = min(RANK_RANGES, -(-df.count() // RANGE_ROWS)), []
+    parts, cuts = min(RANK_RANGES, -(-counts.count() // RANGE_ROWS)), []
     if parts > 1:
         at = [k / parts for k in range(1, parts)]
-        cuts = sorted(set(df.agg(F.percentile_approx(F.col(value).cast("double"), at, 10 * RANK_RANGES)).first()[0] or []))
+        cuts = sorted(set(counts.agg(F.percentile_approx(F.col(value).cast("double"), at, 10 * RANK_RANGES)).first()[0] or []))
 
     def below(lo: int, hi: int) -> Column:
         """Number of cuts under the value, by halves: plain comparisons, which are compiled."""
@@ -52,25 +56,43 @@ def average_ranks(df: DataFrame, value: str, name: str) -> DataFrame:
         mid = (lo + hi) // 2
         return F.when(F.col(value) > cuts[mid], below(mid + 1, hi)).otherwise(below(lo, mid))
 
-    counts = df.groupBy(value).agg(F.count(F.lit(1)).alias("_n")).withColumn("_range", below(0, len(cuts)))
+    rows = counts.withColumn("_range", below(0, len(cuts)))
     # One row for each range, at most RANK_RANGES.
-    first = counts.groupBy("_range").agg(F.sum("_n").alias("_all")).withColumn("_first", F.sum("_all").over(Window.orderBy("_range")) - F.col("_all")).drop("_all")
-    before = F.sum("_n").over(Window.partitionBy("_range").orderBy(value)) - F.col("_n")
-    ranks = counts.withColumn("_before", before).join(F.broadcast(first), "_range")
-    return df.join(ranks.select(value, (F.col("_first") + F.col("_before") + (F.col("_n") + 1) / 2).alias(name)), value)
+    first = rows.groupBy("_range").agg(F.sum(n).alias("_all")).withColumn("_first", F.sum("_all").over(Window.orderBy("_range")) - F.col("_all")).drop("_all")
+    before = F.sum(n).over(Window.partitionBy("_range").orderBy(value)) - F.col(n)
+    ranks = rows.withColumn("_before", before).join(F.broadcast(first), "_range")
+    return ranks.select(*counts.columns, (F.col("_first") + F.col("_before") + (F.col(n) + 1) / 2).alias(name))
+
+
+def average_ranks(df: DataFrame, value: str, name: str) -> DataFrame:
+    """``df`` with each row's rank, where rows are asked for; measures are taken from :func:`ranked` counts instead."""
+    ranks = ranked(df.groupBy(value).agg(F.count(F.lit(1)).alias("_n")), value, "_n", name)
+    return df.join(ranks.select(value, name), value)
 
 
 def roc_auc(df: DataFrame, truth: str, score: str) -> DataFrame:
-    r = average_ranks(df.select(truth, score), score, "_rank")
-    pos, neg = F.count_if(F.col(truth) == 1), F.count_if(F.col(truth) == 0)
-    return r.agg(F.try_divide(F.sum(F.when(F.col(truth) == 1, F.col("_rank"))) - pos * (pos + 1) / 2, pos * neg).alias("auc"))
+    """Area under the curve, from counts by score alone; rows without a score don't count."""
+    counts = df.filter(F.col(score).isNotNull()).groupBy(F.col(score).alias("_score")).agg(F.count(F.lit(1)).alias("_n"), F.count_if(F.col(truth) == 1).alias("_pos"), F.count_if(F.col(truth) == 0).alias("_neg"))
+    pos, neg = F.sum("_pos"), F.sum("_neg")
+    return ranked(counts, "_score", "_n", "_rank").agg(F.try_divide(F.sum(F.when(F.col("_pos") > 0, F.col("_pos") * F.col("_rank"))) - pos * (pos + 1) / 2, pos * neg).alias("auc"))
 
 
 def spearman(df: DataFrame, a: str, b: str) -> DataFrame:
     """Rank correlation of the rows that have both; null for fewer than two."""
     both = df.select(F.col(a).alias("_a"), F.col(b).alias("_b")).filter("_a is not null and _b is not null and not isnan(double(_a)) and not isnan(double(_b))")
-    r = average_ranks(average_ranks(both, "_a", "_ra"), "_b", "_rb")
-    return r.agg(F.when(F.count(F.lit(1)) >= 2, F.corr("_ra", "_rb")).alias("rho"), F.count(F.lit(1)).alias("n"))
+    pairs = both.groupBy("_a", "_b").agg(F.count(F.lit(1)).alias("_n"))
+
+    def with_rank(rows: DataFrame, value: str, name: str) -> DataFrame:
+        ranks = ranked(pairs.groupBy(value).agg(F.sum("_n").alias("_m")), value, "_m", name).select(F.col(value).alias("_value"), name)
+        small = ranks.limit(BROADCAST_RANKS + 1).count() <= BROADCAST_RANKS
+        return rows.join(F.broadcast(ranks) if small else ranks, F.col(value) == F.col("_value")).drop("_value")
+
+    # Ranks have a known mean, so that the sums are of differences from it.
+    n = F.sum("_n")
+    r = with_rank(with_rank(pairs, "_a", "_ra"), "_b", "_rb").crossJoin(F.broadcast(pairs.agg(((n + 1) / 2).alias("_mean"))))
+    a, b = F.col("_ra") - F.col("_mean"), F.col("_rb") - F.col("_mean")
+    spread = F.sqrt(F.sum(F.col("_n") * a * a)) * F.sqrt(F.sum(F.col("_n") * b * b))
+    return r.agg(F.when(n >= 2, F.try_divide(F.sum(F.col("_n") * a * b), spread)).alias("rho"), F.coalesce(n, F.lit(0)).alias("n"))
 
 
 def hash_percent(*key: Column, seed: int = 42) -> Column:
