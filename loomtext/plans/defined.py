@@ -124,8 +124,8 @@ def scores_or_errors(spark, d):
 _NUMBERS = ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
 
 
-@register(" UNION ALL ".join(f"SELECT '{c}' AS name, count({c}) AS n, round(avg({c}), 6) AS mean, round(stddev_samp({c}), 6) AS std, CAST(min({c}) AS DOUBLE) AS lowest, quantile_cont(CAST({c} AS DOUBLE), 0.25) AS q25, quantile_cont(CAST({c} AS DOUBLE), 0.5) AS q50, quantile_cont(CAST({c} AS DOUBLE), 0.75) AS q75, CAST(max({c}) AS DOUBLE) AS highest FROM lineitem" for c in _NUMBERS))
+@register(" UNION ALL ".join(f"SELECT '{c}' AS name, count({c}) AS n, round(avg({c}), 6) AS mean, round(stddev_samp({c}), 6) AS std, CAST(min({c}) AS DOUBLE) AS lowest, round(quantile_cont(CAST({c} AS DOUBLE), 0.25), 6) AS q25, round(quantile_cont(CAST({c} AS DOUBLE), 0.5), 6) AS q50, round(quantile_cont(CAST({c} AS DOUBLE), 0.75), 6) AS q75, CAST(max({c}) AS DOUBLE) AS highest FROM lineitem" for c in _NUMBERS))
 def summary_of_numbers(spark, d):
     """Count, mean, deviation, extremes and quartiles of every number column."""
     s = R.summary(table(spark, d, "lineitem"), _NUMBERS)
-    return s.select("name", "n", F.round("mean", 6).alias("mean"), F.round("std", 6).alias("std"), "lowest", "q25", "q50", "q75", "highest")
+    return s.select("name", "n", F.round("mean", 6).alias("mean"), F.round("std", 6).alias("std"), "lowest", *[F.round(q, 6).alias(q) for q in ("q25", "q50", "q75")], "highest")
