@@ -1,10 +1,12 @@
 """Neighbours of topics, each given by several vectors, and an index of inverted lists for queries that grow.
 
-Topics: inputs are laid in blocks of bounded size, so that a topic may have any number of them. Each row of the corpus
-meets the blocks once; products of blocks are multiplied afterwards, and the best are kept by partition before they meet.
+Topics: inputs are laid in blocks of bounded size, so that a topic may have any number of them. Blocks and parts of the
+corpus meet in pairs, one a task, as matrices; products of blocks are multiplied afterwards, and with one block the best
+are kept by part before they meet.
 
 Index: a coarse quantiser (k-means of unit vectors, fitted on a bounded sample) puts every vector into a cell; a query
-looks into the cells whose centres are nearest. Large cells are split by a hash, and a query goes to every part.
+looks into the cells whose centres are nearest. The lists are cut by a hash into parts of bounded size, each with its share
+of every list, and blocks of queries meet the parts in pairs; within a pair a list is multiplied with those that look into it.
 
 Defined cases: zero and null vectors have no direction, and are neither inputs nor neighbours; a topic without positive
 inputs falls out; inputs are never their topic's neighbours; ties go by id; an empty corpus gives an empty result.
@@ -12,21 +14,20 @@ inputs falls out; inputs are never their topic's neighbours; ties go by id; an e
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .vectors import BLOCK_QUERIES, BROADCAST_BLOCKS, dot, unit
+from .vectors import BLOCK_QUERIES, PART_ROWS, directions, dot, first_of, in_pairs, matrix, top_pairs, unit
 
 #: Added to the product of the negative inputs.
 EPSILON = 0.000001
-#: Vectors that the quantiser is fitted on, and vectors to a part of a cell.
-SAMPLE, PART_ROWS = 50_000, 16_384
-
-
-def _directions(df: DataFrame) -> DataFrame:
-    return df.select("vec_id", unit(F.col("embedding")).alias("v")).filter("v is not null")
+#: Vectors that the quantiser is fitted on; means that are broadcast.
+SAMPLE, BROADCAST_MEANS = 50_000, 16_384
 
 
 def _best(scored: DataFrame, by: str, k: int) -> DataFrame:
@@ -34,17 +35,22 @@ def _best(scored: DataFrame, by: str, k: int) -> DataFrame:
     return scored.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
 
 
-def _meet(corpus: DataFrame, blocks: DataFrame, n: int) -> DataFrame:
-    return corpus.join(F.broadcast(blocks) if n <= BROADCAST_BLOCKS else blocks.hint("shuffle_replicate_nl"))
-
-
-def _product(inputs: Column, sign: int) -> Column:
-    of_sign = F.filter(inputs, lambda s: s["sign"] == sign)
-    return F.aggregate(of_sign, F.lit(1.0), lambda p, s: p * (dot(s["q"], F.col("v")) + 1) / 2)
+def _products(q: np.ndarray, v: np.ndarray) -> np.ndarray:
+    """For each row of ``v`` the product of its shifted cosines to the rows of ``q``, in their order, summed as ``dot`` does."""
+    out = np.ones(len(v))
+    for b in range(0, len(v), 2048):
+        some = np.ascontiguousarray(v[b : b + 2048].T)
+        for a in range(0, len(q), 32):
+            cosines, x = np.zeros((len(q[a : a + 32]), some.shape[1])), np.empty((len(q[a : a + 32]), some.shape[1]))
+            for one, other in zip(q[a : a + 32].T, some, strict=True):
+                cosines += np.multiply.outer(one, other, out=x)
+            for row in cosines:
+                out[b : b + 2048] = out[b : b + 2048] * (row + 1) / 2
+    return out
 
 
 def _inputs(inputs: DataFrame) -> DataFrame:
-    q = inputs.select("topic", "vec_id", "sign", unit(F.col("embedding")).alias("q")).filter("q is not null")
+    q = directions(inputs, "vec_id", "topic", "sign")
     return q.join(q.filter("sign > 0").select("topic").distinct(), "topic", "left_semi")
 
 
@@ -53,14 +59,30 @@ def nearest_by_product(inputs: DataFrame, corpus: DataFrame, k: int = 50) -> Dat
 
     ``inputs``: (topic, vec_id, embedding, sign), sign 1 or -1.
     """
-    q = _inputs(inputs)
-    sizes = q.groupBy("topic").agg(F.count(F.lit(1)).alias("size"))
-    part = F.pmod(F.xxhash64("vec_id"), F.ceil(F.col("size") / BLOCK_QUERIES))
-    blocks = q.join(sizes, "topic").groupBy("topic", part.alias("part")).agg(F.collect_list(F.struct("vec_id", "sign", "q")).alias("inputs"))
-    n, parts = blocks.agg(F.count(F.lit(1)), F.max("part") + 1).first()
-    met = _meet(_directions(corpus), blocks, n)
-    scored = met.select("topic", "vec_id", _product(F.col("inputs"), 1).alias("top"), _product(F.col("inputs"), -1).alias("bottom"), F.exists("inputs", lambda s: s["vec_id"] == F.col("vec_id")).alias("own"))
-    if parts and parts > 1:
+    q = _inputs(inputs).select("vec_id", "topic", "sign", "dims", "v")
+    pairs, blocks = in_pairs(q, directions(corpus), BLOCK_QUERIES, PART_ROWS)
+    kind = q.schema["topic"].dataType
+    schema = T.StructType([T.StructField("topic", kind), *T._parse_datatype_string("vec_id long, top double, bottom double, own boolean").fields])
+
+    def run(given, rows):
+        found, vec_ids = [], np.asarray(rows.column("vec_id"), np.int64)
+        topics = given.column("topic").combine_chunks()
+        u, v, ids, sign = matrix(given, "v") if len(given) else None, matrix(rows, "v") if len(rows) else None, np.asarray(given.column("vec_id"), np.int64), np.asarray(given.column("sign"))
+        codes = topics.dictionary_encode()
+        code = np.asarray(codes.indices)
+        for c in range(len(codes.dictionary)) if len(rows) else ():
+            of = np.flatnonzero(code == c)
+            of = of[np.argsort(ids[of], kind="stable")]
+            top, bottom, own = _products(u[of[sign[of] > 0]], v), _products(u[of[sign[of] < 0]], v), np.isin(vec_ids, ids[of])
+            kept = np.arange(len(v))
+            if blocks == 1:
+                kept = np.flatnonzero(~own)
+                kept = kept[first_of(np.zeros(len(kept), int), top[kept] / (bottom[kept] + EPSILON), vec_ids[kept], k)]
+            found.append(pa.table({"topic": codes.dictionary.take(pa.array(np.full(len(kept), c))), "vec_id": vec_ids[kept], "top": top[kept], "bottom": bottom[kept], "own": own[kept]}))
+        return pa.concat_tables(found) if found else pa.table({"topic": topics.slice(0, 0), "vec_id": pa.array([], "int64"), "top": pa.array([], "float64"), "bottom": pa.array([], "float64"), "own": pa.array([], "bool")})
+
+    scored = pairs.applyInArrow(run, schema)
+    if blocks > 1:
         scored = scored.groupBy("topic", "vec_id").agg(F.product("top").alias("top"), F.product("bottom").alias("bottom"), F.bool_or("own").alias("own"))
     return _best(scored.filter("not own").select("topic", "vec_id", (F.col("top") / (F.col("bottom") + EPSILON)).alias("score")), "topic", k)
 
@@ -68,10 +90,11 @@ def nearest_by_product(inputs: DataFrame, corpus: DataFrame, k: int = 50) -> Dat
 def nearest_by_mean(inputs: DataFrame, corpus: DataFrame, k: int = 50) -> DataFrame:
     """(topic, vec_id, score, rank): cosine to the mean of the inputs' directions, negative ones turned round."""
     q = _inputs(inputs)
-    dims = q.select("topic", "sign", F.posexplode("q").alias("dim", "x")).groupBy("topic", "dim").agg(F.avg(F.col("sign") * F.col("x")).alias("m"))
+    dims = q.select("topic", "sign", F.posexplode("v").alias("dim", "x")).groupBy("topic", "dim").agg(F.avg(F.col("sign") * F.col("x")).alias("m"))
     means = dims.groupBy("topic").agg(unit(F.transform(F.array_sort(F.collect_list(F.struct("dim", "m"))), lambda s: s["m"])).alias("q")).filter("q is not null")
     n = means.count()
-    scored = _meet(_directions(corpus), means, -(-n // BLOCK_QUERIES)).select("topic", "vec_id", dot(F.col("q"), F.col("v")).alias("score"))
+    met = directions(corpus).join(F.broadcast(means) if n <= BROADCAST_MEANS else means.hint("shuffle_replicate_nl"))
+    scored = met.select("topic", "vec_id", dot(F.col("q"), F.col("v")).alias("score"))
     return _best(scored.join(q.select("topic", "vec_id").hint("merge"), ["topic", "vec_id"], "left_anti"), "topic", k)
 
 
@@ -79,7 +102,7 @@ class InvertedLists:
     """An index of ``corpus`` (vec_id, embedding): every vector in the list of its cell."""
 
     def __init__(self, corpus: DataFrame, cells: int = 64, seed: int = 17):
-        rows = _directions(corpus)
+        rows = directions(corpus)
         n = max(rows.count(), 1)
         share = F.pmod(F.xxhash64(F.lit(seed), "vec_id"), F.lit(1 << 20)) < F.lit(int((1 << 20) * min(1.0, SAMPLE / n)))
         vectors = rows.withColumn("features", array_to_vector("v"))
@@ -89,21 +112,32 @@ class InvertedLists:
             return
         model = KMeans(k=cells, seed=seed, maxIter=10, predictionCol="cell").fit(sample)
         centres = [(i, c.tolist()) for i, c in enumerate(model.clusterCenters())]
-        spark = corpus.sparkSession
+        spark, self.cells = corpus.sparkSession, len(centres)
         self.centres = spark.createDataFrame(centres, "cell int, centre array<double>")
-        placed = model.transform(vectors).select("cell", "vec_id", "v")
-        # One row a cell: at most ``cells`` of them.
-        self.parts = F.broadcast(placed.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / PART_ROWS).alias("parts")))
-        self.lists = placed.join(self.parts, "cell").withColumn("part", F.pmod(F.xxhash64("vec_id"), F.col("parts"))).drop("parts")
+        self.lists = model.transform(vectors).select("vec_id", "dims", "v", "cell")
 
     def nearest(self, queries: DataFrame, k: int, probes: int = 16) -> DataFrame:
-        """(query_id, vec_id, score, rank) from the ``probes`` nearest cells of each query; queries are shuffled, not broadcast."""
+        """(query_id, vec_id, score, rank) from the ``probes`` nearest cells of each query; queries are shuffled, not broadcast.
+
+        A list or a query of another length than the centres' has no cosine to them, and no neighbours.
+        """
         if self.empty:
             return queries.sparkSession.createDataFrame([], "query_id long, vec_id long, score double, rank int")
-        q = queries.select(F.col("vec_id").alias("query_id"), unit(F.col("embedding")).alias("q")).filter("q is not null")
+        q = directions(queries, "query_id")
         centres = self.centres.agg(F.collect_list(F.struct("cell", "centre")).alias("centres"))
-        near = F.transform("centres", lambda c: F.struct((-dot(F.col("q"), c["centre"])).alias("far"), c["cell"].alias("cell")))
-        cells = q.join(F.broadcast(centres)).select("query_id", "q", F.explode(F.slice(F.array_sort(near), 1, probes)["cell"]).alias("cell"))
-        cells = cells.join(self.parts, "cell").select("query_id", "q", "cell", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"))
-        found = cells.join(self.lists, ["cell", "part"]).filter("query_id <> vec_id").select("query_id", "vec_id", dot(F.col("q"), F.col("v")).alias("score"))
-        return _best(found, "query_id", k)
+        near = F.transform("centres", lambda c: F.struct((-dot(F.col("v"), c["centre"])).alias("far"), c["cell"].alias("cell")))
+        asked = q.join(F.broadcast(centres)).select("query_id", "dims", "v", F.slice(F.array_sort(near), 1, probes)["cell"].alias("cells"))  # one row
+        pairs, _ = in_pairs(asked, self.lists, BLOCK_QUERIES, PART_ROWS)
+        n = self.cells
+
+        def run(some, rows):
+            if not len(some) or not len(rows):
+                return pa.table({"query_id": pa.array([], "int64"), "vec_id": pa.array([], "int64"), "score": pa.array([], "float64")})
+            rows = rows.sort_by("cell")
+            ids, vec_ids, lists = np.asarray(some.column("query_id")), np.asarray(rows.column("vec_id")), some.column("cells").combine_chunks()
+            looks = np.zeros((len(ids), n), bool)
+            looks[np.asarray(lists.value_parent_indices()), np.asarray(lists.flatten())] = True
+            i, j, cosine = top_pairs(ids, matrix(some, "v"), vec_ids, matrix(rows, "v"), k, np.asarray(rows.column("cell")), looks)
+            return pa.table({"query_id": ids[i], "vec_id": vec_ids[j], "score": cosine})
+
+        return _best(pairs.applyInArrow(run, "query_id long, vec_id long, score double"), "query_id", k)

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.text import with_value
+
 
 def dot(a: Column, b: Column) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda x, y: x.cast("double") * y.cast("double")), F.lit(0.0), lambda s, x: s + x)
@@ -12,8 +16,13 @@ def dot(a: Column, b: Column) -> Column:
 
 def unit(v: Column) -> Column:
     """The vector at length 1; null for a zero vector."""
-    norm = F.sqrt(dot(v, v))
-    return F.when(norm > 0, F.transform(v, lambda x: x.cast("double") / norm))
+    return with_value(F.sqrt(dot(v, v)), lambda norm: F.when(norm > 0, F.transform(v, lambda x: x.cast("double") / norm)))
+
+
+def directions(df: DataFrame, name: str = "vec_id", *others: str) -> DataFrame:
+    """(name, others, dims, v) of the rows whose ``embedding`` has a direction."""
+    e = F.col("embedding")
+    return df.filter(dot(e, e) > 0).select(F.col("vec_id").cast("long").alias(name), *others, F.size(e).alias("dims"), unit(e).alias("v"))
 
 
 def mean_vector(df: DataFrame, vector: str, *by: str) -> DataFrame:
@@ -28,22 +37,101 @@ def mean_of_words(docs: DataFrame, words: str, table: DataFrame, key: str) -> Da
     return means.groupBy(key).agg(F.transform(F.array_sort(F.collect_list(F.struct("dim", "m"))), lambda s: s["m"]).alias("vector"))
 
 
-#: Queries to a block, and blocks (each a row of some 0.5 MB at 128 dimensions) up to which they are broadcast.
-BLOCK_QUERIES, BROADCAST_BLOCKS = 256, 64
+#: Queries to a block and rows to a part of the corpus, at most; numbers to either (32 MB), which bounds them for long vectors.
+BLOCK_QUERIES, PART_ROWS, SIDE_NUMBERS = 65_536, 65_536, 1 << 22
+#: Pairs of a block and a part that are asked for where there are rows enough for them.
+LEAST_GROUPS = 32
+
+
+def in_pairs(left: DataFrame, right: DataFrame, left_rows: int, right_rows: int):
+    """Both frames of :func:`directions`, each row in its block of ``left`` or part of ``right`` and there once for every one of the other side,
+    grouped by both and by the vectors' length; and the number of blocks.
+
+    A group is bounded by ``left_rows``, ``right_rows`` and SIDE_NUMBERS, so a task's memory doesn't grow with the tables.
+    """
+    (n, dims), (m, width) = (df.agg(F.count(F.lit(1)), F.max("dims")).first() for df in (left, right))
+    most = max(1, SIDE_NUMBERS // max(dims or 1, width or 1))
+    blocks, parts = max(1, -(-n // min(left_rows, most))), max(1, -(-m // min(right_rows, most)))
+    while blocks * parts < LEAST_GROUPS and m / parts > 1024:
+        parts *= 2
+
+    def dealt(df: DataFrame, key: str, name: str, k: int, other: str, j: int) -> DataFrame:
+        own = F.pmod(F.xxhash64(key), F.lit(k)).cast("int").alias(name)
+        rows = df.select("*", own, F.explode(F.sequence(F.lit(0), F.lit(j - 1))).alias(other))
+        keys = ("dims", "block", "part")
+        return rows.repartition(min(blocks * parts, 2048), *keys).groupBy(*keys)
+
+    return dealt(left, left.columns[0], "block", blocks, "part", parts).cogroup(dealt(right, right.columns[0], "part", parts, "block", blocks)), blocks
+
+
+def matrix(rows, name: str) -> np.ndarray:
+    """A list column of an Arrow table, its lists of one length, as rows of a matrix."""
+    column = rows.column(name).combine_chunks()
+    return np.asarray(column.flatten(), float).reshape(len(column), -1)
+
+
+def first_of(group: np.ndarray, score: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
+    """Places of each group's k rows of highest score, ties by id; NaN is above all numbers, as in Spark."""
+    order = np.lexsort((ids, -np.nan_to_num(score, nan=np.inf, posinf=np.inf, neginf=-np.inf), ~np.isnan(score), group))
+    sorted_group = group[order]
+    start = np.searchsorted(sorted_group, sorted_group)
+    return order[np.arange(len(order)) - start < k]
+
+
+def top_pairs(ids: np.ndarray, q: np.ndarray, vec_ids: np.ndarray, v: np.ndarray, k: int, cells: np.ndarray | None = None, probes: np.ndarray | None = None, rows: int = 64):
+    """(places in ids, places in vec_ids, cosine) of each query's k best rows of ``v`` but itself.
+
+    Products in single precision tell what may be among the best, with their error allowed for; the cosines of those are
+    then summed in double precision in the order of :func:`dot`. ``cells`` (ascending) and ``probes`` (a row of flags by
+    cell for each query): only rows of a query's own cells count.
+    """
+    slack = np.float32(1e-6 * max(q.shape[1], 8))
+    q32, v32 = q.astype(np.float32), v.astype(np.float32)
+    finite = np.isfinite(q32).all() and np.isfinite(v32).all()
+    bounds = None if cells is None else np.searchsorted(cells, np.arange(probes.shape[1] + 1))
+    out = []
+    for a in range(0, len(q), rows):
+        mine = ids[a : a + rows]
+        if bounds is None:
+            s = q32[a : a + rows] @ v32.T
+        else:
+            s = np.full((len(mine), len(v)), -np.inf, np.float32)
+            for c in range(probes.shape[1]):
+                at = np.flatnonzero(probes[a : a + rows, c])
+                if len(at) and bounds[c] < bounds[c + 1]:
+                    s[at, bounds[c] : bounds[c + 1]] = q32[a + at] @ v32[bounds[c] : bounds[c + 1]].T
+        if not finite:
+            s[np.isnan(s)] = np.inf
+        same = np.flatnonzero(np.isin(vec_ids, mine))
+        s[:, same] = np.where(mine[:, None] == vec_ids[same], -np.inf, s[:, same])
+        # The k-th of the greatest of many strips is never above the k-th of all.
+        strips, deep = max(256, 8 * k), len(v) // max(256, 8 * k)
+        some = s[:, : strips * deep].reshape(len(mine), deep, strips).max(axis=1) if deep > 1 else s
+        least = np.partition(some, some.shape[1] - k, axis=1)[:, some.shape[1] - k] if some.shape[1] > k else np.full(len(mine), -np.inf, np.float32)
+        i, j = np.nonzero((s >= (least - slack)[:, None]) & (s > -np.inf))
+        if len(i):
+            exact = np.concatenate([np.add.accumulate(q[a + i[b : b + 65_536]] * v[j[b : b + 65_536]], axis=1)[:, -1] for b in range(0, len(i), 65_536)])
+            best = first_of(i, exact, vec_ids[j], k)
+            out.append((a + i[best], j[best], exact[best]))
+    return tuple(np.concatenate(x) for x in zip(*out, strict=True)) if out else (np.zeros(0, int), np.zeros(0, int), np.zeros(0))
 
 
 def nearest(queries: DataFrame, corpus: DataFrame, k: int) -> DataFrame:
     """The k rows of ``corpus`` (vec_id, embedding) of highest cosine for each of a stated set of queries.
 
-    Queries meet the corpus in blocks of bounded size, one row each. Few blocks are broadcast, so that the corpus is not
-    shuffled; beyond that, blocks and partitions of the corpus are paired off by Spark. Each partition keeps its best k
-    of every query before they meet.
+    Blocks of queries and parts of the corpus meet in pairs, each multiplied as matrices within a task, which keeps each
+    query's best k of the part before the parts meet. Vectors of other lengths are no neighbours.
     """
-    q = queries.select(F.col("vec_id").alias("query_id"), unit(F.col("embedding")).alias("q")).filter("q is not null")
-    n = -(-q.count() // BLOCK_QUERIES)
-    blocks = q.groupBy(F.pmod(F.xxhash64("query_id"), F.lit(max(n, 1))).alias("block")).agg(F.collect_list(F.struct("query_id", "q")).alias("qs")).select("qs")
-    c = corpus.select("vec_id", unit(F.col("embedding")).alias("v")).filter("v is not null").join(F.broadcast(blocks) if n <= BROADCAST_BLOCKS else blocks.hint("shuffle_replicate_nl"))
-    scored = c.select("vec_id", F.explode(F.transform("qs", lambda s: F.struct(s["query_id"].alias("query_id"), dot(s["q"], F.col("v")).alias("cosine")))).alias("s")).select("s.query_id", "vec_id", "s.cosine").filter("query_id <> vec_id")
+    pairs, _ = in_pairs(directions(queries, "query_id"), directions(corpus), BLOCK_QUERIES, PART_ROWS)
+
+    def run(asked, rows):
+        ids, vec_ids = (np.asarray(t.column(n)) for t, n in ((asked, "query_id"), (rows, "vec_id")))
+        if not len(ids) or not len(vec_ids):
+            return pa.table({"query_id": pa.array([], "int64"), "vec_id": pa.array([], "int64"), "cosine": pa.array([], "float64")})
+        i, j, cosine = top_pairs(ids, matrix(asked, "v"), vec_ids, matrix(rows, "v"), k)
+        return pa.table({"query_id": ids[i], "vec_id": vec_ids[j], "cosine": cosine})
+
+    scored = pairs.applyInArrow(run, "query_id long, vec_id long, cosine double")
     best = Window.partitionBy("query_id").orderBy(F.col("cosine").desc(), "vec_id")
     return scored.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
 

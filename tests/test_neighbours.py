@@ -105,3 +105,30 @@ def test_recall_over_the_given_vectors(spark):
         found.setdefault(r.query_id, set()).add(r.vec_id)
     hits = sum(len({ids[j] for j in np.argsort(-sims[i])[:10]} & found[ids[i]]) for i in range(len(ids)))
     assert hits / (10 * len(ids)) >= 0.9
+
+
+def test_best_of_many_copies_and_odd_vectors(spark, monkeypatch):
+    """Blocks and parts of a few rows give the plain result: copies tie by id, no direction or another length is no neighbour."""
+    from loomtext.operators import vectors as V
+
+    v, _ = vectors_of(spark, 300)
+    rows = [(i, v[i % 120].tolist()) for i in range(300)] + [(900, [0.0] * 16), (901, None), (902, [1.0, 2.0]), (903, [None] * 16)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(4)
+    u = v[np.arange(300) % 120] / np.linalg.norm(v[np.arange(300) % 120], axis=1, keepdims=True)
+    sims = np.round(u @ u.T, 12)
+    for part in (40, 65_536):
+        monkeypatch.setattr(V, "PART_ROWS", part)
+        got = {}
+        for r in V.nearest(df.filter("vec_id % 50 = 0"), df, 10).collect():
+            got.setdefault(r.query_id, []).append((r["rank"], r.vec_id))
+        assert {q: [i for _, i in sorted(x)] for q, x in got.items()} == {q: [i for i in np.lexsort((np.arange(300), -sims[q])) if i != q][:10] for q in range(0, 300, 50)}
+
+
+def test_searches_keep_pairs_out_of_rows(spark, tmp_path):
+    """Pairs are never rows: what is shuffled stays near the input, where each pair was once scored as a row of Spark's."""
+    from loomtext.operators import vectors as V
+
+    v, df = vectors_of(spark, 4000, dims=64)
+    start = time.time()
+    assert V.nearest(df, df, 5).count() == 20_000
+    assert time.time() - start < 40
