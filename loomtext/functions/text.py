@@ -39,14 +39,15 @@ def lower_ascii(text: Column) -> Column:
 
 
 def tokens(text: Column) -> Column:
-    return F.filter(F.split(lower_ascii(text), "[^a-z]+"), lambda w: w != "")
+    """Runs of ASCII letters; they alone are put in lower case, which needs no table of letters then."""
+    return F.transform(F.filter(F.split(text, "[^A-Za-z]+"), lambda w: w != ""), F.lower)
 
 
 def clean(text: Column, contractions: dict[str, str]) -> Column:
     """Contractions written out, double quotes and single letters dropped, other characters a space, lower case."""
     bare = F.replace(expand_contractions(text, contractions), F.lit('"'), F.lit(""))
-    runs = F.filter(F.split(bare, "[^A-Za-z0-9_]+"), lambda w: ~F.regexp_like(w, F.lit("^[A-Za-z]$")))
-    return lower_ascii(F.trim(F.regexp_replace(F.array_join(runs, " "), "[^A-Za-z]+", " ")))
+    runs = F.filter(F.split(bare, "[^A-Za-z0-9_]+"), lambda w: (F.length(w) != 1) | ~F.regexp_like(w, F.lit("^[A-Za-z]$")))
+    return F.lower(F.trim(F.regexp_replace(F.array_join(runs, " "), "[^A-Za-z]+", " ")))
 
 
 def content_tokens(text: Column, stop_words, lemmas: dict[str, str] | None = None) -> Column:
@@ -91,11 +92,13 @@ def match_terms(parts: Column, stop_words, lemmas: dict[str, str]) -> Column:
 
 def preprocessed(text: Column, contractions: dict[str, str], stop_words, lemmas: dict[str, str]) -> Column:
     """(cleaned, words, count); (null, [], 0) for a blank text."""
-    cleaned = clean(text, contractions)
-    words = content_tokens(cleaned, stop_words, lemmas)
     blank = F.coalesce(F.trim(text) == "", F.lit(True))
     none = F.array().cast("array<string>")
-    return F.struct(F.when(~blank, cleaned).alias("cleaned"), F.when(blank, none).otherwise(words).alias("words"), F.when(blank, 0).otherwise(F.size(words)).alias("count"))
+
+    def of(cleaned: Column, words: Column) -> Column:
+        return F.struct(cleaned.alias("cleaned"), words.alias("words"), F.size(words).alias("count"))
+
+    return with_value(F.when(~blank, clean(text, contractions)), lambda c: with_value(F.coalesce(content_tokens(c, stop_words, lemmas), none), lambda w: of(c, w)))
 
 
 def preprocessed_list(sents: Column, stop_words, lemmas: dict[str, str], min_words: int = 5) -> Column:
