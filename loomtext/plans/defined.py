@@ -14,7 +14,7 @@ from ..operators import relational as R
 from ..sources import transcripts
 from ..sources.io import table
 from .base import SQL_SENTENCES, register, sql_lower, sql_tokens
-from .textual import _COMPLEX, _SYL, texts
+from .textual import _COMPLEX, _SYL, dealt, texts
 
 _SQL_SPOKEN = f"""{SQL_SENTENCES}, s AS (SELECT doc_id, source, lang, CAST(sent_idx AS INTEGER) AS i, array_to_string({sql_tokens("sentence")}, ' ') AS p, count(*) OVER (PARTITION BY doc_id) AS n FROM sent)"""
 
@@ -83,11 +83,20 @@ def binary_flags_by_sentence(spark, d):
 @register(f"""WITH t AS (SELECT doc_id, {sql_tokens("text")} AS w FROM documents), g AS (SELECT doc_id, unnest(list_concat(w, list_transform(range(1, len(w)), lambda i: w[i] || '_' || w[i + 1]))) AS gram FROM t)
  SELECT gram, count(*) AS n, count(DISTINCT doc_id) AS docs FROM g GROUP BY gram""")
 def words_and_pairs(spark, d):
-    """SET9, W9: words and pairs of words in one set, counted in the row before they are shuffled."""
-    w = X.tokens(F.col("text"))
-    both = F.concat(w, F.transform(X.ngrams(w, 2), lambda g: F.replace(g, F.lit(" "), F.lit("_"))))
-    each = texts(spark, d).select("doc_id", F.explode(both).alias("gram")).groupBy("doc_id", "gram").agg(F.count(F.lit(1)).alias("n"))
-    return each.groupBy("gram").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("docs"))
+    """SET9, W9: words and pairs of words in one set, counted in the task before they are shuffled.
+
+    Where each id has one row, a row's distinct grams tell the documents; else they are told by id and gram.
+    """
+    docs = dealt(texts(spark, d).select("doc_id", "text"))
+    rows = docs.select("doc_id", X.tokens(F.col("text")).alias("w"))
+    rows = rows.select("doc_id", F.concat("w", F.transform(X.ngrams(F.col("w"), 2), lambda g: F.replace(g, F.lit(" "), F.lit("_")))).alias("both"))
+    ids = texts(spark, d).groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows"))
+    if ids.filter("rows > 1 or doc_id is null").isEmpty():
+        kinds = F.array(F.struct(F.col("both").alias("grams"), F.lit(1).alias("n"), F.lit(0).alias("docs")), F.struct(F.array_distinct("both").alias("grams"), F.lit(0).alias("n"), F.lit(1).alias("docs")))
+        each = rows.select(F.explode(kinds).alias("k")).select("k.n", "k.docs", F.explode("k.grams").alias("gram"))
+        return each.groupBy("gram").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
+    each = rows.select("doc_id", F.explode("both").alias("gram")).groupBy("doc_id", "gram").agg(F.count(F.lit(1)).alias("n"))
+    return each.groupBy("gram").agg(F.sum("n").alias("n"), F.count("doc_id").alias("docs"))
 
 
 @register(f"""WITH {SQL_SENTENCES}, t AS (SELECT doc_id, sent_idx, length(sentence) % 3 AS p, length(sentence) % 4 AS u, length(sentence) % 5 AS g FROM sent)

@@ -19,6 +19,16 @@ def sents(spark, d):
     return texts(spark, d).select("doc_id", "source", F.posexplode(X.sentences(F.col("text"))).alias("sent_idx", "sentence"))
 
 
+#: Bytes of text to a task that counts runs of words, whose number of distinct ones sets the task's memory.
+TASK_BYTES = 32 << 20
+
+
+def dealt(docs):
+    """``docs`` (text and any others) in tasks of some TASK_BYTES, where the files are cut into larger ones."""
+    parts = -(-(docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // TASK_BYTES)
+    return docs.repartition(parts) if parts > docs.rdd.getNumPartitions() else docs
+
+
 T_TEXT, T_SENT = sql_tokens("text"), sql_tokens("sentence")
 
 
@@ -78,7 +88,7 @@ def vocab_min_count(spark, d):
  (SELECT unnest(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS gram FROM t) GROUP BY gram HAVING count(*) >= 3""")
 def ngram_counts(spark, d):
     """W9, SET9."""
-    return texts(spark, d).select(F.explode(X.ngrams(X.tokens(F.col("text")), 2)).alias("gram")).groupBy("gram").agg(F.count(F.lit(1)).alias("n")).filter("n >= 3")
+    return dealt(texts(spark, d).select("text")).select(F.explode(X.ngrams(X.tokens(F.col("text")), 2)).alias("gram")).groupBy("gram").agg(F.count(F.lit(1)).alias("n")).filter("n >= 3")
 
 
 @register(f"""WITH {SQL_SENTENCES}, t AS (SELECT {T_SENT} AS w FROM sent), u AS (SELECT word, count(*) AS n FROM (SELECT unnest(w) AS word FROM t) GROUP BY word),

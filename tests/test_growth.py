@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from loomtext.functions import text as X
+from loomtext.plans import defined, textual
 
 
 def plan(df) -> str:
@@ -22,3 +23,18 @@ def test_texts_are_cleaned_once(spark):
     p = spark.createDataFrame([("Don't a CAN",), (" ",), (None,)], "text string").select(X.preprocessed(F.col("text"), {"Don't": "do not"}, ("can",), {"not": "nay"}).alias("p"))
     assert plan(p).count("regexp_replace(") == 1
     assert [tuple(r.p) for r in p.collect()] == [("do not can", ["do", "nay"], 2), (None, [], 0), (None, [], 0)]
+
+
+def test_words_and_pairs_are_shuffled_once(spark, tmp_path):
+    for name, ids in (("once", [1, 2, 3]), ("twice", [1, 2, 2])):
+        spark.createDataFrame(list(zip(ids, ["a b a", "b a", "a b"], strict=True)), "doc_id long, text string").write.parquet(f"{tmp_path}/{name}/documents.parquet")
+        df = defined.words_and_pairs(spark, f"{tmp_path}/{name}")
+        got = {r.gram: (r.n, r.docs) for r in df.collect()}
+        assert got == {"a": (4, len(set(ids))), "b": (3, len(set(ids))), "a_b": (2, 2), "b_a": (2, 2)}
+        assert name == "twice" or plan(df).count("Aggregate [") == 1
+
+
+def test_tasks_that_count_runs_of_words_are_bounded(spark, monkeypatch):
+    monkeypatch.setattr(textual, "TASK_BYTES", 100)
+    docs = spark.createDataFrame([("x" * 50,)] * 40, "text string").coalesce(1)
+    assert textual.dealt(docs).rdd.getNumPartitions() == 20 and textual.dealt(docs.limit(0)).count() == 0
