@@ -5,9 +5,13 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+#: Bytes of rows that an embedding model is given at once.
+BATCH_BYTES = 4 << 20
+
 
 class StubScorer:
     """A deterministic score in [0, 1) from a hash of the pair."""
@@ -47,17 +51,25 @@ class StubEmbedder:
 
 
 def embed(df: DataFrame, loader: Callable[[], object], text: str = "text") -> DataFrame:
-    """``df`` with ``embedding``; each worker loads its model once. A null text has a null embedding, failures are raised."""
-    schema = df.withColumn("embedding", F.array().cast("array<double>")).schema
+    """``df`` with ``embedding``; each worker loads its model once. A null text has a null embedding, failures are raised.
+
+    Arrow batches are taken in pieces of some BATCH_BYTES, so that a worker's memory doesn't grow with rows or texts.
+    """
+    schema = df.withColumn("embedding", F.lit(None).cast("array<double>")).schema
 
     def run(frames: Iterator) -> Iterator:
         model = loader()
-        for pdf in frames:
-            some = pdf[text].notna()
-            vectors = iter(model.encode(pdf[text][some]) if some.any() else [])
-            yield pdf.assign(embedding=[next(vectors) if x else None for x in some])
-
-    return df.mapInPandas(run, schema)
+        for batch in frames:
+            rows = max(1, batch.num_rows * BATCH_BYTES // max(batch.nbytes, 1))
+            for at in range(0, batch.num_rows, rows):
+                piece = batch.slice(at, rows)
+                texts = piece.column(text).to_pandas()
+                some = texts.notna()
+                vectors = iter(model.encode(texts[some]) if some.any() else [])
+                found = pa.array([next(vectors) if x else None for x in some], pa.list_(pa.float64()))
+                yield pa.RecordBatch.from_arrays([*piece.columns, found], names=[*piece.schema.names, "embedding"])
+
+    return df.mapInArrow(run, schema)
 
 
 def udf_of(fn: Callable, kind: str):

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from loomtext.functions import text as X
+from loomtext.operators import models
 from loomtext.plans import defined, textual
 
 
@@ -38,3 +39,14 @@ def test_tasks_that_count_runs_of_words_are_bounded(spark, monkeypatch):
     monkeypatch.setattr(textual, "TASK_BYTES", 100)
     docs = spark.createDataFrame([("x" * 50,)] * 40, "text string").coalesce(1)
     assert textual.dealt(docs).rdd.getNumPartitions() == 20 and textual.dealt(docs.limit(0)).count() == 0
+
+
+def test_models_are_given_pieces_of_bounded_size(spark):
+    class Sizes:
+        def encode(self, texts):
+            return [[float(sum(map(len, texts)))]] * len(texts)
+
+    docs = spark.range(40).select("id", F.when(F.col("id") != 7, F.repeat(F.lit("x"), 1 << 20)).alias("text")).coalesce(1)
+    got = models.embed(docs, Sizes).collect()
+    assert len(got) == 40 and all((r.embedding is None) == (r.id == 7) for r in got)
+    assert max(r.embedding[0] for r in got if r.embedding) <= models.BATCH_BYTES + (1 << 20)
