@@ -4,10 +4,13 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable, Iterable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .evaluate import ranked
+
 
 def one_per_key(df: DataFrame, keys: list[str], order: list[Column], ties: str = "first") -> DataFrame:
     """The first row of each key by ``order`` (give it a total order), or with ties='all' every row of that rank."""
@@ -175,16 +178,27 @@ def nan_sum(column: str) -> Column:
 
 
 def summary(df: DataFrame, columns) -> DataFrame:
-    """(name, n, mean, std, lowest, q25, q50, q75, highest) of number columns, in one pass; nulls don't count.
+    """(name, n, mean, std, lowest, q25, q50, q75, highest) of number columns; nulls don't count.
 
-    Quartiles are exact, with linear interpolation. Values are counted before the shuffle, and the counts of one column's
-    distinct values meet in one task: for columns of many distinct values, ask for ``approx_percentile`` instead.
+    Quartiles are exact, with linear interpolation: each column's distinct values are counted and ranked in ranges of bounded
+    size, so that no task has all of them.
     """
+    shares = {"q25": 0.25, "q50": 0.5, "q75": 0.75}
 
-    def of(name: str) -> Column:
+    def of(name: str) -> DataFrame:
         c = F.col(name).cast("double")
-        q = F.percentile(c, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
-        values = {"n": F.count(c), "mean": F.avg(c), "std": F.stddev_samp(c), "lowest": F.min(c), "q25": q[0], "q50": q[1], "q75": q[2], "highest": F.max(c)}
-        return F.struct(F.lit(name).alias("name"), *[v.alias(k) for k, v in values.items()])
+        whole = df.agg(F.count(c).alias("n"), F.avg(c).alias("mean"), F.stddev_samp(c).alias("std"), F.min(c).alias("lowest"), F.max(c).alias("highest"))
+        counts = df.select(c.alias("_value")).filter("_value is not null").groupBy("_value").agg(F.count(F.lit(1)).alias("_n"))
+        # Places, from 0, that a value's rows have in the order of all.
+        first = F.col("_rank") - (F.col("_n") + 1) / 2
+        placed = ranked(counts, "_value", "_n", "_rank").select("_value", first.alias("_first"), (first + F.col("_n") - 1).alias("_last")).crossJoin(F.broadcast(whole.select("n")))
+
+        def at(place: Column) -> Column:
+            return F.max(F.when(place.between(F.col("_first"), F.col("_last")), F.col("_value")))
+
+        place = {q: (F.col("n") - 1) * share for q, share in shares.items()}
+        found = placed.agg(*[at(f(p)).alias(f"{q}_{side}") for q, p in place.items() for side, f in (("below", F.floor), ("above", F.ceil))])
+        between = {q: F.when(F.ceil(p) == F.floor(p), F.col(f"{q}_below")).otherwise((F.ceil(p) - p) * F.col(f"{q}_below") + (p - F.floor(p)) * F.col(f"{q}_above")) for q, p in place.items()}
+        return whole.crossJoin(F.broadcast(found)).select(F.lit(name).alias("name"), "n", "mean", "std", "lowest", *[v.alias(q) for q, v in between.items()], "highest")
 
-    return df.agg(*[of(c).alias(f"c{i}") for i, c in enumerate(columns)]).select(F.explode(F.array(*[F.col(f"c{i}") for i in range(len(columns))])).alias("s")).select("s.*")
+    return reduce(DataFrame.unionByName, [of(c) for c in columns])

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from loomtext.functions import text as X
-from loomtext.operators import models
+from loomtext.operators import evaluate, models
+from loomtext.operators import relational as R
 from loomtext.plans import defined, textual
 
 
@@ -50,3 +52,13 @@ def test_models_are_given_pieces_of_bounded_size(spark):
     got = models.embed(docs, Sizes).collect()
     assert len(got) == 40 and all((r.embedding is None) == (r.id == 7) for r in got)
     assert max(r.embedding[0] for r in got if r.embedding) <= models.BATCH_BYTES + (1 << 20)
+
+
+def test_quartiles_come_from_ranges(spark, monkeypatch):
+    monkeypatch.setattr(evaluate, "RANGE_ROWS", 10)
+    x = [float(v) for v in np.random.default_rng(2).integers(0, 90, 301)]
+    s = R.summary(spark.createDataFrame([(v, None) for v in x] + [(None, None)], "x double, y int"), ["x", "y"])
+    assert "percentile(" not in plan(s)
+    a, b = s.collect()
+    assert np.allclose((a.q25, a.q50, a.q75, a.lowest, a.highest, a.n), (*np.quantile(x, [0.25, 0.5, 0.75]), min(x), max(x), 301))
+    assert (b.name, b.n, b.mean, b.lowest, b.q50) == ("y", 0, None, None, None)
