@@ -92,42 +92,57 @@ def _intervals(docs: list[tuple[int, int, int]], window_days: int) -> Iterator[t
 
 
 DAY_MS = 86_400_000
+#: Keys of the state: entities are dealt out to so many, as a call for every entity costs more than its rows do.
+COVERAGE_KEYS = 4096
+#: Stands for an entity that is null.
+NO_ENTITY = -(1 << 63)
 
 
 def coverage_changes(docs: DataFrame, window_days: int, lateness: str = "30 days") -> DataFrame:
     """(entity, change_day, companies, covered): what each arrival changes in the daily counts of rolling coverage.
 
-    ``docs`` is a stream of (entity, day, version, flag). An entity's state holds the documents that a row in time can
-    still touch: those since the watermark's day and the last before it. A row out of order changes what it has to and
-    takes back what no longer holds, so the sums of all changes up to a day are that day's counts. A timer drops the
-    state once its last document's window is over.
+    ``docs`` is a stream of (entity, day, version, flag). Of each entity the state holds the documents that a row in time
+    can still touch: those since the watermark's day and the last before it. A row out of order changes what it has to and
+    takes back what no longer holds, so the sums of all changes up to a day are that day's counts. Entities share keys of
+    the state; a timer drops those whose last document's window is over.
     """
 
-    def run(key, frames, state):
-        if state.hasTimedOut:
-            state.remove()
-            return
-        old = list(zip(*state.get, strict=True)) if state.exists else []
-        new = old + [(int(d), int(v), int(f)) for frame in frames for d, v, f in zip(frame.number, frame.version, frame.flag, strict=True)]
-        companies, covered = Counter(), Counter()
-        for sign, some in ((-1, old), (1, new)):
-            for start, end, flag in _intervals(some, window_days):
-                for day, step in ((start, sign), (end, -sign)):
-                    companies[day] += step
-                    covered[day] += step * flag
+    def run(_, frames, state):
+        held = {}
+        for e, d, v, f in zip(*state.get, strict=True) if state.exists else ():
+            held.setdefault(e, []).append((d, v, f))
         mark = max(0, state.getCurrentWatermarkMs())
-        latest = sorted({d: (d, v, f) for d, v, f in sorted(new)}.values())
-        settled = [x for x in latest if x[0] < mark // DAY_MS]
-        kept = settled[-1:] + latest[len(settled) :]
-        state.update(tuple(list(x) for x in zip(*kept, strict=True)))
-        state.setTimeoutTimestamp(max((kept[-1][0] + window_days) * DAY_MS, mark + 1))
-        days = [d for d in sorted(companies) if companies[d] or covered[d]]
-        yield pd.DataFrame({"entity": [key[0]] * len(days), "number": days, "companies": [companies[d] for d in days], "covered": [covered[d] for d in days]})
-
-    rows = docs.withColumn("at", F.col("day").cast("timestamp")).withWatermark("at", lateness)
-    rows = rows.select("entity", "at", F.unix_date("day").alias("number"), "version", "flag")
-    changes = rows.groupBy("entity").applyInPandasWithState(run, "entity long, number int, companies long, covered long", "days array<int>, versions array<long>, flags array<int>", "append", "EventTimeTimeout")
-    return changes.select("entity", F.date_from_unix_date("number").alias("change_day"), "companies", "covered")
+        arrived = {}
+        for frame in frames if not state.hasTimedOut else ():
+            for e, d, v, f in zip(*(frame[c].tolist() for c in ("entity", "number", "version", "flag")), strict=True):
+                arrived.setdefault(e, []).append((int(d), int(v), int(f)))
+        out = []
+        for e, rows in arrived.items():
+            old = held.get(e, [])
+            new = old + rows
+            companies, covered = Counter(), Counter()
+            for sign, some in ((-1, old), (1, new)):
+                for start, end, flag in _intervals(some, window_days):
+                    for day, step in ((start, sign), (end, -sign)):
+                        companies[day] += step
+                        covered[day] += step * flag
+            latest = sorted({d: (d, v, f) for d, v, f in sorted(new)}.values())
+            settled = [x for x in latest if x[0] < mark // DAY_MS]
+            held[e] = settled[-1:] + latest[len(settled) :]
+            out += [(e, d, companies[d], covered[d]) for d in sorted(companies) if companies[d] or covered[d]]
+        ends = {e: (max(rows)[0] + window_days) * DAY_MS for e, rows in held.items()}
+        kept = {e: rows for e, rows in held.items() if e in arrived or ends[e] > mark}
+        if kept:
+            state.update(tuple(list(x) for x in zip(*[(e, *r) for e, rows in kept.items() for r in rows], strict=True)))
+            state.setTimeoutTimestamp(max(min(ends[e] for e in kept), mark + 1))
+        elif state.exists:
+            state.remove()
+        yield pd.DataFrame(out, columns=["entity", "number", "companies", "covered"])
+
+    rows = docs.filter("day is not null").withColumn("at", F.col("day").cast("timestamp")).withWatermark("at", lateness)
+    rows = rows.select(F.coalesce(F.col("entity").cast("long"), F.lit(NO_ENTITY)).alias("entity"), "at", F.unix_date("day").alias("number"), "version", "flag")
+    changes = rows.withColumn("key", F.pmod(F.xxhash64("entity"), F.lit(COVERAGE_KEYS))).groupBy("key").applyInPandasWithState(run, "entity long, number int, companies long, covered long", "entities array<long>, days array<int>, versions array<long>, flags array<int>", "append", "EventTimeTimeout")
+    return changes.select(F.nullif("entity", F.lit(NO_ENTITY)).alias("entity"), F.date_from_unix_date("number").alias("change_day"), "companies", "covered")
 
 
 def append_new(events: DataFrame, path: str, keys: list[str], checkpoint: str):

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import date, timedelta
+
 import numpy as np
 from pyspark.sql import functions as F
 
@@ -9,6 +11,7 @@ from loomtext.functions import text as X
 from loomtext.operators import evaluate, models
 from loomtext.operators import relational as R
 from loomtext.plans import defined, textual
+from loomtext.streaming import jobs
 
 
 def plan(df) -> str:
@@ -28,6 +31,21 @@ def test_texts_are_cleaned_once(spark):
     assert [tuple(r.p) for r in p.collect()] == [("do not can", ["do", "nay"], 2), (None, [], 0), (None, [], 0)]
 
 
+def test_state_is_shared_by_entities(spark, tmp_path, monkeypatch):
+    """All entities in one key of the state: each has its own counts, and one that is over leaves the others there."""
+    monkeypatch.setattr(jobs, "COVERAGE_KEYS", 1)
+    day = lambda k: date(2020, 1, 1) + timedelta(k)
+    for rows in ([(1, day(0), 1, 1), (2, day(0), 1, 0), (None, day(1), 1, 1)], [(2, day(3), 2, 1), (3, day(40), 1, 1)], [(3, day(41), 2, 0)]):
+        spark.createDataFrame(rows, "entity long, day date, version long, flag int").coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+        stream = jobs.coverage_changes(jobs.stream_table(spark, f"{tmp_path}/in", "*.parquet", spark.read.parquet(f"{tmp_path}/in").schema), 5, "30 days")
+        jobs.appended(stream, f"{tmp_path}/out", f"{tmp_path}/state").awaitTermination()
+    got = {}
+    for r in spark.read.parquet(f"{tmp_path}/out").collect():
+        c, f = got.get((r.entity, (r.change_day - day(0)).days), (0, 0))
+        got[r.entity, (r.change_day - day(0)).days] = (c + r.companies, f + r.covered)
+    assert {k: v for k, v in got.items() if v != (0, 0)} == {(1, 0): (1, 1), (1, 5): (-1, -1), (2, 0): (1, 0), (2, 3): (0, 1), (2, 8): (-1, -1), (None, 1): (1, 1), (None, 6): (-1, -1), (3, 40): (1, 1), (3, 41): (0, -1), (3, 46): (-1, 0)}
+
+
 def test_words_and_pairs_are_shuffled_once(spark, tmp_path):
     for name, ids in (("once", [1, 2, 3]), ("twice", [1, 2, 2])):
         spark.createDataFrame(list(zip(ids, ["a b a", "b a", "a b"], strict=True)), "doc_id long, text string").write.parquet(f"{tmp_path}/{name}/documents.parquet")
