@@ -1,6 +1,6 @@
 """Dictionaries that are tables: lexicons, lemma tables and topic terms, looked up by hash joins.
 
-A table is counted first. Up to ``MAX_BROADCAST`` entries it is broadcast, so a word is looked up where it is, in constant
+A table is written once to the shared folder and counted there, so that what derives it runs once. Up to ``MAX_BROADCAST`` entries it is broadcast, so a word is looked up where it is, in constant
 time, and only what the table has is ever shuffled. Beyond that words are counted within their rows' partitions first and
 then meet the table in a shuffled join. Both ways give the same rows, and no entry is a literal of the plan.
 
@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import ngrams
+from ..sources.io import scratch
 
 #: Most entries of a broadcast table: some 100 MB at 400 bytes each with Spark's overhead.
 MAX_BROADCAST = 262_144
@@ -24,7 +25,10 @@ class Lookup:
 
     def __init__(self, table: DataFrame, term: str = "term", value: str = "value"):
         entries = table.select(F.col(term).alias("term"), F.col(value).alias("value")).filter("trim(term) <> ''").distinct()
-        self.small = entries.limit(MAX_BROADCAST + 1).count() <= MAX_BROADCAST
+        path = f"{scratch(table.sparkSession, 'lookup')}/entries"
+        entries.write.parquet(path)
+        entries = table.sparkSession.read.schema(entries.schema).parquet(path)
+        self.small = entries.count() <= MAX_BROADCAST
         self.table = F.broadcast(entries) if self.small else entries
 
 

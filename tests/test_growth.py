@@ -8,6 +8,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from loomtext.functions import text as X
+from loomtext.operators import dictionaries as D
 from loomtext.operators import evaluate, models
 from loomtext.operators import relational as R
 from loomtext.plans import defined, textual
@@ -80,3 +81,12 @@ def test_quartiles_come_from_ranges(spark, monkeypatch):
     a, b = s.collect()
     assert np.allclose((a.q25, a.q50, a.q75, a.lowest, a.highest, a.n), (*np.quantile(x, [0.25, 0.5, 0.75]), min(x), max(x), 301))
     assert (b.name, b.n, b.mean, b.lowest, b.q50) == ("y", 0, None, None, None)
+
+
+def test_tables_are_derived_once(spark):
+    """What a dictionary is derived from isn't part of the plans that look it up."""
+    table = spark.range(5).select(F.concat(F.lit("t"), "id").alias("term"), F.md5(F.col("id").cast("string")).alias("value"))
+    lookup = D.Lookup(table)
+    rows = spark.createDataFrame([(1, ["t1", "t9"])], "id long, words array<string>")
+    df = D.hits(rows, "words", lookup, "id")
+    assert "md5(" not in plan(df) and [(r.term, r.n) for r in df.collect()] == [("t1", 1)]
