@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import with_value
+from ..sources.io import scratch
 
 
 def dot(a: Column, b: Column) -> Column:
@@ -150,14 +151,28 @@ def multiplicative_cosine(positive: list[Column], negative: list[Column]) -> Col
 def bigram_phrases(tokens: DataFrame, min_count: int, threshold: float) -> DataFrame:
     """(first, second, n, score) of word pairs whose score (n - min_count) * vocabulary / (n_a * n_b) is over the threshold.
 
-    ``tokens``: (words) one array a sentence.
+    ``tokens``: (words) arrays of words; null or an empty string is no word and ends a sentence, as the array's end does.
+
+    Each word is counted with the one that follows it, or none. What stands under ``min_count`` times is then put together
+    by first word, so that words' counts are sums of these and texts are read once; both are written once and read back.
     """
-    words = tokens.select(F.explode("words").alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
-    pairs = tokens.select(F.explode(F.zip_with(F.slice("words", F.lit(1), F.greatest(F.size("words") - 1, F.lit(0))), F.slice("words", F.lit(2), F.greatest(F.size("words") - 1, F.lit(0))), lambda a, b: F.struct(a.alias("first"), b.alias("second")))).alias("p"))
-    pairs = pairs.groupBy("p.first", "p.second").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= min_count)
+    spark, path = tokens.sparkSession, scratch(tokens.sparkSession, "pairs")
+
+    def written(df: DataFrame, name: str) -> DataFrame:
+        df.write.parquet(f"{path}/{name}")
+        return spark.read.schema(df.schema).parquet(f"{path}/{name}")
+
+    after = tokens.select("words", F.slice("words", F.lit(2), F.greatest(F.size("words"), F.lit(1))).alias("rest"))
+    each = after.select(F.inline(F.arrays_zip("words", "rest"))).toDF("first", "second").filter("first <> ''")
+    counts = each.groupBy("first", F.nullif("second", F.lit("")).alias("second")).agg(F.count(F.lit(1)).alias("n"))
+    counts = written(counts.groupBy("first", F.when(F.col("n") >= min_count, F.col("second")).alias("second")).agg(F.sum("n").alias("n")), "counts")
+    words = written(counts.groupBy("first").agg(F.sum("n").alias("n_a")), "words")
     size = words.agg(F.count(F.lit(1)).alias("vocabulary"))
-    out = pairs.join(words.select(F.col("word").alias("first"), F.col("n").alias("n_a")), "first").join(words.select(F.col("word").alias("second"), F.col("n").alias("n_b")), "second").crossJoin(F.broadcast(size))
-    return out.withColumn("score", (F.col("n") - min_count) * F.col("vocabulary") / (F.col("n_a") * F.col("n_b"))).filter(F.col("score") > threshold)
+    score = lambda n_b: (F.col("n") - min_count) * F.col("vocabulary") / (F.col("n_a") * F.col(n_b))
+    # The second word stands n times at least: a pair that isn't over the threshold by n isn't by that word's count.
+    some = counts.filter("second is not null").join(words, "first").crossJoin(F.broadcast(size)).filter(score("n") > threshold)
+    out = some.join(words.toDF("second", "n_b"), "second")
+    return out.select("first", "second", "n", "n_a", "n_b", "vocabulary", score("n_b").alias("score")).filter(F.col("score") > threshold)
 
 
 def train_word2vec(docs: DataFrame, words: str, size: int = 300, window: int = 5, min_count: int = 10, epochs: int = 15, seed: int = 42, partitions: int = 8):

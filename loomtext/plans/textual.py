@@ -96,7 +96,7 @@ def ngram_counts(spark, d):
  SELECT first, second, p.n, (p.n - 3) * (SELECT count(*) FROM u) / (a.n * b.n) AS score FROM p JOIN u a ON a.word = first JOIN u b ON b.word = second WHERE (p.n - 3) * (SELECT count(*) FROM u) / (a.n * b.n) > 2""")
 def bigram_phrases(spark, d):
     """A26."""
-    t = sents(spark, d).select(X.tokens(F.col("sentence")).alias("words"))
+    t = texts(spark, d).select(X.tokens_and_ends(F.col("text")).alias("words"))
     return V.bigram_phrases(t, 3, 2.0).select("first", "second", "n", "score")
 
 

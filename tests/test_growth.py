@@ -11,6 +11,7 @@ from loomtext.functions import text as X
 from loomtext.operators import dictionaries as D
 from loomtext.operators import evaluate, models
 from loomtext.operators import relational as R
+from loomtext.operators import vectors as V
 from loomtext.plans import defined, textual
 from loomtext.streaming import jobs
 
@@ -90,3 +91,31 @@ def test_tables_are_derived_once(spark):
     rows = spark.createDataFrame([(1, ["t1", "t9"])], "id long, words array<string>")
     df = D.hits(rows, "words", lookup, "id")
     assert "md5(" not in plan(df) and [(r.term, r.n) for r in df.collect()] == [("t1", 1)]
+
+
+def test_sentences_and_tokens_in_one_pass(spark):
+    texts = ["The KING\u212Aing. \u0130st! \u00C9tat, a-B_c9D.\n", "a.b c? \x0bd \x01e\x01\x01 f . ", "No end.\u00a0Here...  X?! y", ".! a", "a. \u2028b.\r\n\tc", " ", "", None]
+    df = spark.createDataFrame([(t,) for t in texts], "text string")
+    got = df.select(X.sentences(F.col("text")).alias("s"), X.tokens_and_ends(F.col("text")).alias("w")).select(F.transform("s", X.tokens).alias("s"), "w").collect()
+    for r in got:
+        parts = [[]]
+        for w in r.w or []:
+            parts[-1].append(w) if w else parts.append([])
+        assert (r.w is None) == (r.s is None) and parts == (r.s or [[]])
+
+
+def test_phrases_read_the_texts_once(spark):
+    """Words' counts are sums of pairs', rare ones and ends of sentences included."""
+    rows = [["a", "b", "a", "b", "c"], ["a", "b", "", "c", "a", None, "b"], ["b"], ["d", "", "d", ""], [], None]
+    read = spark.sparkContext.accumulator(0)
+
+    def seen(w):
+        read.add(1)
+        return w
+
+    df = spark.createDataFrame(list(enumerate(rows)), "k int, w array<string>").select(F.udf(seen, "array<string>")("w").alias("words"))
+    got = {(r["first"], r["second"]): (r["n"], r["n_a"], r["n_b"], r["vocabulary"], r["score"]) for r in V.bigram_phrases(df, 1, 0.0).collect()}
+    assert read.value == len(rows)
+    assert got == {("a", "b"): (3, 4, 5, 4, 2 * 4 / 20)}
+    low = {(r["first"], r["second"]): r["score"] for r in V.bigram_phrases(df, 1, -1.0).collect()}
+    assert low == {("a", "b"): 0.4, ("b", "a"): 0.0, ("b", "c"): 0.0, ("c", "a"): 0.0}
