@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions.text import ngrams, sentences, tokens
+from ..functions.arrow_text import document_counts, sentence_grams
+from ..functions.text import tokens
 from ..operators import dictionaries as D
 from ..sources.io import table
 from .base import SQL_SENTENCES, register, sql_lower, sql_tokens
@@ -19,18 +20,15 @@ _SQL_TERMS = f"{_SQL_GRAMS}, dict AS (SELECT term, 'T' || length(term) % {TOPICS
 
 def corpus_terms(spark, d):
     """(term, value): words and pairs of words that neither few nor many documents have."""
-    words = F.transform(sentences(F.col("text")), tokens)
-    grams = F.array_distinct(F.concat(F.flatten(words), F.flatten(F.transform(words, lambda w: ngrams(w, 2)))))
-    each = table(spark, d, "documents").select(F.explode(grams).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n"))
+    each = document_counts(table(spark, d, "documents"), "text", 2)
     return each.filter(F.col("n").between(LEAST, MOST)).select("term", F.concat(F.lit("T"), (F.length("term") % TOPICS).cast("string")).alias("value"))
 
 
 @register(f"WITH {_SQL_TERMS} SELECT doc_id, CAST(sent_idx AS INTEGER) AS sent_idx, topic, count(*) AS total, count(DISTINCT term) AS n_terms FROM gram JOIN dict USING (term) GROUP BY ALL")
 def dictionary_table_topics(spark, d):
     """Topics of a dictionary of thousands of terms that a job derives, matched within the sentence."""
-    sents = texts(spark, d).select("doc_id", F.posexplode(sentences(F.col("text"))).alias("sent_idx", "sentence"))
-    rows = sents.select("doc_id", "sent_idx", tokens(F.col("sentence")).alias("words"))
-    return D.topic_totals(rows, "words", D.Lookup(corpus_terms(spark, d)), "doc_id", "sent_idx", longest=2)
+    lookup = D.Lookup(corpus_terms(spark, d))
+    return D.totals(sentence_grams(texts(spark, d), "text", "doc_id", longest=2), lookup, "doc_id", "sent_idx")
 
 
 _SQL_LEXICON = f"""{SQL_SENTENCES}, tok AS (SELECT doc_id, unnest({sql_tokens("sentence")}) AS word FROM sent),

@@ -7,6 +7,7 @@ from datetime import date, timedelta
 import numpy as np
 from pyspark.sql import functions as F
 
+from loomtext.functions import arrow_text as A
 from loomtext.functions import text as X
 from loomtext.operators import dictionaries as D
 from loomtext.operators import evaluate, models
@@ -119,3 +120,30 @@ def test_phrases_read_the_texts_once(spark):
     assert got == {("a", "b"): (3, 4, 5, 4, 2 * 4 / 20)}
     low = {(r["first"], r["second"]): r["score"] for r in V.bigram_phrases(df, 1, -1.0).collect()}
     assert low == {("a", "b"): 0.4, ("b", "a"): 0.0, ("b", "c"): 0.0, ("c", "a"): 0.0}
+
+
+def test_runs_of_words_by_arrow(spark, monkeypatch):
+    """They are those of the column functions, in pieces of any size, for rows that share a key as well."""
+    texts = ["The KING\u212Aing. \u0130st! \u00C9tat, a-B_c9D.\n", "a.b c? \x0bd \x01e\x01\x01 f . ", "No end.\u00a0Here...  X?! y", None, ".! a", "a. \u2028b.\r\n\tc", " ", "", "a b a b a. a b"]
+    df = spark.createDataFrame([(k % 7, t) for k, t in enumerate(texts)], "k int, text string").coalesce(1)
+    words = F.transform(X.sentences(F.col("text")), X.tokens)
+    each = df.select("k", F.posexplode(words).alias("sent_idx", "w")).select("k", "sent_idx", F.explode(D.grams(F.col("w"), 3)).alias("term"))
+    docs = df.select(F.explode(F.array_distinct(F.flatten(F.transform(words, lambda w: D.grams(w, 3))))).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n"))
+    for size in (1, 30, 8 << 20):
+        monkeypatch.setattr(A, "PIECE_BYTES", size)
+        got = A.sentence_grams(df, "text", "k", longest=3)
+        assert got.schema.names == ["k", "sent_idx", "term"] and sorted(got.collect()) == sorted(each.collect())
+        assert sorted(A.document_counts(df, "text", 3).collect()) == sorted(docs.collect())
+
+
+def test_words_that_a_large_table_lacks_are_left_out_before_the_shuffle(spark, monkeypatch):
+    monkeypatch.setattr(D, "MAX_BROADCAST", 0)
+    monkeypatch.setattr(D, "PART_LONGS", 64)
+    table = spark.range(2000).select(F.concat(F.lit("t"), "id").alias("term"), (F.col("id") % 3).cast("string").alias("value"))
+    lookup = D.Lookup(table)
+    each = spark.range(100_000).select((F.col("id") % 7).alias("k"), F.concat(F.lit("t"), "id").alias("term"))
+    likely = lookup.likely(each)
+    assert likely.join(table, "term").count() == 2000 and likely.count() < 10_000
+    df = D.totals(each, lookup, "k")
+    assert plan(df).count("shiftright") and sum(r.total for r in df.collect()) == 2000
+    assert {(r.k, r.topic): r.n_terms for r in df.collect()} == {(k, str(v)): sum(i % 7 == k and i % 3 == v for i in range(2000)) for k in range(7) for v in range(3)}
