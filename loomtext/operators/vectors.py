@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import with_value
-from ..sources.io import scratch
+from ..sources.io import scratch, swept
 
 
 def dot(a: Column, b: Column) -> Column:
@@ -160,6 +160,7 @@ def bigram_phrases(tokens: DataFrame, min_count: int, threshold: float) -> DataF
 
     def written(df: DataFrame, name: str) -> DataFrame:
         df.write.parquet(f"{path}/{name}")
+        swept(spark)
         return spark.read.schema(df.schema).parquet(f"{path}/{name}")
 
     after = tokens.select("words", F.slice("words", F.lit(2), F.greatest(F.size("words"), F.lit(1))).alias("rest"))

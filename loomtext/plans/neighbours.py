@@ -4,12 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions.text import tokens
 from ..operators import neighbours as N
 from ..operators import phrases as P
 from ..sources.io import table
 from .base import ORACLES, SQL_SENTENCES, register, sql_tokens
-from .textual import bigram_phrases, sents
+from .textual import bigram_phrases, texts
 
 #: What :func:`phrases.substituted` leaves of ``{rows}`` (k, w), by ``{pairs}`` (pair), in the twin's own terms.
 _SQL_SUBSTITUTED = """pr AS (SELECT k, i, w[i] AS a, w[i + 1] AS b FROM (SELECT k, w, unnest(range(1, len(w))) AS i FROM {rows})), kn AS (SELECT pr.* FROM pr JOIN {pairs} v ON v.pair = a || '_' || b),
@@ -24,9 +23,7 @@ _SQL_SUBSTITUTED = """pr AS (SELECT k, i, w[i] AS a, w[i + 1] AS b FROM (SELECT
 def substituted_pairs(spark, d):
     """The pairs that the corpus holds for phrases, put in place of the words of every sentence."""
     known = bigram_phrases(spark, d).select(F.concat_ws("_", "first", "second").alias("pair"))
-    rows = sents(spark, d).select("doc_id", "sent_idx", tokens(F.col("sentence")).alias("words"))
-    grams = P.substituted(rows, "words", known, "doc_id", "sent_idx").groupBy("doc_id", "sent_idx").agg(F.array_sort(F.collect_list(F.struct("at", "gram")))["gram"].alias("grams"))
-    return grams.select("doc_id", "sent_idx", F.array_join("grams", " ").alias("grams"))
+    return P.substituted_sentences(texts(spark, d), "text", known, "doc_id")
 
 
 _SQL_NAMES = """names AS (SELECT DISTINCT p_name AS k, string_split(lower(p_name), ' ') AS w FROM part), nw AS (SELECT unnest(w) AS word FROM names),

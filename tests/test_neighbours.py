@@ -6,6 +6,7 @@ import random
 import time
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from loomtext.operators import neighbours as N
 from loomtext.operators import phrases as P
@@ -36,6 +37,24 @@ def test_pairs(spark):
     assert none == sum(len(w) for _, w in rows if w)
 
 
+def test_pairs_within_sentences_are_not_shuffled(spark, monkeypatch):
+    """Sentences of texts by both ways: given to every task, and by shuffled joins."""
+    rng = random.Random(4)
+    docs = [[[rng.choice("abcdE") for _ in range(rng.randint(0, 9))] for _ in range(rng.randint(1, 5))] for _ in range(200)] + [[[]], [["a", "b", "a", "b"]]]
+    texts = [". ".join(map(" ".join, d)) for d in docs] + [None]
+    known = {"a_b", "b_c", "c_c", "d_a", "b_b"}
+    df, table = spark.createDataFrame(list(enumerate(texts)), "k long, text string"), spark.createDataFrame([(x,) for x in sorted(known)] * 2 + [(None,)], "pair string")
+    want = {(k, i): " ".join(by_the_rule([w.lower() for w in x], known)) for k, d in enumerate(docs) for i, x in enumerate(d) if x}
+    for most in (1 << 22, 0):
+        monkeypatch.setattr(P, "MAX_KNOWN", most)
+        got = P.substituted_sentences(df, "text", table, "k")
+        assert {(r.k, r.sent_idx): r.grams for r in got.collect()} == want
+        p = got._jdf.queryExecution().optimizedPlan().toString()
+        assert ("Join" in p or "Aggregate" in p) == (most == 0)
+    monkeypatch.setattr(P, "MAX_KNOWN", 1 << 22)
+    assert "Join" not in P.substituted(df.select("k", F.split("text", " ").alias("w")), "w", table, "k")._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_pairs_of_a_long_row(spark):
     rng = random.Random(1)
     words = [rng.choice(["x", "y", "z"]) for _ in range(100_000)]
