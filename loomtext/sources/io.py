@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import gc
 import string
 import tempfile
 import uuid
@@ -89,12 +88,6 @@ def scratch(spark: SparkSession, tag: str) -> str:
     return p.toString()
 
 
-def swept(spark: SparkSession) -> None:
-    """Has the shuffle files of finished jobs deleted, once their results are written: Spark's cleaner learns from the driver's collector which are no longer used."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
-
-
 def truncate_and_load(df: DataFrame, path: str) -> None:
     """Replace all rows of a table."""
     df.write.mode("overwrite").parquet(path)
